@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The system this library re-expresses ingests and rewrites tables in batch
+only; it has no stream sources, watermarks or stateful operators, so none are
+provided here.
+"""

@@ -28,7 +28,7 @@ class IngestResult:
         """Rows counted while writing (no second scan); None if nothing was written."""
         if self.commit is None:
             return None
-        return int(self.commit.metrics.get("rows_written", 0))
+        return self.commit.metrics.get("rows_written")
 
     def table(self) -> DataFrame:
         """The table as stored now."""

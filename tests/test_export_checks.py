@@ -1,0 +1,116 @@
+import datetime as dt
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from strata.functions import with_year_month
+from strata.operators import (
+    CardinalityError,
+    balance_by,
+    coalesce_to,
+    count_rows,
+    distinct_values,
+    expect_distinct,
+    first_rows,
+    round_robin,
+    row_count,
+)
+from strata.plans import exchanges
+from strata.sinks import export_split_json, write_json, write_json_documents
+from strata.sources import read_json
+
+
+def trips(spark):
+    stamps = (
+        [dt.datetime(2024, 12, d, 10, 0, 0) for d in range(1, 7)]
+        + [dt.datetime(2025, 6, d, 8, 30, 0) for d in range(1, 11)]
+        + [dt.datetime(2025, 6, 30, 23, 54, 44)]
+        + [dt.datetime(2025, 8, d, 12, 0, 0) for d in range(1, 4)]
+    )
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(stamps)], "trip_id long, pickup timestamp_ntz")
+    return with_year_month(df, "pickup")
+
+
+def test_split_export_one_directory_per_month(spark, tmp_path):
+    out = str(tmp_path / "json")
+    dir_cols = export_split_json(trips(spark), out, ["year", "month"])
+    assert dir_cols == ["part_year", "part_month"]
+    groups = {}
+    for year_dir in sorted(os.listdir(out)):
+        if not year_dir.startswith("part_year="):
+            continue
+        for month_dir in os.listdir(os.path.join(out, year_dir)):
+            groups[(year_dir, month_dir)] = [
+                f for f in os.listdir(os.path.join(out, year_dir, month_dir)) if f.endswith(".json")
+            ]
+    assert set(groups) == {
+        ("part_year=2024", "part_month=12"),
+        ("part_year=2025", "part_month=6"),
+        ("part_year=2025", "part_month=8"),
+    }
+    back = read_json(spark, out, glob="*.json")
+    assert "part_year" not in back.columns  # recursive lookup: no directory columns
+    counts = {(r.year, r.month): r["count"] for r in back.groupBy("year", "month").count().collect()}
+    assert counts == {(2024, 12): 6, (2025, 6): 11, (2025, 8): 3}
+
+
+def test_json_timestamps_written_with_milliseconds(spark, tmp_path):
+    df = spark.createDataFrame([(dt.datetime(2025, 6, 30, 23, 54, 44, 123456),)], "t timestamp_ntz")
+    write_json(df, str(tmp_path / "j"))
+    assert read_json(spark, str(tmp_path / "j")).collect()[0].t == "2025-06-30T23:54:44.123"
+
+
+def test_json_documents_round_trip(spark, tmp_path):
+    df = spark.range(0, 250).select("id", (F.col("id") * 1.5).alias("x"), F.lit("a\nb").alias("s"))
+    files = write_json_documents(df, str(tmp_path / "docs"), rows_per_file=100)
+    assert files == 3
+    back = read_json(spark, str(tmp_path / "docs"), multiline=True)
+    assert back.count() == 250
+    assert back.where("s = 'a\\nb'").count() == 250
+    assert sorted(r.id for r in back.collect()) == list(range(250))
+
+
+def test_expect_distinct(spark):
+    df = trips(spark)
+    assert expect_distinct(df, "year", 2) == [2024, 2025]
+    with pytest.raises(CardinalityError, match=r"Expected exactly 3 distinct values of year, got 2: \[2024, 2025\]"):
+        expect_distinct(df, "year", 3)
+    with pytest.raises(CardinalityError, match="more than 1"):
+        expect_distinct(df, "year", 1)
+
+
+def test_counts_and_distinct(spark):
+    df = trips(spark)
+    assert row_count(df) == 20
+    assert count_rows(df).collect()[0].n == 20
+    assert sorted(tuple(r) for r in distinct_values(df, "year", "month").collect()) == [
+        (2024, 12),
+        (2025, 6),
+        (2025, 8),
+    ]
+
+
+def test_first_rows_is_top_k_with_nulls_first(spark):
+    df = spark.createDataFrame([(3,), (None,), (1,), (2,)], "v long")
+    top = first_rows(df, ["v"], 3)
+    assert [r.v for r in top.collect()] == [None, 1, 2]
+    from strata.plans import plan_text
+
+    assert "TakeOrderedAndProject" in plan_text(top, "simple")
+    assert first_rows(spark.range(100), n=20).count() == 20
+
+
+def test_round_robin_and_coalesce_keep_rows(spark):
+    df = spark.range(0, 1000)
+    spread = round_robin(df, 8)
+    assert spread.rdd.getNumPartitions() == 8
+    assert round_robin(df, 0) is df and round_robin(df, None) is df
+    merged = coalesce_to(spread, 2)
+    assert merged.rdd.getNumPartitions() == 2
+    assert sorted(r.id for r in merged.collect()) == list(range(1000))
+
+
+def test_balance_by_is_a_rebalance_exchange(spark):
+    plan = " ".join(exchanges(balance_by(trips(spark), "year", "month")))
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan

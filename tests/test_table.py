@@ -213,6 +213,11 @@ def test_partition_only_delete_drops_fragments_without_rewrite(spark, tmp_uri):
     assert sorted(ids(read_table(spark, path))) == [i for i in range(30) if i % 3 != 2]
     mixed = delete_from_table(spark, path, "p = 1 AND id > 20")
     assert mixed.metrics["fragments_rewritten"] == 1 and mixed.metrics["rows_matched"] == 3
+    # One fragment fully matched, one partly: one commit drops one, rewrites one.
+    both = delete_from_table(spark, path, "p = 0 OR id = 1")
+    assert both.version == mixed.version + 1
+    assert both.metrics["fragments_removed"] == 1 and both.metrics["fragments_rewritten"] == 1
+    assert sorted(ids(read_table(spark, path))) == [4, 7, 10, 13, 16, 19]
 
 
 def test_update_and_delete_with_nulls(spark, tmp_uri):

@@ -44,6 +44,9 @@ class Commit:
     fragments: list[str]
     timestamp_ms: int = 0
     metrics: dict = field(default_factory=dict)
+    dirs: dict = field(default_factory=dict)
+    """Leaf count each referenced commit directory had when written, so a
+    directory whose leaves are all live is scanned as one root."""
 
     def to_json(self) -> str:
         return json.dumps(
@@ -55,6 +58,7 @@ class Commit:
                 "partition_by": self.partition_by,
                 "fragments": self.fragments,
                 "metrics": self.metrics,
+                "dirs": self.dirs,
             },
             sort_keys=True,
         )
@@ -70,9 +74,38 @@ class Commit:
             fragments=list(raw["fragments"]),
             timestamp_ms=int(raw.get("timestamp_ms", 0)),
             metrics=dict(raw.get("metrics", {})),
+            dirs={k: int(v) for k, v in raw.get("dirs", {}).items()},
         )
 
 
+def fragment_dir(fragment: str) -> str:
+    """``data/strata_commit=<token>`` of a fragment path."""
+    return "/".join(fragment.split("/")[:2])
+
+
+def live_dirs(fragments: list[str], *known: dict) -> dict:
+    """Leaf counts (from ``known``) of the commit directories ``fragments`` use."""
+    merged = {}
+    for table in known:
+        merged.update(table)
+    return {d: merged[d] for d in dict.fromkeys(fragment_dir(f) for f in fragments) if d in merged}
+
+
+def scan_roots(commit: "Commit", fragments: list[str]) -> list[str]:
+    """Fewest paths covering exactly ``fragments``: a commit directory whose
+    every written leaf is in ``fragments`` is one root, others stay leaves."""
+    by_dir: dict[str, list[str]] = {}
+    for frag in fragments:
+        by_dir.setdefault(fragment_dir(frag), []).append(frag)
+    roots = []
+    for d, leaves in by_dir.items():
+        if commit.dirs.get(d) == len(set(leaves)):
+            roots.append(d)
+        else:
+            roots.extend(leaves)
+    return roots
+
+
 def commit_name(version: int) -> str:
     return f"{COMMITS}/{version:020d}.json"
 
@@ -108,6 +141,7 @@ def write_commit(fs: HadoopFS, commit: Commit) -> Commit:
         fragments=commit.fragments,
         timestamp_ms=int(time.time() * 1000),
         metrics=commit.metrics,
+        dirs=commit.dirs,
     )
     if not fs.create_exclusive(commit_name(commit.version), stamped.to_json()):
         raise TableConflictError(

@@ -203,6 +203,23 @@ def test_empty_write_and_delete_everything(spark, tmp_uri):
     assert read_table(spark, part).count() == 0
 
 
+def test_scan_roots_collapse_fully_live_commit_dirs(spark, tmp_uri):
+    from strata.table.log import scan_roots
+
+    path = tmp_uri("roots")
+    df = spark.range(0, 20).select(F.col("id"), (F.col("id") % 4).alias("p"))
+    first = write_table(df, path, partition_by=["p"])
+    assert scan_roots(first, first.fragments) == [first.fragments[0].rsplit("/", 1)[0]]
+    second = write_table(df, path, mode="append")
+    assert len(scan_roots(second, second.fragments)) == 2
+    third = update_table(spark, path, "p = 1", {"id": "id + 100"})
+    roots = scan_roots(third, third.fragments)
+    # both earlier commit dirs lost their p=1 leaf (3 leaves listed each);
+    # the new dir is whole
+    assert len(roots) == 3 + 3 + 1
+    assert read_table(spark, path).count() == 40
+
+
 def test_partition_only_delete_drops_fragments_without_rewrite(spark, tmp_uri):
     path = tmp_uri("pdel")
     df = spark.range(0, 30).select(F.col("id"), (F.col("id") % 3).alias("p"))

@@ -29,6 +29,8 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--merge-schema", action="store_true", help="allow new columns")
     p.add_argument("--overwrite-schema", action="store_true", help="replace schema (overwrite only)")
     p.add_argument("--glob", default=None, help="file-name filter, e.g. '*.jsonl'")
+    p.add_argument("--schema", default=None, help="DDL schema, skips the inference pass")
+    p.add_argument("--sampling-ratio", type=float, default=None, help="infer from a sample")
     p.add_argument("--format", default="parquet", choices=["parquet", "delta"])
     p.add_argument("--master", default=None, help="only outside spark-submit")
     return p.parse_args(argv)
@@ -51,6 +53,8 @@ def main(argv=None) -> int:
         merge_schema=args.merge_schema,
         overwrite_schema=args.overwrite_schema,
         glob=args.glob,
+        schema=args.schema,
+        sampling_ratio=args.sampling_ratio,
         format=args.format,
     )
     if result.commit is None:

@@ -48,6 +48,7 @@ def ingest_json(
     merge_schema: bool = False,
     overwrite_schema: bool = False,
     schema: StructType | str | None = None,
+    sampling_ratio: float | None = None,
     glob: str | None = None,
     ingest_timestamp: str | None = None,
     rebalance: bool = True,
@@ -58,10 +59,19 @@ def ingest_json(
     ``repartition=n`` spreads rows round-robin over ``n`` writer tasks (falsy:
     skipped). Otherwise a partitioned write is rebalanced on the partition
     columns (``rebalance=False`` writes as read). ``schema`` skips the
-    inference pass over the input; ``ingest_timestamp`` names an optional
-    column stamped with the write time.
+    inference pass over the input and ``sampling_ratio`` shortens it (fields
+    seen only in unsampled rows are then dropped); ``ingest_timestamp`` names
+    an optional column stamped with the write time.
     """
-    df = read_json(spark, input_dir, recursive=recursive, multiline=multiline, schema=schema, glob=glob)
+    df = read_json(
+        spark,
+        input_dir,
+        recursive=recursive,
+        multiline=multiline,
+        schema=schema,
+        sampling_ratio=sampling_ratio,
+        glob=glob,
+    )
     if ingest_timestamp:
         df = with_ingest_timestamp(df, ingest_timestamp)
     df = round_robin(df, repartition)

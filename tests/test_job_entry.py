@@ -103,6 +103,15 @@ def test_job_main(spark, trip_dir, tmp_uri):
     assert read_table(spark, out).count() == 40
 
 
+def test_job_with_given_schema(spark, trip_dir, tmp_uri):
+    out = tmp_uri("schema")
+    ddl = "VendorID long, trip_distance double, year long, month long"
+    assert main(["--input", str(trip_dir), "--output", out, "--schema", ddl]) == 0
+    table = read_table(spark, out)
+    assert table.columns == ["VendorID", "trip_distance", "year", "month"]
+    assert table.count() == 20
+
+
 def test_job_missing_partition_column_fails(spark, tmp_path, tmp_uri):
     write_lines(tmp_path / "j" / "a.json", [json.dumps({"id": 1})])
     with pytest.raises(SchemaMismatchError):

@@ -47,6 +47,9 @@ class Commit:
     dirs: dict = field(default_factory=dict)
     """Leaf count each referenced commit directory had when written, so a
     directory whose leaves are all live is scanned as one root."""
+    removed: dict = field(default_factory=dict)
+    """Per live fragment, names of its files no longer in this version
+    (rewritten or deleted by update/delete)."""
 
     def to_json(self) -> str:
         return json.dumps(
@@ -59,6 +62,7 @@ class Commit:
                 "fragments": self.fragments,
                 "metrics": self.metrics,
                 "dirs": self.dirs,
+                "removed": self.removed,
             },
             sort_keys=True,
         )
@@ -75,6 +79,7 @@ class Commit:
             timestamp_ms=int(raw.get("timestamp_ms", 0)),
             metrics=dict(raw.get("metrics", {})),
             dirs={k: int(v) for k, v in raw.get("dirs", {}).items()},
+            removed={k: list(v) for k, v in raw.get("removed", {}).items()},
         )
 
 
@@ -142,6 +147,7 @@ def write_commit(fs: HadoopFS, commit: Commit) -> Commit:
         timestamp_ms=int(time.time() * 1000),
         metrics=commit.metrics,
         dirs=commit.dirs,
+        removed=commit.removed,
     )
     if not fs.create_exclusive(commit_name(commit.version), stamped.to_json()):
         raise TableConflictError(

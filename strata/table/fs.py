@@ -63,21 +63,16 @@ class HadoopFS:
         return True
 
     def leaf_dirs(self, relative: str, depth: int) -> list[str]:
-        """Directories ``depth`` levels below ``relative`` (partition leaves).
-
-        Hidden names (``_``/``.``) are skipped like Spark's file index does.
-        Returned relative to the root.
-        """
-        pattern = self.path(relative + "/*" * depth) if depth else self.path(relative)
-        found = self._fs.globStatus(pattern) or []
-        out = []
-        prefix = self.qualify(relative).rstrip("/")
-        for status in found:
-            if not status.isDirectory():
-                continue
-            full = status.getPath().toString()
-            rest = full[len(prefix):].strip("/")
-            if any(part.startswith(("_", ".")) for part in rest.split("/") if part):
-                continue
-            out.append(f"{relative}/{rest}" if rest else relative)
-        return sorted(out)
+        """Directories ``depth`` levels below ``relative`` (partition leaves),
+        relative to the root. Hidden names (``_``/``.``) are skipped like
+        Spark's file index does; one listing per directory level."""
+        level = [relative] if self.exists(relative) else []
+        for _ in range(depth):
+            below = []
+            for parent in level:
+                for status in self._fs.listStatus(self.path(parent)):
+                    name = status.getPath().getName()
+                    if status.isDirectory() and not name.startswith(("_", ".")):
+                        below.append(f"{parent}/{name}")
+            level = below
+        return sorted(level)

@@ -354,3 +354,21 @@ def test_timestamps_round_trip(spark, tmp_uri):
     df = spark.createDataFrame([(1, dt.datetime(2025, 6, 30, 23, 54, 44))], "id long, t timestamp_ntz")
     write_table(df, path)
     assert read_table(spark, path).collect()[0].t == dt.datetime(2025, 6, 30, 23, 54, 44)
+
+
+def test_dml_with_special_characters_in_partition_values(spark, tmp_uri):
+    path = tmp_uri("special dir")
+    values = ["a b%c", "x+y", "q/r", "t:u", None]
+    df = spark.range(0, 50).select(
+        F.col("id"),
+        F.element_at(F.array(*[F.lit(v) for v in values]), (F.col("id") % 5 + 1).cast("int")).alias("p"),
+    )
+    write_table(df, path, partition_by=["p"])
+    assert read_table(spark, path).where("p = 'a b%c'").count() == 10
+    update_table(spark, path, "p = 'x+y' AND id < 20", {"id": "id + 1000"})
+    delete_from_table(spark, path, "p = 'q/r' AND id > 30")
+    delete_from_table(spark, path, "p IS NULL")
+    out = read_table(spark, path)
+    assert out.count() == 50 - 4 - 10
+    assert out.where("id >= 1000").count() == 4
+    assert sorted(r.p for r in out.select("p").distinct().collect()) == ["a b%c", "q/r", "t:u", "x+y"]

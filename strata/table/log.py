@@ -47,9 +47,9 @@ class Commit:
     dirs: dict = field(default_factory=dict)
     """Leaf count each referenced commit directory had when written, so a
     directory whose leaves are all live is scanned as one root."""
-    removed: dict = field(default_factory=dict)
-    """Per live fragment, names of its files no longer in this version
-    (rewritten or deleted by update/delete)."""
+    files: dict = field(default_factory=dict)
+    """For fragments that lost files to an update/delete: the names of the
+    files still live. Fragments not listed here are live as whole directories."""
 
     def to_json(self) -> str:
         return json.dumps(
@@ -62,7 +62,7 @@ class Commit:
                 "fragments": self.fragments,
                 "metrics": self.metrics,
                 "dirs": self.dirs,
-                "removed": self.removed,
+                "files": self.files,
             },
             sort_keys=True,
         )
@@ -79,7 +79,7 @@ class Commit:
             timestamp_ms=int(raw.get("timestamp_ms", 0)),
             metrics=dict(raw.get("metrics", {})),
             dirs={k: int(v) for k, v in raw.get("dirs", {}).items()},
-            removed={k: list(v) for k, v in raw.get("removed", {}).items()},
+            files={k: list(v) for k, v in raw.get("files", {}).items()},
         )
 
 
@@ -97,14 +97,20 @@ def live_dirs(fragments: list[str], *known: dict) -> dict:
 
 
 def scan_roots(commit: "Commit", fragments: list[str]) -> list[str]:
-    """Fewest paths covering exactly ``fragments``: a commit directory whose
-    every written leaf is in ``fragments`` is one root, others stay leaves."""
+    """Fewest paths covering exactly the live files of ``fragments``: a commit
+    directory whose every written leaf is live and whole is one root, other
+    whole leaves are one root each, and a fragment that lost files lists its
+    live files."""
     by_dir: dict[str, list[str]] = {}
-    for frag in fragments:
-        by_dir.setdefault(fragment_dir(frag), []).append(frag)
     roots = []
+    for frag in fragments:
+        if frag in commit.files:
+            roots.extend(f"{frag}/{name}" for name in commit.files[frag])
+        else:
+            by_dir.setdefault(fragment_dir(frag), []).append(frag)
+    partial_dirs = {fragment_dir(frag) for frag in commit.files}
     for d, leaves in by_dir.items():
-        if commit.dirs.get(d) == len(set(leaves)):
+        if d not in partial_dirs and commit.dirs.get(d) == len(set(leaves)):
             roots.append(d)
         else:
             roots.extend(leaves)
@@ -147,7 +153,7 @@ def write_commit(fs: HadoopFS, commit: Commit) -> Commit:
         timestamp_ms=int(time.time() * 1000),
         metrics=commit.metrics,
         dirs=commit.dirs,
-        removed=commit.removed,
+        files=commit.files,
     )
     if not fs.create_exclusive(commit_name(commit.version), stamped.to_json()):
         raise TableConflictError(

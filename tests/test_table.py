@@ -227,7 +227,7 @@ def test_partition_only_delete_drops_fragments_without_rewrite(spark, tmp_uri):
     commit = delete_from_table(spark, path, F.col("p") == 2)
     assert commit.metrics["files_rewritten"] == 0 and commit.metrics["fragments_removed"] == 1
     assert commit.metrics["rows_written"] == 0
-    assert len(commit.fragments) == 2 and commit.removed == {}
+    assert len(commit.fragments) == 2 and commit.files == {}
     assert sorted(ids(read_table(spark, path))) == [i for i in range(30) if i % 3 != 2]
     mixed = delete_from_table(spark, path, "p = 1 AND id > 20")
     assert mixed.metrics["files_rewritten"] >= 1 and mixed.metrics["rows_matched"] == 3
@@ -288,11 +288,12 @@ def test_unpartitioned_update_keeps_untouched_files(spark, tmp_uri):
     commit = update_table(spark, path, "id = 7", {"id": -7})
     assert commit.metrics["files_rewritten"] == 1 and commit.metrics["rows_matched"] == 1
     assert 0 < commit.metrics["rows_written"] < 400  # one file of four
-    assert len(commit.removed) == 1 and len(next(iter(commit.removed.values()))) == 1
+    # the old directory now lists its three live files explicitly
+    assert len(commit.files) == 1 and len(next(iter(commit.files.values()))) == 3
     after = read_table(spark, path).inputFiles()
-    assert len(set(before) & set(after)) == 4  # listing still sees the old files...
+    assert len(after) == 4 and len(set(before) & set(after)) == 3  # the rewritten file is not listed
     got = ids(read_table(spark, path))
-    assert len(got) == 400 and -7 in got and 7 not in got  # ...but reads skip the removed one
+    assert len(got) == 400 and -7 in got and 7 not in got
     assert 7 in ids(read_table(spark, path, version_as_of=0))
     # delete every row of one old file and part of another
     low = min(got[1:])
@@ -303,7 +304,7 @@ def test_unpartitioned_update_keeps_untouched_files(spark, tmp_uri):
     delete_from_table(spark, path, "id >= 0")
     final = table_commit(spark, path)
     assert ids(read_table(spark, path)) == [-7]
-    assert all(frag not in final.removed for frag in final.fragments)
+    assert final.files == {}
     assert len(final.fragments) == 1
 
 
@@ -372,3 +373,14 @@ def test_dml_with_special_characters_in_partition_values(spark, tmp_uri):
     assert out.count() == 50 - 4 - 10
     assert out.where("id >= 1000").count() == 4
     assert sorted(r.p for r in out.select("p").distinct().collect()) == ["a b%c", "q/r", "t:u", "x+y"]
+
+
+def test_reads_after_dml_carry_no_file_filter(spark, tmp_uri):
+    from strata.plans import plan_text
+
+    path = tmp_uri("nofilter")
+    write_table(spark.range(0, 400).repartition(4), path)
+    update_table(spark, path, "id = 3", {"id": 3000})
+    text = plan_text(read_table(spark, path).where("id > 10"), "simple")
+    assert "file_path" not in text and "_metadata" not in text
+    assert sorted(ids(read_table(spark, path)))[-1] == 3000

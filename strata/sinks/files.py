@@ -73,14 +73,16 @@ def write_json_documents(
 
     Rows are hashed into ``ceil(rows / rows_per_file)`` buckets; each bucket
     becomes one file holding one array, the shape ``multiline=True`` reads.
-    A bucket holds about ``rows_per_file`` rows, so no task gets more than
-    that. Returns the number of files.
+    The hash includes a per-row id, so duplicate rows spread like any others
+    and a bucket holds about ``rows_per_file`` rows. Returns the number of
+    files.
     """
     total = df.count()
     buckets = max(1, math.ceil(total / rows_per_file))
     options = {"pretty": "true"} if pretty else {}
     doc = F.to_json(F.struct(*[col_of(c) for c in df.columns]), options)
-    bucket = F.pmod(F.xxhash64(*[col_of(c) for c in df.columns]), F.lit(buckets))
+    row_id = F.monotonically_increasing_id()
+    bucket = F.pmod(F.xxhash64(row_id, *[col_of(c) for c in df.columns]), F.lit(buckets))
     arrays = (
         df.select(bucket.alias("bucket"), doc.alias("doc"))
         .groupBy("bucket")

@@ -71,6 +71,21 @@ def test_json_documents_round_trip(spark, tmp_path):
     assert sorted(r.id for r in back.collect()) == list(range(250))
 
 
+def test_json_documents_spread_duplicate_rows(spark, tmp_path):
+    df = spark.range(0, 900).select(F.lit(1).alias("same"))
+    out = tmp_path / "dups"
+    assert write_json_documents(df, str(out), rows_per_file=300) == 3
+    sizes = []
+    for bucket in os.listdir(out):
+        if bucket.startswith("bucket="):
+            text = "".join(
+                (out / bucket / f).read_text() for f in os.listdir(out / bucket) if f.endswith(".txt")
+            )
+            sizes.append(text.count('"same"'))
+    assert sum(sizes) == 900 and max(sizes) < 450
+    assert read_json(spark, str(out), multiline=True).count() == 900
+
+
 def test_expect_distinct(spark):
     df = trips(spark)
     assert expect_distinct(df, "year", 2) == [2024, 2025]

@@ -239,8 +239,11 @@ def q26_pruned_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q27_repartition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Round-robin to twice the scan's split count, then merge back down to
+    it: partition counts follow the input size (known from planning, no job)."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
-    return coalesce_to(round_robin(lines, 16), 8)
+    splits = max(1, lines.rdd.getNumPartitions())
+    return coalesce_to(round_robin(lines, 2 * splits), splits)
 
 
 def q28_range_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:

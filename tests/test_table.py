@@ -384,3 +384,27 @@ def test_reads_after_dml_carry_no_file_filter(spark, tmp_uri):
     text = plan_text(read_table(spark, path).where("id > 10"), "simple")
     assert "file_path" not in text and "_metadata" not in text
     assert sorted(ids(read_table(spark, path)))[-1] == 3000
+
+
+def test_hot_partition_value_is_split_over_several_writers(spark, tmp_path):
+    import os
+
+    path = "file://" + str(tmp_path / "skew")
+    n = 300_000
+    df = spark.range(0, n, 1, 8).select(
+        F.col("id"),
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 97 + 1).alias("p"),
+        F.sha2(F.col("id").cast("string"), 256).alias("pad"),
+    )
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(1 << 20))
+    try:
+        commit = write_table(df, path, partition_by=["p"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    hot = [f for f in commit.fragments if f.endswith("/p=0")][0]
+    hot_dir = os.path.join(str(tmp_path / "skew"), hot)
+    hot_files = [f for f in os.listdir(hot_dir) if f.endswith(".parquet")]
+    assert len(hot_files) > 1  # the value holding a third of the rows is not one task's job
+    assert read_table(spark, path).count() == n
+    assert read_table(spark, path).where("p = 0").count() == n // 3

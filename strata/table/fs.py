@@ -7,6 +7,8 @@ Only small control files pass through here; rows never do.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -62,6 +64,26 @@ class HadoopFS:
             out.close()
         return True
 
+    def publish_exclusive(self, relative: str, text: str) -> bool:
+        """Make ``relative`` hold ``text`` only if it does not exist yet.
+
+        The content is written to a hidden temporary file first and then
+        renamed into place, so a reader never sees a partly written file; the
+        rename refuses an existing target (atomically on HDFS / ABFS).
+        Returns False if another writer got there first.
+        """
+        parent, _, name = relative.rpartition("/")
+        temp = f"{parent}/.{name}.{uuid.uuid4().hex}.tmp" if parent else f".{name}.{uuid.uuid4().hex}.tmp"
+        if not self.create_exclusive(temp, text):
+            raise RuntimeError(f"temporary file {temp} already exists")
+        try:
+            if self.exists(relative):
+                return False
+            return bool(self._fs.rename(self.path(temp), self.path(relative)))
+        finally:
+            if self.exists(temp):
+                self._fs.delete(self.path(temp), False)
+
     def leaf_dirs(self, relative: str, depth: int) -> list[str]:
         """Directories ``depth`` levels below ``relative`` (partition leaves),
         relative to the root. Hidden names (``_``/``.``) are skipped like

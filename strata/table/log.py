@@ -155,7 +155,7 @@ def write_commit(fs: HadoopFS, commit: Commit) -> Commit:
         dirs=commit.dirs,
         files=commit.files,
     )
-    if not fs.create_exclusive(commit_name(commit.version), stamped.to_json()):
+    if not fs.publish_exclusive(commit_name(commit.version), stamped.to_json()):
         raise TableConflictError(
             f"version {commit.version} of {fs.root} was committed by another writer"
         )

@@ -335,6 +335,7 @@ def test_commit_conflict_and_corrupt_commit(spark, tmp_uri):
     clash = Commit(version=0, operation="WRITE", schema=current.schema, partition_by=[], fragments=[])
     with pytest.raises(TableConflictError):
         write_commit(fs, clash)
+    assert fs.list_names("commits") == [commit_name(0).split("/")[1]]  # no temp files left
     assert fs.create_exclusive(commit_name(1), "{not json")
     with pytest.raises(CorruptCommitError):
         read_table(spark, path)

@@ -409,3 +409,24 @@ def test_hot_partition_value_is_split_over_several_writers(spark, tmp_path):
     assert len(hot_files) > 1  # the value holding a third of the rows is not one task's job
     assert read_table(spark, path).count() == n
     assert read_table(spark, path).where("p = 0").count() == n // 3
+
+
+def test_fast_path_decoding_agrees_with_hadoop(spark, tmp_uri):
+    from strata.table.versioned import _decode_path, _Table
+
+    path = tmp_uri("enc dir+x")
+    df = spark.createDataFrame(
+        [(1, "a b%c"), (2, "x+y"), (3, "q/r"), (4, "t:u"), (5, "é ü"), (6, None)], "id long, p string"
+    )
+    write_table(df, path, partition_by=["p"])
+    table = _Table(spark, path)
+    commit = table.latest()
+    jvm = spark.sparkContext._jvm
+    uris = list(read_table(spark, path).inputFiles())
+    uris += [r[0] for r in table.raw_scan(commit).select("_metadata.file_path").distinct().collect()]
+    assert len(uris) >= 12
+    for uri in uris:
+        slow = table._split(jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri)).toString())
+        fast = table._split(_decode_path(uri))
+        assert fast == slow and fast[0] in commit.fragments
+        assert table.locate(uri, set(commit.fragments)) == slow

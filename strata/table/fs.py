@@ -83,18 +83,3 @@ class HadoopFS:
         finally:
             if self.exists(temp):
                 self._fs.delete(self.path(temp), False)
-
-    def leaf_dirs(self, relative: str, depth: int) -> list[str]:
-        """Directories ``depth`` levels below ``relative`` (partition leaves),
-        relative to the root. Hidden names (``_``/``.``) are skipped like
-        Spark's file index does; one listing per directory level."""
-        level = [relative] if self.exists(relative) else []
-        for _ in range(depth):
-            below = []
-            for parent in level:
-                for status in self._fs.listStatus(self.path(parent)):
-                    name = status.getPath().getName()
-                    if status.isDirectory() and not name.startswith(("_", ".")):
-                        below.append(f"{parent}/{name}")
-            level = below
-        return sorted(level)

@@ -112,6 +112,22 @@ def test_job_with_given_schema(spark, trip_dir, tmp_uri):
     assert table.count() == 20
 
 
+def test_job_multiline_and_non_recursive(spark, tmp_path, tmp_uri):
+    flat = tmp_path / "flat"
+    flat.mkdir()
+    docs = [trip_record(i, 2025, 6, i + 1) for i in range(4)]
+    (flat / "a.json").write_text(json.dumps(docs[:3], indent=2))
+    (flat / "b.json").write_text(json.dumps(docs[3], indent=2))
+    out = tmp_uri("ml")
+    assert main(["--input", str(flat), "--output", out, "--multiline", "--no-recursive"]) == 0
+    assert read_table(spark, out).count() == 4
+    (flat / "sub").mkdir()
+    write_lines(flat / "sub" / "c.jsonl", [json.dumps(trip_record(9, 2025, 8, 1))])
+    out2 = tmp_uri("glob")
+    assert main(["--input", str(flat), "--output", out2, "--glob", "*.jsonl"]) == 0
+    assert read_table(spark, out2).count() == 1
+
+
 def test_job_missing_partition_column_fails(spark, tmp_path, tmp_uri):
     write_lines(tmp_path / "j" / "a.json", [json.dumps({"id": 1})])
     with pytest.raises(SchemaMismatchError):

@@ -77,9 +77,25 @@ class HadoopFS:
         if not self.create_exclusive(temp, text):
             raise RuntimeError(f"temporary file {temp} already exists")
         try:
+            if self.root.startswith("file:"):
+                return self._link_exclusive(temp, relative)
             if self.exists(relative):
                 return False
             return bool(self._fs.rename(self.path(temp), self.path(relative)))
         finally:
             if self.exists(temp):
                 self._fs.delete(self.path(temp), False)
+
+    def _link_exclusive(self, existing: str, relative: str) -> bool:
+        """Local filesystem: a hard link fails atomically if the name is taken
+        (Hadoop's local rename checks first and renames second)."""
+        nio = self._jvm.java.nio.file
+        target = nio.Paths.get(self.path(relative).toUri())
+        source = nio.Paths.get(self.path(existing).toUri())
+        try:
+            nio.Files.createLink(target, source)
+        except Exception as exc:
+            if "FileAlreadyExists" in str(exc):
+                return False
+            raise
+        return True

@@ -430,3 +430,52 @@ def test_fast_path_decoding_agrees_with_hadoop(spark, tmp_uri):
         fast = table._split(_decode_path(uri))
         assert fast == slow and fast[0] in commit.fragments
         assert table.locate(uri, set(commit.fragments)) == slow
+
+
+def test_publish_exclusive_has_one_winner(spark, tmp_uri):
+    from concurrent.futures import ThreadPoolExecutor
+
+    fs = HadoopFS(spark, tmp_uri("race"))
+    with ThreadPoolExecutor(16) as pool:
+        results = list(pool.map(lambda i: fs.publish_exclusive("commits/x.json", str(i)), range(16)))
+    assert results.count(True) == 1
+    assert fs.read_text("commits/x.json") == str(results.index(True))
+    assert fs.list_names("commits") == ["x.json"]
+
+
+def test_concurrent_appends_all_land(spark, tmp_uri):
+    from concurrent.futures import ThreadPoolExecutor
+
+    path = tmp_uri("appends")
+    write_table(spark.range(0, 10), path)
+
+    def append(i):
+        return write_table(spark.range(1000 * (i + 1), 1000 * (i + 1) + 10), path, mode="append").version
+
+    with ThreadPoolExecutor(4) as pool:
+        versions = list(pool.map(append, range(4)))
+    assert sorted(versions) == [1, 2, 3, 4]
+    got = ids(read_table(spark, path))
+    assert len(got) == 50 and len(set(got)) == 50
+
+
+def test_append_retry_refuses_after_schema_change(spark, tmp_uri, monkeypatch):
+    import strata.table.versioned as versioned
+
+    path = tmp_uri("retry-schema")
+    write_table(spark.createDataFrame([(1,)], "k long"), path)
+    real = versioned.write_commit
+    raced = {"done": False}
+
+    def racing(fs, commit):
+        if not raced["done"]:
+            raced["done"] = True  # another writer adds a column first
+            wider = spark.createDataFrame([(2, "x")], "k long, v string")
+            versioned.write_table(wider, path, mode="append", merge_schema=True)
+        return real(fs, commit)
+
+    monkeypatch.setattr(versioned, "write_commit", racing)
+    with pytest.raises(TableConflictError):
+        write_table(spark.createDataFrame([(3,)], "k long"), path, mode="append")
+    monkeypatch.setattr(versioned, "write_commit", real)
+    assert sorted((tuple(r) for r in read_table(spark, path).collect()), key=str) == [(1, None), (2, "x")]

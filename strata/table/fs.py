@@ -50,6 +50,14 @@ class HadoopFS:
         finally:
             stream.close()
 
+    def write_text(self, relative: str, text: str) -> None:
+        """Create or replace a small file (not atomic; for hints only)."""
+        out = self._fs.create(self.path(relative), True)
+        try:
+            out.write(bytearray(text.encode("utf-8")))
+        finally:
+            out.close()
+
     def create_exclusive(self, relative: str, text: str) -> bool:
         """Create a file that must not exist yet; False if another writer won."""
         try:

@@ -3,6 +3,7 @@
 Layout under the table path::
 
     commits/<20-digit version>.json        one small JSON file per version
+    commits/latest.hint                    a recent version, to skip listing
     data/strata_commit=<token>/[p=v/...]/part-*.parquet   written once
 
 A commit names the leaf directories ("fragments") that make up that version,
@@ -23,6 +24,7 @@ from pyspark.sql.types import StructType
 from strata.table.fs import HadoopFS
 
 COMMITS = "commits"
+HINT = f"{COMMITS}/latest.hint"
 DATA = "data"
 COMMIT_COLUMN = "strata_commit"
 
@@ -138,9 +140,36 @@ def read_commit(fs: HadoopFS, version: int) -> Commit:
         raise CorruptCommitError(f"commit {version} at {fs.root}/{name} is unreadable") from exc
 
 
+def _read_hint(fs: HadoopFS) -> int | None:
+    try:
+        return int(fs.read_text(HINT).strip())
+    except Exception:  # missing, partly written or garbage: list instead
+        return None
+
+
+def latest_version(fs: HadoopFS) -> int | None:
+    """Newest committed version without listing every commit file.
+
+    The hint file names a version that was committed (it is written after
+    the commit, so it is never ahead); probing forward from it finds newer
+    ones. Without a usable hint the commit directory is listed.
+    """
+    version = _read_hint(fs)
+    if version is None or not fs.exists(commit_name(version)):
+        versions = list_versions(fs)
+        return versions[-1] if versions else None
+    while fs.exists(commit_name(version + 1)):
+        version += 1
+    return version
+
+
 def latest_commit(fs: HadoopFS) -> Commit | None:
-    versions = list_versions(fs)
-    return read_commit(fs, versions[-1]) if versions else None
+    version = latest_version(fs)
+    return None if version is None else read_commit(fs, version)
+
+
+def has_version(fs: HadoopFS, version: int) -> bool:
+    return version >= 0 and fs.exists(commit_name(version))
 
 
 def write_commit(fs: HadoopFS, commit: Commit) -> Commit:
@@ -159,4 +188,8 @@ def write_commit(fs: HadoopFS, commit: Commit) -> Commit:
         raise TableConflictError(
             f"version {commit.version} of {fs.root} was committed by another writer"
         )
+    try:
+        fs.write_text(HINT, str(commit.version))
+    except Exception:  # a stale or missing hint only costs a listing
+        pass
     return stamped

@@ -335,7 +335,8 @@ def test_commit_conflict_and_corrupt_commit(spark, tmp_uri):
     clash = Commit(version=0, operation="WRITE", schema=current.schema, partition_by=[], fragments=[])
     with pytest.raises(TableConflictError):
         write_commit(fs, clash)
-    assert fs.list_names("commits") == [commit_name(0).split("/")[1]]  # no temp files left
+    names = [n for n in fs.list_names("commits") if not n.endswith(".hint")]
+    assert names == [commit_name(0).split("/")[1]]  # no temp files left
     assert fs.create_exclusive(commit_name(1), "{not json")
     with pytest.raises(CorruptCommitError):
         read_table(spark, path)
@@ -479,3 +480,22 @@ def test_append_retry_refuses_after_schema_change(spark, tmp_uri, monkeypatch):
         write_table(spark.createDataFrame([(3,)], "k long"), path, mode="append")
     monkeypatch.setattr(versioned, "write_commit", real)
     assert sorted((tuple(r) for r in read_table(spark, path).collect()), key=str) == [(1, None), (2, "x")]
+
+
+def test_latest_version_hint_is_only_a_hint(spark, tmp_uri):
+    from strata.table.log import HINT, latest_version
+
+    path = tmp_uri("hint")
+    for i in range(4):
+        write_table(spark.range(i, i + 1), path, mode="append")
+    fs = HadoopFS(spark, path)
+    assert fs.read_text(HINT) == "3" and latest_version(fs) == 3
+    fs.write_text(HINT, "1")  # stale: probing forward finds 3
+    assert latest_version(fs) == 3
+    fs.write_text(HINT, "garbage")
+    assert latest_version(fs) == 3
+    fs.write_text(HINT, "9")  # points past the last commit: list instead
+    assert latest_version(fs) == 3
+    fs._fs.delete(fs.path(HINT), False)
+    assert latest_version(fs) == 3
+    assert ids(read_table(spark, path)) == [0, 1, 2, 3]

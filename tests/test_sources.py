@@ -132,3 +132,20 @@ def test_inline_rows_sort_dict_keys(spark):
 def test_id_range(spark):
     assert [r.id for r in id_range(spark, 5, 10).collect()] == [5, 6, 7, 8, 9]
     assert id_range(spark, 3).schema == T.StructType([T.StructField("id", T.LongType(), False)])
+
+
+def test_parquet_scan_skips_unreadable_files(spark, tmp_path):
+    df = rows(spark, [{"id": 1}], "id bigint")
+    write_parquet(df, str(tmp_path / "p"))
+    (tmp_path / "p" / "broken.parquet").write_bytes(b"not parquet at all")
+    assert read_parquet(spark, str(tmp_path / "p"), schema="id bigint").count() == 1
+    with pytest.raises(Exception):
+        read_parquet(spark, str(tmp_path / "p"), schema="id bigint", ignore_corrupt_files=False).count()
+
+
+def test_custom_corrupt_column_name(spark, tmp_path):
+    write_lines(tmp_path / "in" / "a.json", ['{"a": 1}', "{broken"])
+    df = read_json(spark, str(tmp_path / "in"), corrupt_column="raw").cache()
+    good, bad = split_corrupt(df, "raw")
+    assert [r.a for r in good.collect()] == [1] and [r.raw for r in bad.collect()] == ["{broken"]
+    df.unpersist()

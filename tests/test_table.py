@@ -499,3 +499,23 @@ def test_latest_version_hint_is_only_a_hint(spark, tmp_uri):
     fs._fs.delete(fs.path(HINT), False)
     assert latest_version(fs) == 3
     assert ids(read_table(spark, path)) == [0, 1, 2, 3]
+
+
+def test_dml_after_schema_evolution_and_append_after_dml(spark, tmp_uri):
+    path = tmp_uri("evolve")
+    write_table(spark.range(0, 200, 1, 2), path)  # ids 0-99 and 100-199 in two files
+    wider = spark.range(200, 210).select("id", F.lit("new").alias("tag"))
+    write_table(wider, path, mode="append", merge_schema=True)
+    # older files lack `tag`: they read as NULL and the update fills them in
+    commit = update_table(spark, path, "tag IS NULL AND id < 5", {"tag": "'old'"})
+    assert commit.metrics["rows_matched"] == 5 and commit.metrics["files_rewritten"] == 1
+    assert len(commit.files) == 1  # the first directory keeps one of its two files
+    # an append after a partial rewrite keeps the explicit live-file lists
+    appended = write_table(spark.range(500, 503), path, mode="append")
+    assert appended.files == commit.files
+    df = read_table(spark, path)
+    assert df.count() == 213
+    assert df.where("tag = 'old'").count() == 5 and df.where("tag = 'new'").count() == 10
+    assert df.where("tag IS NULL").count() == 213 - 15
+    assert read_table(spark, path, version_as_of=1).where("tag IS NULL").count() == 200
+    assert read_table(spark, path, version_as_of=0).columns == ["id"]

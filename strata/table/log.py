@@ -6,11 +6,15 @@ Layout under the table path::
     commits/latest.hint                    a recent version, to skip listing
     data/strata_commit=<token>/[p=v/...]/part-*.parquet   written once
 
-A commit names the leaf directories ("fragments") that make up that version,
-the table schema and its partition columns. Data directories are never
-changed after their commit; a version is read by listing its fragments.
-The commit file is created with create-if-absent, so two writers racing for
-the same version cannot both win (single-writer guard, no retry).
+A commit names what makes up that version: commit directories live in full
+("whole"), and, for directories an update/delete touched, their live leaf
+directories ("fragments") and, for leaves that lost files, the live file
+names; plus the table schema and its partition columns. Data directories are
+never changed after their commit.
+
+A commit file is written under a hidden temporary name and put in place by a
+rename that refuses an existing target, so two writers racing for the same
+version cannot both win and readers never see a partly written commit.
 """
 
 from __future__ import annotations
@@ -44,11 +48,12 @@ class Commit:
     schema: StructType
     partition_by: list[str]
     fragments: list[str]
+    """Live leaf directories of commit directories an update/delete touched."""
     timestamp_ms: int = 0
     metrics: dict = field(default_factory=dict)
-    dirs: dict = field(default_factory=dict)
-    """Leaf count each referenced commit directory had when written, so a
-    directory whose leaves are all live is scanned as one root."""
+    whole: list = field(default_factory=list)
+    """Commit directories live in full (every file written there); their
+    leaves are not listed, and each is scanned as one root."""
     files: dict = field(default_factory=dict)
     """For fragments that lost files to an update/delete: the names of the
     files still live. Fragments not listed here are live as whole directories."""
@@ -63,7 +68,7 @@ class Commit:
                 "partition_by": self.partition_by,
                 "fragments": self.fragments,
                 "metrics": self.metrics,
-                "dirs": self.dirs,
+                "whole": self.whole,
                 "files": self.files,
             },
             sort_keys=True,
@@ -80,7 +85,7 @@ class Commit:
             fragments=list(raw["fragments"]),
             timestamp_ms=int(raw.get("timestamp_ms", 0)),
             metrics=dict(raw.get("metrics", {})),
-            dirs={k: int(v) for k, v in raw.get("dirs", {}).items()},
+            whole=list(raw.get("whole", [])),
             files={k: list(v) for k, v in raw.get("files", {}).items()},
         )
 
@@ -90,32 +95,22 @@ def fragment_dir(fragment: str) -> str:
     return "/".join(fragment.split("/")[:2])
 
 
-def live_dirs(fragments: list[str], *known: dict) -> dict:
-    """Leaf counts (from ``known``) of the commit directories ``fragments`` use."""
-    merged = {}
-    for table in known:
-        merged.update(table)
-    return {d: merged[d] for d in dict.fromkeys(fragment_dir(f) for f in fragments) if d in merged}
+def is_live(commit: "Commit", fragment: str, whole: set[str] | None = None) -> bool:
+    """Whether a leaf directory belongs to the version."""
+    whole = set(commit.whole) if whole is None else whole
+    return fragment_dir(fragment) in whole or fragment in commit.fragments
 
 
-def scan_roots(commit: "Commit", fragments: list[str]) -> list[str]:
-    """Fewest paths covering exactly the live files of ``fragments``: a commit
-    directory whose every written leaf is live and whole is one root, other
-    whole leaves are one root each, and a fragment that lost files lists its
-    live files."""
-    by_dir: dict[str, list[str]] = {}
-    roots = []
-    for frag in fragments:
+def scan_roots(commit: "Commit", fragments: list[str] | None = None) -> list[str]:
+    """Paths covering exactly the live files of the version (default) or of
+    the given leaf ``fragments``: whole commit directories and whole leaves
+    are one root each, a leaf that lost files lists its live files."""
+    roots = list(commit.whole) if fragments is None else []
+    for frag in commit.fragments if fragments is None else fragments:
         if frag in commit.files:
             roots.extend(f"{frag}/{name}" for name in commit.files[frag])
         else:
-            by_dir.setdefault(fragment_dir(frag), []).append(frag)
-    partial_dirs = {fragment_dir(frag) for frag in commit.files}
-    for d, leaves in by_dir.items():
-        if d not in partial_dirs and commit.dirs.get(d) == len(set(leaves)):
-            roots.append(d)
-        else:
-            roots.extend(leaves)
+            roots.append(frag)
     return roots
 
 
@@ -181,7 +176,7 @@ def write_commit(fs: HadoopFS, commit: Commit) -> Commit:
         fragments=commit.fragments,
         timestamp_ms=int(time.time() * 1000),
         metrics=commit.metrics,
-        dirs=commit.dirs,
+        whole=commit.whole,
         files=commit.files,
     )
     if not fs.publish_exclusive(commit_name(commit.version), stamped.to_json()):

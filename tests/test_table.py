@@ -203,20 +203,20 @@ def test_empty_write_and_delete_everything(spark, tmp_uri):
     assert read_table(spark, part).count() == 0
 
 
-def test_scan_roots_collapse_fully_live_commit_dirs(spark, tmp_uri):
+def test_whole_commit_dirs_and_opened_leaves(spark, tmp_uri):
     from strata.table.log import scan_roots
 
     path = tmp_uri("roots")
     df = spark.range(0, 20).select(F.col("id"), (F.col("id") % 4).alias("p"))
     first = write_table(df, path, partition_by=["p"])
-    assert scan_roots(first, first.fragments) == [first.fragments[0].rsplit("/", 1)[0]]
+    # a fresh write is one whole directory: no leaf list in the commit
+    assert first.fragments == [] and len(first.whole) == 1 and scan_roots(first) == first.whole
     second = write_table(df, path, mode="append")
-    assert len(scan_roots(second, second.fragments)) == 2
+    assert second.fragments == [] and len(scan_roots(second)) == 2
     third = update_table(spark, path, "p = 1", {"id": "id + 100"})
-    roots = scan_roots(third, third.fragments)
-    # both earlier commit dirs lost their p=1 leaf (3 leaves listed each);
-    # the new dir is whole
-    assert len(roots) == 3 + 3 + 1
+    # both earlier directories are opened into their three untouched leaves
+    assert len(third.whole) == 1 and len(third.fragments) == 6
+    assert len(scan_roots(third)) == 7
     assert read_table(spark, path).count() == 40
 
 
@@ -269,11 +269,13 @@ def test_update_rewrites_only_touched_files(spark, tmp_uri):
     path = tmp_uri("frag")
     df = spark.range(0, 40).select(F.col("id"), (F.col("id") % 4).alias("p"))
     write_table(df, path, partition_by=["p"])
-    assert len(table_commit(spark, path).fragments) == 4
+    first = table_commit(spark, path)
+    assert first.fragments == [] and len(first.whole) == 1
     commit = update_table(spark, path, "p = 1 AND id > 20", {"id": "id + 1000"})
     assert commit.metrics["files_rewritten"] == commit.metrics["files_removed"] == 1
     assert commit.metrics["rows_matched"] == 5
-    assert len(commit.fragments) == 4  # p=1 emptied and replaced by the new leaf
+    # the first directory is opened: p=1 emptied, three leaves stay; the rewrite is whole
+    assert len(commit.fragments) == 3 and len(commit.whole) == 1
     got = ids(read_table(spark, path))
     assert len(got) == 40 and 1021 in got and 21 not in got
     assert update_table(spark, path, "id < 0", {"id": 0}) is None
@@ -304,8 +306,8 @@ def test_unpartitioned_update_keeps_untouched_files(spark, tmp_uri):
     delete_from_table(spark, path, "id >= 0")
     final = table_commit(spark, path)
     assert ids(read_table(spark, path)) == [-7]
-    assert final.files == {}
-    assert len(final.fragments) == 1
+    assert final.files == {} and final.fragments == []
+    assert len(final.whole) == 1
 
 
 def test_update_can_move_rows_between_partitions(spark, tmp_uri):
@@ -404,7 +406,7 @@ def test_hot_partition_value_is_split_over_several_writers(spark, tmp_path):
         commit = write_table(df, path, partition_by=["p"])
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
-    hot = [f for f in commit.fragments if f.endswith("/p=0")][0]
+    hot = commit.whole[0] + "/p=0"
     hot_dir = os.path.join(str(tmp_path / "skew"), hot)
     hot_files = [f for f in os.listdir(hot_dir) if f.endswith(".parquet")]
     assert len(hot_files) > 1  # the value holding a third of the rows is not one task's job
@@ -413,6 +415,7 @@ def test_hot_partition_value_is_split_over_several_writers(spark, tmp_path):
 
 
 def test_fast_path_decoding_agrees_with_hadoop(spark, tmp_uri):
+    from strata.table.log import is_live
     from strata.table.versioned import _decode_path, _Table
 
     path = tmp_uri("enc dir+x")
@@ -429,8 +432,8 @@ def test_fast_path_decoding_agrees_with_hadoop(spark, tmp_uri):
     for uri in uris:
         slow = table._split(jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri)).toString())
         fast = table._split(_decode_path(uri))
-        assert fast == slow and fast[0] in commit.fragments
-        assert table.locate(uri, set(commit.fragments)) == slow
+        assert fast == slow and is_live(commit, fast[0])
+        assert table.locate(uri, set(), set(commit.whole)) == slow
 
 
 def test_publish_exclusive_has_one_winner(spark, tmp_uri):

@@ -28,7 +28,7 @@ from strata.session import scratch_path
 from strata.sinks.files import export_split_json, write_json, write_json_documents, write_parquet
 from strata.sources.files import id_range, read_parquet
 from strata.sources.json import read_json
-from strata.table.versioned import VersionedTable, delete_from_table, read_table, update_table, write_table
+from strata.table import VersionedTable, delete_from_table, read_table, update_table, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 

@@ -1,16 +1,15 @@
 """Path-addressed versioned tables (copy-on-write parquet commits)."""
 
 from strata.table.log import Commit, CorruptCommitError, TableConflictError
+from strata.table.dml import delete_from_table, update_table
+from strata.table.handle import VersionedTable
 from strata.table.versioned import (
     SchemaMismatchError,
     TableExistsError,
-    VersionedTable,
-    delete_from_table,
     read_table,
     table_commit,
     table_exists,
     table_version,
-    update_table,
     write_table,
 )
 

@@ -1,0 +1,242 @@
+"""Update and delete on versioned tables: copy-on-write per file.
+
+One pruned scan finds the files holding matching rows; only those are
+rewritten (update) or, for delete, only files that also keep rows; files
+where every row matches leave the version without being read again. Whole
+commit directories a DML touches are listed once into their leaves, and a
+leaf that lost files records its live file names in the commit.
+"""
+
+from __future__ import annotations
+
+import uuid
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+from strata.table.log import Commit, fragment_dir, write_commit
+from strata.table.versioned import (
+    SchemaMismatchError,
+    _as_column,
+    _delta_delete,
+    _delta_update,
+    _metric,
+    _quote,
+    _Table,
+)
+
+
+def _hit_files(
+    table: _Table,
+    commit: Commit,
+    condition: Column,
+    within: tuple[list[str], dict[str, set[str]]] | None = None,
+) -> dict[str, set[str]]:
+    """Files holding at least one row where ``condition`` is true, by fragment.
+
+    ``within`` = (leaf directories, {leaf: file names}) narrows the scan.
+
+    One distributed scan (filters, partition pruning and column pruning
+    pushed down, distinct combined map-side); only the distinct file paths
+    reach the driver, at most the number of files scanned.
+    """
+    if within is None:
+        if not commit.whole and not commit.fragments:
+            return {}
+        scan = table.raw_scan(commit)
+        allowed = None
+    else:
+        leaves, partial = within
+        allowed = set(leaves) | set(partial)
+        if not allowed:
+            return {}
+        scan = table.raw_scan(commit, leaves, partial)
+    files = (
+        scan
+        .where(condition)
+        .select(F.col("_metadata.file_path").alias("file"))
+        .distinct()
+        .collect()
+    )
+    whole = set(commit.whole)
+    live = set(commit.fragments) if allowed is None else allowed
+    out: dict[str, set[str]] = {}
+    for row in files:
+        frag, name = table.locate(row["file"], live, whole)
+        if not (frag in live or (allowed is None and fragment_dir(frag) in whole)):
+            # Never guess: an unmapped file would stay in the version and its
+            # rewritten rows would appear twice.
+            raise RuntimeError(f"file {row['file']} is not in a live fragment of {table.fs.root}")
+        out.setdefault(frag, set()).add(name)
+    return out
+
+
+def _split_whole(
+    commit: Commit, live: dict[str, set[str]], chosen: dict[str, set[str]]
+) -> tuple[list[str], dict[str, set[str]]]:
+    """Fragments whose every live file is chosen (scanned as directories) and
+    the rest (scanned as files)."""
+    whole = [frag for frag, names in chosen.items() if frag not in commit.files and names >= live[frag]]
+    partial = {frag: names for frag, names in chosen.items() if frag not in set(whole)}
+    return whole, partial
+
+
+def _drop_all(table: _Table, commit: Commit, operation: str) -> Commit:
+    """New, empty version; no data is read or written."""
+    return write_commit(
+        table.fs,
+        Commit(
+            version=commit.version + 1,
+            operation=operation,
+            schema=commit.schema,
+            partition_by=commit.partition_by,
+            fragments=[],
+            metrics={"dirs_removed": len(commit.whole), "fragments_removed": len(commit.fragments), "rows_written": 0},
+        ),
+    )
+
+
+def _apply(
+    table: _Table,
+    commit: Commit,
+    live: dict[str, set[str]],
+    leaving: dict[str, set[str]],
+    rewrite: dict[str, set[str]],
+    condition: Column,
+    operation: str,
+    build,
+) -> Commit:
+    """One new version without the ``leaving`` files, plus the rows of the
+    ``rewrite`` files (a subset) passed through ``build``. ``live`` holds the
+    live file names of every fragment in ``leaving``.
+
+    Untouched files stay where they are. A fragment whose files have all
+    left is dropped from the version.
+    """
+    matched = F.coalesce(condition, F.lit(False))
+    version = commit.version + 1
+    new_dirs: list[str] = []
+    metrics = {
+        "files_removed": sum(len(v) for v in leaving.values()),
+        "files_rewritten": sum(len(v) for v in rewrite.values()),
+        "rows_matched": 0,
+        "rows_written": 0,
+    }
+    if rewrite:
+        whole, partial = _split_whole(commit, live, rewrite)
+        source = table.snapshot(commit, whole, partial)
+        observation = Observation(f"strata_{operation.lower()}_{uuid.uuid4().hex[:8]}")
+        source = source.observe(
+            observation, F.sum(F.when(matched, 1).otherwise(0)).alias("rows_matched")
+        )
+        new_dirs, written = table.write_dir(build(source, matched), version, commit.partition_by, False)
+        metrics["rows_matched"] = _metric(observation, "rows_matched")
+        metrics["rows_written"] = _metric(written, "rows")
+
+    files = {frag: set(names) for frag, names in commit.files.items()}
+    for frag in leaving:
+        files[frag] = live[frag] - leaving[frag]
+    emptied = {frag for frag in leaving if not files[frag]}
+    # Whole commit directories that lose files are listed once into leaves.
+    opened = sorted({fragment_dir(frag) for frag in leaving} & set(commit.whole))
+    leaves = list(commit.fragments)
+    for directory in opened:
+        leaves.extend(table.leaves_under(directory, len(commit.partition_by)))
+    kept = [frag for frag in leaves if frag not in emptied]
+    metrics["fragments_removed"] = len(emptied)
+    return write_commit(
+        table.fs,
+        Commit(
+            version=version,
+            operation=operation,
+            schema=commit.schema,
+            partition_by=commit.partition_by,
+            fragments=kept,
+            metrics=metrics,
+            whole=[d for d in commit.whole if d not in set(opened)] + list(new_dirs),
+            files={frag: sorted(files[frag]) for frag in kept if frag in files},
+        ),
+    )
+
+
+def update_table(
+    spark: SparkSession,
+    path: str,
+    condition,
+    assignments: Mapping[str, object],
+    *,
+    format: str = "parquet",
+) -> Commit | None:
+    """Set columns where ``condition`` holds; a new version.
+
+    Every right-hand side sees the old row (one projection), values are cast
+    to the column type, and a NULL condition leaves the row unchanged.
+    Returns None when no row matches (no new version).
+    """
+    if format == "delta":
+        return _delta_update(spark, path, condition, assignments)
+    table = _Table(spark, path)
+    commit = table.latest()
+    if commit is None:
+        raise ValueError(f"no table at {table.fs.root}")
+    cond = _as_column(condition) if condition is not None else F.lit(True)
+    by_lower = {f.name.lower(): f for f in commit.schema.fields}
+    targets = {}
+    for name, value in assignments.items():
+        field = by_lower.get(name.lower())
+        if field is None:
+            raise SchemaMismatchError(f"cannot update unknown column {name!r}")
+        targets[field.name] = _as_column(value)
+
+    def build(source: DataFrame, matched: Column) -> DataFrame:
+        cols = []
+        for field in commit.schema.fields:
+            current = F.col(_quote(field.name))
+            if field.name in targets:
+                new = targets[field.name].cast(field.dataType)
+                cols.append(F.when(matched, new).otherwise(current).alias(field.name))
+            else:
+                cols.append(current)
+        return source.select(*cols)
+
+    hits = _hit_files(table, commit, cond)
+    if not hits:
+        return None
+    live = table.live_files(commit, list(hits))
+    return _apply(table, commit, live, hits, hits, cond, "UPDATE", build)
+
+
+def delete_from_table(
+    spark: SparkSession,
+    path: str,
+    condition=None,
+    *,
+    format: str = "parquet",
+) -> Commit | None:
+    """Remove rows where ``condition`` is true (NULL keeps the row); a new
+    version. None when nothing matched.
+
+    Copy-on-write per file: files without matches stay, files where every
+    row matches leave without being read again (for a condition on
+    partition columns only file footers are read), and only files mixing
+    both are rewritten.
+    """
+    if format == "delta":
+        return _delta_delete(spark, path, condition)
+    table = _Table(spark, path)
+    commit = table.latest()
+    if commit is None:
+        raise ValueError(f"no table at {table.fs.root}")
+    if condition is None:
+        return _drop_all(table, commit, "DELETE") if (commit.fragments or commit.whole) else None
+    cond = _as_column(condition)
+    hits = _hit_files(table, commit, cond)
+    if not hits:
+        return None
+    live = table.live_files(commit, list(hits))
+    # Files that keep rows; a partition-column condition prunes this scan to nothing.
+    keep = ~F.coalesce(cond, F.lit(False))
+    mixed = _hit_files(table, commit, keep, _split_whole(commit, live, hits))
+    drop_rows = lambda src, matched: src.where(~matched)
+    return _apply(table, commit, live, hits, mixed, cond, "DELETE", drop_rows)

@@ -522,3 +522,21 @@ def test_dml_after_schema_evolution_and_append_after_dml(spark, tmp_uri):
     assert df.where("tag IS NULL").count() == 213 - 15
     assert read_table(spark, path, version_as_of=1).where("tag IS NULL").count() == 200
     assert read_table(spark, path, version_as_of=0).columns == ["id"]
+
+
+def test_delta_format_needs_delta(spark, tmp_uri):
+    from strata.session import delta_available
+
+    if delta_available():
+        pytest.skip("Delta Lake is installed here")
+    path = tmp_uri("delta")
+    for call in (
+        lambda: write_table(spark.range(1), path, format="delta"),
+        lambda: read_table(spark, path, format="delta"),
+        lambda: update_table(spark, path, "id = 0", {"id": 1}, format="delta"),
+        lambda: delete_from_table(spark, path, "id = 0", format="delta"),
+    ):
+        with pytest.raises(RuntimeError, match="Delta Lake"):
+            call()
+    with pytest.raises(ValueError, match="unsupported table format"):
+        write_table(spark.range(1), path, format="orc")

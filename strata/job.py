@@ -31,6 +31,11 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--glob", default=None, help="file-name filter, e.g. '*.jsonl'")
     p.add_argument("--schema", default=None, help="DDL schema, skips the inference pass")
     p.add_argument("--sampling-ratio", type=float, default=None, help="infer from a sample")
+    p.add_argument(
+        "--no-rebalance",
+        action="store_true",
+        help="write partitions as read (input already laid out by partition); default shuffles once",
+    )
     p.add_argument("--format", default="parquet", choices=["parquet", "delta"])
     p.add_argument("--master", default=None, help="only outside spark-submit")
     return p.parse_args(argv)
@@ -55,6 +60,7 @@ def main(argv=None) -> int:
         glob=args.glob,
         schema=args.schema,
         sampling_ratio=args.sampling_ratio,
+        rebalance=not args.no_rebalance,
         format=args.format,
     )
     if result.commit is None:

@@ -103,6 +103,12 @@ def test_job_main(spark, trip_dir, tmp_uri):
     assert read_table(spark, out).count() == 40
 
 
+def test_job_without_rebalance(spark, trip_dir, tmp_uri):
+    out = tmp_uri("norebalance")
+    assert main(["--input", str(trip_dir), "--output", out, "--no-rebalance"]) == 0
+    assert read_table(spark, out).count() == 20
+
+
 def test_job_with_given_schema(spark, trip_dir, tmp_uri):
     out = tmp_uri("schema")
     ddl = "VendorID long, trip_distance double, year long, month long"

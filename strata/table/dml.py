@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,7 @@ from strata.table.versioned import (
     _as_column,
     _delta_delete,
     _delta_update,
+    _input_files,
     _metric,
     _quote,
     _Table,
@@ -31,11 +33,11 @@ def _hit_files(
     table: _Table,
     commit: Commit,
     condition: Column,
-    within: tuple[list[str], dict[str, set[str]]] | None = None,
+    within: tuple[list[str], set[str]] | None = None,
 ) -> dict[str, set[str]]:
-    """Files holding at least one row where ``condition`` is true, by fragment.
+    """Files holding at least one row where ``condition`` is true, by leaf.
 
-    ``within`` = (leaf directories, {leaf: file names}) narrows the scan.
+    ``within`` = (scan roots, the leaves they cover) narrows the scan.
 
     One distributed scan (filters, partition pruning and column pruning
     pushed down, distinct combined map-side); only the distinct file paths
@@ -47,11 +49,10 @@ def _hit_files(
         scan = table.raw_scan(commit)
         allowed = None
     else:
-        leaves, partial = within
-        allowed = set(leaves) | set(partial)
-        if not allowed:
+        roots, allowed = within
+        if not roots:
             return {}
-        scan = table.raw_scan(commit, leaves, partial)
+        scan = table.scan_paths(commit, roots)
     files = (
         scan
         .where(condition)
@@ -72,14 +73,52 @@ def _hit_files(
     return out
 
 
-def _split_whole(
-    commit: Commit, live: dict[str, set[str]], chosen: dict[str, set[str]]
-) -> tuple[list[str], dict[str, set[str]]]:
-    """Fragments whose every live file is chosen (scanned as directories) and
-    the rest (scanned as files)."""
-    whole = [frag for frag, names in chosen.items() if frag not in commit.files and names >= live[frag]]
-    partial = {frag: names for frag, names in chosen.items() if frag not in set(whole)}
-    return whole, partial
+@dataclass
+class _Touched:
+    """Live files of everything a DML touches, listed once."""
+
+    live: dict[str, set[str]]
+    """Live file names per leaf: every leaf of an opened directory, and the
+    touched leaves outside whole directories."""
+    opened: dict[str, list[str]]
+    """Whole commit directories with a touched leaf -> all their leaves."""
+
+
+def _list_touched(table: _Table, commit: Commit, hits: dict[str, set[str]]) -> _Touched:
+    """One listing per touched whole directory (a single root, which Spark
+    lists on the driver unless a level is wide) plus the touched leaves that
+    are already listed individually."""
+    opened_dirs = sorted({fragment_dir(leaf) for leaf in hits} & set(commit.whole))
+    live: dict[str, set[str]] = {}
+    if opened_dirs:
+        dirs = set(opened_dirs)
+        for uri in _input_files(table.scan_paths(commit, opened_dirs)):
+            leaf, name = table.locate(uri, frozenset(), dirs)
+            live.setdefault(leaf, set()).add(name)
+    opened = {d: sorted(leaf for leaf in live if fragment_dir(leaf) == d) for d in opened_dirs}
+    others = [leaf for leaf in hits if fragment_dir(leaf) not in set(opened_dirs)]
+    live.update(table.live_files(commit, others))
+    return _Touched(live, opened)
+
+
+def _roots(commit: Commit, touched: _Touched, chosen: dict[str, set[str]]) -> list[str]:
+    """Fewest scan roots covering exactly the ``chosen`` files: an opened
+    directory whose leaves are all chosen in full is one root, a leaf chosen
+    in full is one root, other chosen files are listed."""
+    full = {
+        leaf for leaf, names in chosen.items() if leaf not in commit.files and names >= touched.live[leaf]
+    }
+    roots = []
+    covered: set[str] = set()
+    for directory, leaves in touched.opened.items():
+        if leaves and all(leaf in full for leaf in leaves):
+            roots.append(directory)
+            covered.update(leaves)
+    roots.extend(sorted(full - covered))
+    for leaf, names in chosen.items():
+        if leaf not in full:
+            roots.extend(f"{leaf}/{name}" for name in sorted(names))
+    return roots
 
 
 def _drop_all(table: _Table, commit: Commit, operation: str) -> Commit:
@@ -100,7 +139,7 @@ def _drop_all(table: _Table, commit: Commit, operation: str) -> Commit:
 def _apply(
     table: _Table,
     commit: Commit,
-    live: dict[str, set[str]],
+    touched: _Touched,
     leaving: dict[str, set[str]],
     rewrite: dict[str, set[str]],
     condition: Column,
@@ -108,8 +147,8 @@ def _apply(
     build,
 ) -> Commit:
     """One new version without the ``leaving`` files, plus the rows of the
-    ``rewrite`` files (a subset) passed through ``build``. ``live`` holds the
-    live file names of every fragment in ``leaving``.
+    ``rewrite`` files (a subset) passed through ``build``. ``touched`` holds
+    the live files of every leaf in ``leaving`` and the opened directories.
 
     Untouched files stay where they are. A fragment whose files have all
     left is dropped from the version.
@@ -124,8 +163,9 @@ def _apply(
         "rows_written": 0,
     }
     if rewrite:
-        whole, partial = _split_whole(commit, live, rewrite)
-        source = table.snapshot(commit, whole, partial)
+        roots = _roots(commit, touched, rewrite)
+        raw = table.scan_paths(commit, roots)
+        source = raw.select(*[_quote(n) for n in commit.schema.names])
         observation = Observation(f"strata_{operation.lower()}_{uuid.uuid4().hex[:8]}")
         source = source.observe(
             observation, F.sum(F.when(matched, 1).otherwise(0)).alias("rows_matched")
@@ -136,13 +176,13 @@ def _apply(
 
     files = {frag: set(names) for frag, names in commit.files.items()}
     for frag in leaving:
-        files[frag] = live[frag] - leaving[frag]
+        files[frag] = touched.live[frag] - leaving[frag]
     emptied = {frag for frag in leaving if not files[frag]}
-    # Whole commit directories that lose files are listed once into leaves.
-    opened = sorted({fragment_dir(frag) for frag in leaving} & set(commit.whole))
+    # Whole commit directories that lose files turn into their leaves.
+    opened = list(touched.opened)
     leaves = list(commit.fragments)
     for directory in opened:
-        leaves.extend(table.leaves_under(directory, len(commit.partition_by)))
+        leaves.extend(touched.opened[directory])
     kept = [frag for frag in leaves if frag not in emptied]
     metrics["fragments_removed"] = len(emptied)
     return write_commit(
@@ -203,8 +243,8 @@ def update_table(
     hits = _hit_files(table, commit, cond)
     if not hits:
         return None
-    live = table.live_files(commit, list(hits))
-    return _apply(table, commit, live, hits, hits, cond, "UPDATE", build)
+    touched = _list_touched(table, commit, hits)
+    return _apply(table, commit, touched, hits, hits, cond, "UPDATE", build)
 
 
 def delete_from_table(
@@ -234,9 +274,9 @@ def delete_from_table(
     hits = _hit_files(table, commit, cond)
     if not hits:
         return None
-    live = table.live_files(commit, list(hits))
+    touched = _list_touched(table, commit, hits)
     # Files that keep rows; a partition-column condition prunes this scan to nothing.
     keep = ~F.coalesce(cond, F.lit(False))
-    mixed = _hit_files(table, commit, keep, _split_whole(commit, live, hits))
+    mixed = _hit_files(table, commit, keep, (_roots(commit, touched, hits), set(hits)))
     drop_rows = lambda src, matched: src.where(~matched)
-    return _apply(table, commit, live, hits, mixed, cond, "DELETE", drop_rows)
+    return _apply(table, commit, touched, hits, mixed, cond, "DELETE", drop_rows)

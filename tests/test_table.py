@@ -540,3 +540,22 @@ def test_delta_format_needs_delta(spark, tmp_uri):
             call()
     with pytest.raises(ValueError, match="unsupported table format"):
         write_table(spark.range(1), path, format="orc")
+
+
+def test_dml_scans_use_directory_roots_where_possible(spark, tmp_uri):
+    from strata.table.dml import _hit_files, _list_touched, _roots
+    from strata.table.versioned import _Table
+
+    path = tmp_uri("roots-dml")
+    df = spark.range(0, 400, 1, 4).select(F.col("id"), (F.col("id") % 8).alias("p"))
+    write_table(df, path, partition_by=["p"], rebalance=False)  # 4 files in each of 8 leaves
+    table = _Table(spark, path)
+    commit = table.latest()
+    everything = _hit_files(table, commit, F.lit(True))
+    touched = _list_touched(table, commit, everything)
+    assert len(touched.opened) == 1 and len(touched.live) == 8
+    assert _roots(commit, touched, everything) == commit.whole  # one root, not 8 leaves
+    some = _hit_files(table, commit, F.expr("p = 3 AND id < 100"))
+    touched = _list_touched(table, commit, some)
+    roots = _roots(commit, touched, some)
+    assert len(roots) == 1 and roots[0].endswith(".parquet")  # just the one file

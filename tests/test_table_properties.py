@@ -35,7 +35,7 @@ rows_strategy = st.lists(
     max_size=30,
 )
 ops_strategy = st.lists(
-    st.tuples(st.sampled_from(["update", "delete"]), st.integers(0, len(CONDITIONS) - 1)),
+    st.tuples(st.sampled_from(["update", "delete", "move"]), st.integers(0, len(CONDITIONS) - 1)),
     min_size=1,
     max_size=3,
 )
@@ -57,6 +57,9 @@ def test_dml_matches_model(spark, tmp_path_factory, rows, ops, partitioned):
                 (r[0], (r[1] or 0) + 100, r[2]) if pred(r) is True else r for r in model
             ]
             assert len(model) == before
+        elif op == "move":  # rewrites the partition column: rows change directories
+            update_table(spark, path, sql, {"p": "'moved'"})
+            model = [(r[0], r[1], "moved") if pred(r) is True else r for r in model]
         else:
             matching = sum(1 for r in model if pred(r) is True)
             delete_from_table(spark, path, sql)

@@ -101,7 +101,9 @@ def json_lines_files(
         reader = reader.option("pathGlobFilter", glob)
     lines = reader.load(path)
     value = F.trim(F.col("value"))
-    complete = (value.startswith("{") | value.startswith("[")) & F.try_parse_json(value).isNotNull()
+    # Cheap bracket checks first; only lines that could be whole values are parsed.
+    bracketed = (value.startswith("{") & value.endswith("}")) | (value.startswith("[") & value.endswith("]"))
+    complete = bracketed & F.try_parse_json(value).isNotNull()
     return (
         lines.where(complete)
         .groupBy(F.col("_metadata.file_path").alias("file"))

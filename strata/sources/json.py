@@ -70,7 +70,9 @@ def read_json(
     default a distributed check rejects such input first.
     """
     if multiline and check_multiline:
-        assert_not_json_lines(spark, path, recursive=recursive, glob=glob)
+        assert_not_json_lines(
+            spark, path, recursive=recursive, glob=glob, ignore_corrupt_files=ignore_corrupt_files
+        )
     reader = json_reader(
         spark,
         recursive=recursive,
@@ -86,7 +88,12 @@ def read_json(
 
 
 def json_lines_files(
-    spark: SparkSession, path: str, *, recursive: bool = True, glob: str | None = None
+    spark: SparkSession,
+    path: str,
+    *,
+    recursive: bool = True,
+    glob: str | None = None,
+    ignore_corrupt_files: bool = True,
 ) -> DataFrame:
     """Files that hold more than one complete JSON value on separate lines.
 
@@ -95,6 +102,8 @@ def json_lines_files(
     names of offending files come back.
     """
     reader = spark.read.format("text")
+    if ignore_corrupt_files:
+        reader = reader.option("ignoreCorruptFiles", "true")
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
     if glob:
@@ -113,9 +122,20 @@ def json_lines_files(
 
 
 def assert_not_json_lines(
-    spark: SparkSession, path: str, *, recursive: bool = True, glob: str | None = None
+    spark: SparkSession,
+    path: str,
+    *,
+    recursive: bool = True,
+    glob: str | None = None,
+    ignore_corrupt_files: bool = True,
 ) -> None:
-    offenders = json_lines_files(spark, path, recursive=recursive, glob=glob).limit(3).collect()
+    offenders = (
+        json_lines_files(
+            spark, path, recursive=recursive, glob=glob, ignore_corrupt_files=ignore_corrupt_files
+        )
+        .limit(3)
+        .collect()
+    )
     if offenders:
         names = ", ".join(f"{r['file']} ({r['documents']} records)" for r in offenders)
         raise MultilineMismatchError(

@@ -90,9 +90,9 @@ def _apply_runtime(spark: SparkSession, conf: dict[str, str] | None) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when the cluster names none (local tests) a
-    fresh local folder is set, so executors never write machine-local paths
-    on a cluster that has one.
+    Read from the session. Only a local-mode session without one (tests) gets
+    a fresh local folder; on a cluster a missing setting is an error, since
+    executors must never write to machine-local paths.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None)
@@ -101,6 +101,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not sc.master.startswith("local"):
+        raise RuntimeError(
+            "set spark.checkpoint.dir to a folder every executor can reach; "
+            "scratch output cannot go to a machine-local folder on a cluster"
+        )
     local = tempfile.mkdtemp(prefix="strata-checkpoint-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir().rstrip("/")

@@ -82,3 +82,45 @@ def test_ingest_timestamp_is_one_value(spark):
     out = with_ingest_timestamp(spark.range(100))
     assert dict(out.dtypes)["ingestion_ts"] == "timestamp"
     assert out.select("ingestion_ts").distinct().count() == 1
+
+
+class _FakeConf:
+    def __init__(self, values):
+        self.values = values
+
+    def get(self, key, default=None):
+        return self.values.get(key, default)
+
+
+class _FakeContext:
+    def __init__(self, master, conf=None):
+        self.master = master
+        self._conf = _FakeConf(conf or {})
+        self._dir = None
+
+    def getConf(self):
+        return self._conf
+
+    def getCheckpointDir(self):
+        return self._dir
+
+    def setCheckpointDir(self, path):
+        self._dir = "file:" + path
+
+
+class _FakeSession:
+    def __init__(self, context):
+        self.sparkContext = context
+
+
+def test_checkpoint_root_rules():
+    import pytest
+
+    from strata.session import checkpoint_root
+
+    shared = _FakeSession(_FakeContext("yarn", {"spark.checkpoint.dir": "hdfs:///shared/ckpt/"}))
+    assert checkpoint_root(shared) == "hdfs:///shared/ckpt"
+    local = _FakeSession(_FakeContext("local[8]"))
+    assert checkpoint_root(local).startswith("file:/")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(_FakeSession(_FakeContext("spark://cluster:7077")))

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from strata.table.log import Commit, fragment_dir, write_commit
+from strata.table.log import Commit, TableConflictError, fragment_dir, write_commit
 from strata.table.versioned import (
     SchemaMismatchError,
     _as_column,
@@ -185,19 +185,53 @@ def _apply(
         leaves.extend(touched.opened[directory])
     kept = [frag for frag in leaves if frag not in emptied]
     metrics["fragments_removed"] = len(emptied)
-    return write_commit(
-        table.fs,
-        Commit(
-            version=version,
-            operation=operation,
-            schema=commit.schema,
-            partition_by=commit.partition_by,
-            fragments=kept,
-            metrics=metrics,
-            whole=[d for d in commit.whole if d not in set(opened)] + list(new_dirs),
-            files={frag: sorted(files[frag]) for frag in kept if frag in files},
-        ),
+    result = Commit(
+        version=version,
+        operation=operation,
+        schema=commit.schema,
+        partition_by=commit.partition_by,
+        fragments=kept,
+        metrics=metrics,
+        whole=[d for d in commit.whole if d not in set(opened)] + list(new_dirs),
+        files={frag: sorted(files[frag]) for frag in kept if frag in files},
     )
+    return _commit_over_appends(table, commit, result)
+
+
+DML_RETRIES = 20
+
+
+def _commit_over_appends(table: _Table, base: Commit, result: Commit) -> Commit:
+    """Commit ``result`` (computed from ``base``); if other writers committed
+    only appends meanwhile, keep their new directories and commit on top.
+
+    This is write-serializable isolation: the update/delete applies to the
+    version it read, and rows appended concurrently are not touched. Any
+    other concurrent change raises TableConflictError.
+    """
+    for _ in range(DML_RETRIES):
+        try:
+            return write_commit(table.fs, result)
+        except TableConflictError:
+            latest = table.latest()
+            between = [table.commit_at(v) for v in range(base.version + 1, latest.version + 1)]
+            if any(
+                c.operation != "APPEND" or c.schema != base.schema or c.partition_by != base.partition_by
+                for c in between
+            ):
+                raise
+            appended = [d for d in latest.whole if d not in set(base.whole)]
+            result = Commit(
+                version=latest.version + 1,
+                operation=result.operation,
+                schema=result.schema,
+                partition_by=result.partition_by,
+                fragments=result.fragments,
+                metrics=result.metrics,
+                whole=list(result.whole) + appended,
+                files=result.files,
+            )
+    raise TableConflictError(f"{result.operation} on {table.fs.root} lost {DML_RETRIES} commit races")
 
 
 def update_table(

@@ -559,3 +559,45 @@ def test_dml_scans_use_directory_roots_where_possible(spark, tmp_uri):
     touched = _list_touched(table, commit, some)
     roots = _roots(commit, touched, some)
     assert len(roots) == 1 and roots[0].endswith(".parquet")  # just the one file
+
+
+def test_delete_commits_over_concurrent_appends(spark, tmp_uri, monkeypatch):
+    import strata.table.dml as dml
+
+    path = tmp_uri("dml-race")
+    write_table(spark.range(0, 20, 1, 2), path)
+    real = dml.write_commit
+    raced = {"done": False}
+
+    def racing(fs, commit):
+        if not raced["done"]:
+            raced["done"] = True  # an ingest job appends first
+            write_table(spark.range(100, 110), path, mode="append")
+        return real(fs, commit)
+
+    monkeypatch.setattr(dml, "write_commit", racing)
+    commit = delete_from_table(spark, path, "id % 2 = 0")
+    assert commit.version == 2
+    # the delete applied to the version it read; the concurrent append is kept whole
+    assert ids(read_table(spark, path)) == [i for i in range(20) if i % 2] + list(range(100, 110))
+
+
+def test_delete_refuses_to_commit_over_a_concurrent_overwrite(spark, tmp_uri, monkeypatch):
+    import strata.table.dml as dml
+
+    path = tmp_uri("dml-race-2")
+    write_table(spark.range(0, 20), path)
+    real = dml.write_commit
+    raced = {"done": False}
+
+    def racing(fs, commit):
+        if not raced["done"]:
+            raced["done"] = True
+            write_table(spark.range(500, 505), path, mode="overwrite")
+        return real(fs, commit)
+
+    monkeypatch.setattr(dml, "write_commit", racing)
+    with pytest.raises(TableConflictError):
+        delete_from_table(spark, path, "id < 5")
+    monkeypatch.setattr(dml, "write_commit", real)
+    assert ids(read_table(spark, path)) == [500, 501, 502, 503, 504]

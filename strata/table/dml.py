@@ -254,6 +254,8 @@ def update_table(
     commit = table.latest()
     if commit is None:
         raise ValueError(f"no table at {table.fs.root}")
+    if not assignments:
+        raise ValueError("update needs at least one column to set")
     cond = _as_column(condition) if condition is not None else F.lit(True)
     by_lower = {f.name.lower(): f for f in commit.schema.fields}
     targets = {}

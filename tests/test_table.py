@@ -263,6 +263,8 @@ def test_update_sees_old_values_and_casts(spark, tmp_uri):
     assert (row.a, row.b, row.x) == (2, 1, 3.0)
     with pytest.raises(SchemaMismatchError):
         update_table(spark, path, None, {"nope": 1})
+    with pytest.raises(ValueError, match="at least one column"):
+        update_table(spark, path, "a = 2", {})
 
 
 def test_update_rewrites_only_touched_files(spark, tmp_uri):

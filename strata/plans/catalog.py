@@ -29,6 +29,7 @@ from strata.sinks.files import export_split_json, write_json, write_json_documen
 from strata.sources.files import id_range, read_parquet
 from strata.sources.json import read_json
 from strata.table import VersionedTable, delete_from_table, read_table, update_table, write_table
+from strata.table.fs import HadoopFS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -285,6 +286,15 @@ def q31_bad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q32_skip_unreadable_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as JSON next to a file that claims gzip but is not: the
+    unreadable file is skipped, every order is read."""
+    root = scratch_path(spark, "q32")
+    write_json(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"), f"{root}/good")
+    HadoopFS(spark, root).write_text("bad/part-broken.json.gz", "this is not gzip data")
+    return read_json(spark, root, recursive=True).select("o_orderkey", "o_orderstatus")
+
+
 QUERIES: dict[str, Query] = {
     "q01_json_ingest": q01_json_ingest,
     "q02_json_recursive_glob": q02_json_recursive_glob,
@@ -314,6 +324,7 @@ QUERIES: dict[str, Query] = {
     "q28_range_lifecycle": q28_range_lifecycle,
     "q30_distinct_guard": q30_distinct_guard,
     "q31_bad_lines": q31_bad_lines,
+    "q32_skip_unreadable_files": q32_skip_unreadable_files,
 }
 
 _B = (
@@ -371,6 +382,7 @@ ORACLE_SQL: dict[str, str] = {
         "FROM orders) r WHERE id % 2 = 1"
     ),
     "q30_distinct_guard": f"SELECT DISTINCT year FROM {_B} b",
+    "q32_skip_unreadable_files": "SELECT o_orderkey, o_orderstatus FROM orders",
     "q31_bad_lines": (
         "SELECT (SELECT count(*) FROM orders) AS good, "
         f"(SELECT count(*) FROM orders WHERE o_orderpriority = '{URGENT}') AS bad"

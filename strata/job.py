@@ -1,6 +1,8 @@
-"""Submit-able ingest job: ``spark-submit -m strata.job --input ... --output ...``.
+"""Submit-able ingest job.
 
-Also runs as ``python -m strata.job`` (local master unless one is configured).
+``spark-submit --py-files strata.zip strata/job.py --input ... --output ...``
+(the zip holds the ``strata`` package), or ``python -m strata.job ...`` where
+the package is installed (local master unless one is configured).
 """
 
 from __future__ import annotations

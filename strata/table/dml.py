@@ -23,6 +23,7 @@ from strata.table.versioned import (
     _delta_delete,
     _delta_update,
     _input_files,
+    REMOVED_LIMIT,
     _metric,
     _quote,
     _Table,
@@ -106,7 +107,9 @@ def _roots(commit: Commit, touched: _Touched, chosen: dict[str, set[str]]) -> li
     directory whose leaves are all chosen in full is one root, a leaf chosen
     in full is one root, other chosen files are listed."""
     full = {
-        leaf for leaf, names in chosen.items() if leaf not in commit.files and names >= touched.live[leaf]
+        leaf
+        for leaf, names in chosen.items()
+        if leaf not in commit.files and leaf not in commit.removed and names >= touched.live[leaf]
     }
     roots = []
     covered: set[str] = set()
@@ -174,10 +177,7 @@ def _apply(
         metrics["rows_matched"] = _metric(observation, "rows_matched")
         metrics["rows_written"] = _metric(written, "rows")
 
-    files = {frag: set(names) for frag, names in commit.files.items()}
-    for frag in leaving:
-        files[frag] = touched.live[frag] - leaving[frag]
-    emptied = {frag for frag in leaving if not files[frag]}
+    files, removed, emptied = _after(commit, touched, leaving)
     # Whole commit directories that lose files turn into their leaves.
     opened = list(touched.opened)
     leaves = list(commit.fragments)
@@ -194,10 +194,44 @@ def _apply(
         metrics=metrics,
         whole=[d for d in commit.whole if d not in set(opened)] + list(new_dirs),
         files={frag: sorted(files[frag]) for frag in kept if frag in files},
+        removed={frag: sorted(removed[frag]) for frag in kept if frag in removed},
     )
     return _commit_over_appends(table, commit, result)
 
 
+def _after(
+    commit: Commit, touched: _Touched, leaving: dict[str, set[str]]
+) -> tuple[dict[str, set[str]], dict[str, set[str]], set[str]]:
+    """Live-file and removed-file lists per leaf after ``leaving`` goes, and
+    the leaves left empty.
+
+    A leaf keeps whichever list is shorter: the names that left (scanned as
+    a directory with those files filtered out, while the version excludes at
+    most REMOVED_LIMIT names) or the names still live (scanned as files).
+    """
+    files = {leaf: set(names) for leaf, names in commit.files.items()}
+    removed = {leaf: set(names) for leaf, names in commit.removed.items()}
+    budget = REMOVED_LIMIT - sum(len(v) for k, v in removed.items() if k not in leaving)
+    emptied = set()
+    for leaf in sorted(leaving, key=lambda k: len(leaving[k])):
+        live = touched.live[leaf] - leaving[leaf]
+        if not live:
+            emptied.add(leaf)
+            files.pop(leaf, None)
+            removed.pop(leaf, None)
+            continue
+        if leaf in commit.files:  # already listed by live files
+            files[leaf] = live
+            continue
+        gone = removed.pop(leaf, set()) | leaving[leaf]
+        if len(gone) < len(live) and len(gone) <= budget:
+            removed[leaf] = gone
+            budget -= len(gone)
+        else:
+            files[leaf] = live
+    return files, removed, emptied
+
+
 DML_RETRIES = 20
 
 
@@ -230,6 +264,7 @@ def _commit_over_appends(table: _Table, base: Commit, result: Commit) -> Commit:
                 metrics=result.metrics,
                 whole=list(result.whole) + appended,
                 files=result.files,
+                removed=result.removed,
             )
     raise TableConflictError(f"{result.operation} on {table.fs.root} lost {DML_RETRIES} commit races")
 

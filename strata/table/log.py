@@ -55,8 +55,11 @@ class Commit:
     """Commit directories live in full (every file written there); their
     leaves are not listed, and each is scanned as one root."""
     files: dict = field(default_factory=dict)
-    """For fragments that lost files to an update/delete: the names of the
-    files still live. Fragments not listed here are live as whole directories."""
+    """For leaves that lost files to an update/delete: the names of the files
+    still live (used when they are the smaller side)."""
+    removed: dict = field(default_factory=dict)
+    """For leaves that lost a few of many files: the names of the files that
+    left; the leaf is scanned as a directory with those files excluded."""
 
     def to_json(self) -> str:
         return json.dumps(
@@ -70,6 +73,7 @@ class Commit:
                 "metrics": self.metrics,
                 "whole": self.whole,
                 "files": self.files,
+                "removed": self.removed,
             },
             sort_keys=True,
         )
@@ -87,6 +91,7 @@ class Commit:
             metrics=dict(raw.get("metrics", {})),
             whole=list(raw.get("whole", [])),
             files={k: list(v) for k, v in raw.get("files", {}).items()},
+            removed={k: list(v) for k, v in raw.get("removed", {}).items()},
         )
 
 
@@ -102,9 +107,10 @@ def is_live(commit: "Commit", fragment: str, whole: set[str] | None = None) -> b
 
 
 def scan_roots(commit: "Commit", fragments: list[str] | None = None) -> list[str]:
-    """Paths covering exactly the live files of the version (default) or of
-    the given leaf ``fragments``: whole commit directories and whole leaves
-    are one root each, a leaf that lost files lists its live files."""
+    """Paths covering the live files of the version (default) or of the given
+    leaf ``fragments``: whole commit directories and whole leaves are one
+    root each, a leaf with a live-file list lists those files. A leaf with a
+    removed-file list is one root too; ``excluded`` names what to filter out."""
     roots = list(commit.whole) if fragments is None else []
     for frag in commit.fragments if fragments is None else fragments:
         if frag in commit.files:
@@ -114,6 +120,12 @@ def scan_roots(commit: "Commit", fragments: list[str] | None = None) -> list[str
     return roots
 
 
+def excluded(commit: "Commit", fragments: list[str] | None = None) -> list[tuple[str, str]]:
+    """(leaf, file name) pairs a scan of ``scan_roots`` must filter out."""
+    leaves = commit.removed if fragments is None else [f for f in fragments if f in commit.removed]
+    return [(leaf, name) for leaf in leaves for name in commit.removed[leaf]]
+
+
 def commit_name(version: int) -> str:
     return f"{COMMITS}/{version:020d}.json"
 
@@ -178,6 +190,7 @@ def write_commit(fs: HadoopFS, commit: Commit) -> Commit:
         metrics=commit.metrics,
         whole=commit.whole,
         files=commit.files,
+        removed=commit.removed,
     )
     if not fs.publish_exclusive(commit_name(commit.version), stamped.to_json()):
         raise TableConflictError(

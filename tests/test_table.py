@@ -292,10 +292,9 @@ def test_unpartitioned_update_keeps_untouched_files(spark, tmp_uri):
     commit = update_table(spark, path, "id = 7", {"id": -7})
     assert commit.metrics["files_rewritten"] == 1 and commit.metrics["rows_matched"] == 1
     assert 0 < commit.metrics["rows_written"] < 400  # one file of four
-    # the old directory now lists its three live files explicitly
-    assert len(commit.files) == 1 and len(next(iter(commit.files.values()))) == 3
-    after = read_table(spark, path).inputFiles()
-    assert len(after) == 4 and len(set(before) & set(after)) == 3  # the rewritten file is not listed
+    # one of four files left: the commit records that one name, not the three survivors
+    assert commit.files == {} and len(commit.removed) == 1
+    assert len(next(iter(commit.removed.values()))) == 1
     got = ids(read_table(spark, path))
     assert len(got) == 400 and -7 in got and 7 not in got
     assert 7 in ids(read_table(spark, path, version_as_of=0))
@@ -308,7 +307,7 @@ def test_unpartitioned_update_keeps_untouched_files(spark, tmp_uri):
     delete_from_table(spark, path, "id >= 0")
     final = table_commit(spark, path)
     assert ids(read_table(spark, path)) == [-7]
-    assert final.files == {} and final.fragments == []
+    assert final.files == {} and final.removed == {} and final.fragments == []
     assert len(final.whole) == 1
 
 
@@ -381,15 +380,131 @@ def test_dml_with_special_characters_in_partition_values(spark, tmp_uri):
     assert sorted(r.p for r in out.select("p").distinct().collect()) == ["a b%c", "q/r", "t:u", "x+y"]
 
 
-def test_reads_after_dml_carry_no_file_filter(spark, tmp_uri):
+def test_file_filters_stay_bounded(spark, tmp_uri, monkeypatch):
+    import strata.table.dml as dml
     from strata.plans import plan_text
 
-    path = tmp_uri("nofilter")
-    write_table(spark.range(0, 400).repartition(4), path)
-    update_table(spark, path, "id = 3", {"id": 3000})
-    text = plan_text(read_table(spark, path).where("id > 10"), "simple")
+    # one file of four leaves: its name is filtered out while listing
+    few = tmp_uri("few")
+    write_table(spark.range(0, 400, 1, 4), few)  # ids 0-99, 100-199, ... in four files
+    update_table(spark, few, "id = 3", {"id": 3000})
+    assert "file_path" in plan_text(read_table(spark, few).where("id > 10"), "simple")
+    assert ids(read_table(spark, few))[-1] == 3000 and len(ids(read_table(spark, few))) == 400
+
+    # three of four leave: the one live file is listed, no filter at all
+    most = tmp_uri("most")
+    write_table(spark.range(0, 400, 1, 4), most)
+    update_table(spark, most, "id >= 100", {"id": "id + 1000"})
+    text = plan_text(read_table(spark, most).where("id > 10"), "simple")
     assert "file_path" not in text and "_metadata" not in text
-    assert sorted(ids(read_table(spark, path)))[-1] == 3000
+    assert len(ids(read_table(spark, most))) == 400
+
+    # past the per-version cap, live-file lists are used even for small removals
+    monkeypatch.setattr(dml, "REMOVED_LIMIT", 0)
+    capped = tmp_uri("capped")
+    write_table(spark.range(0, 400, 1, 4), capped)
+    commit = update_table(spark, capped, "id = 3", {"id": 3000})
+    assert commit.removed == {} and len(commit.files) == 1
+    assert "file_path" not in plan_text(read_table(spark, capped), "simple")
+
+
+def test_dml_after_schema_evolution_and_append_after_dml(spark, tmp_uri):
+    path = tmp_uri("evolve")
+    write_table(spark.range(0, 200, 1, 2), path)  # ids 0-99 and 100-199 in two files
+    wider = spark.range(200, 210).select("id", F.lit("new").alias("tag"))
+    write_table(wider, path, mode="append", merge_schema=True)
+    # older files lack `tag`: they read as NULL and the update fills them in
+    commit = update_table(spark, path, "tag IS NULL AND id < 5", {"tag": "'old'"})
+    assert commit.metrics["rows_matched"] == 5 and commit.metrics["files_rewritten"] == 1
+    assert len(commit.files) == 1  # the first directory keeps one of its two files
+    # an append after a partial rewrite keeps the explicit live-file lists
+    appended = write_table(spark.range(500, 503), path, mode="append")
+    assert appended.files == commit.files
+    df = read_table(spark, path)
+    assert df.count() == 213
+    assert df.where("tag = 'old'").count() == 5 and df.where("tag = 'new'").count() == 10
+    assert df.where("tag IS NULL").count() == 213 - 15
+    assert read_table(spark, path, version_as_of=1).where("tag IS NULL").count() == 200
+    assert read_table(spark, path, version_as_of=0).columns == ["id"]
+
+
+def test_delta_format_needs_delta(spark, tmp_uri):
+    from strata.session import delta_available
+
+    if delta_available():
+        pytest.skip("Delta Lake is installed here")
+    path = tmp_uri("delta")
+    for call in (
+        lambda: write_table(spark.range(1), path, format="delta"),
+        lambda: read_table(spark, path, format="delta"),
+        lambda: update_table(spark, path, "id = 0", {"id": 1}, format="delta"),
+        lambda: delete_from_table(spark, path, "id = 0", format="delta"),
+    ):
+        with pytest.raises(RuntimeError, match="Delta Lake"):
+            call()
+    with pytest.raises(ValueError, match="unsupported table format"):
+        write_table(spark.range(1), path, format="orc")
+
+
+def test_dml_scans_use_directory_roots_where_possible(spark, tmp_uri):
+    from strata.table.dml import _hit_files, _list_touched, _roots
+    from strata.table.versioned import _Table
+
+    path = tmp_uri("roots-dml")
+    df = spark.range(0, 400, 1, 4).select(F.col("id"), (F.col("id") % 8).alias("p"))
+    write_table(df, path, partition_by=["p"], rebalance=False)  # 4 files in each of 8 leaves
+    table = _Table(spark, path)
+    commit = table.latest()
+    everything = _hit_files(table, commit, F.lit(True))
+    touched = _list_touched(table, commit, everything)
+    assert len(touched.opened) == 1 and len(touched.live) == 8
+    assert _roots(commit, touched, everything) == commit.whole  # one root, not 8 leaves
+    some = _hit_files(table, commit, F.expr("p = 3 AND id < 100"))
+    touched = _list_touched(table, commit, some)
+    roots = _roots(commit, touched, some)
+    assert len(roots) == 1 and roots[0].endswith(".parquet")  # just the one file
+
+
+def test_delete_commits_over_concurrent_appends(spark, tmp_uri, monkeypatch):
+    import strata.table.dml as dml
+
+    path = tmp_uri("dml-race")
+    write_table(spark.range(0, 20, 1, 2), path)
+    real = dml.write_commit
+    raced = {"done": False}
+
+    def racing(fs, commit):
+        if not raced["done"]:
+            raced["done"] = True  # an ingest job appends first
+            write_table(spark.range(100, 110), path, mode="append")
+        return real(fs, commit)
+
+    monkeypatch.setattr(dml, "write_commit", racing)
+    commit = delete_from_table(spark, path, "id % 2 = 0")
+    assert commit.version == 2
+    # the delete applied to the version it read; the concurrent append is kept whole
+    assert ids(read_table(spark, path)) == [i for i in range(20) if i % 2] + list(range(100, 110))
+
+
+def test_delete_refuses_to_commit_over_a_concurrent_overwrite(spark, tmp_uri, monkeypatch):
+    import strata.table.dml as dml
+
+    path = tmp_uri("dml-race-2")
+    write_table(spark.range(0, 20), path)
+    real = dml.write_commit
+    raced = {"done": False}
+
+    def racing(fs, commit):
+        if not raced["done"]:
+            raced["done"] = True
+            write_table(spark.range(500, 505), path, mode="overwrite")
+        return real(fs, commit)
+
+    monkeypatch.setattr(dml, "write_commit", racing)
+    with pytest.raises(TableConflictError):
+        delete_from_table(spark, path, "id < 5")
+    monkeypatch.setattr(dml, "write_commit", real)
+    assert ids(read_table(spark, path)) == [500, 501, 502, 503, 504]
 
 
 def test_hot_partition_value_is_split_over_several_writers(spark, tmp_path):
@@ -504,102 +619,3 @@ def test_latest_version_hint_is_only_a_hint(spark, tmp_uri):
     fs._fs.delete(fs.path(HINT), False)
     assert latest_version(fs) == 3
     assert ids(read_table(spark, path)) == [0, 1, 2, 3]
-
-
-def test_dml_after_schema_evolution_and_append_after_dml(spark, tmp_uri):
-    path = tmp_uri("evolve")
-    write_table(spark.range(0, 200, 1, 2), path)  # ids 0-99 and 100-199 in two files
-    wider = spark.range(200, 210).select("id", F.lit("new").alias("tag"))
-    write_table(wider, path, mode="append", merge_schema=True)
-    # older files lack `tag`: they read as NULL and the update fills them in
-    commit = update_table(spark, path, "tag IS NULL AND id < 5", {"tag": "'old'"})
-    assert commit.metrics["rows_matched"] == 5 and commit.metrics["files_rewritten"] == 1
-    assert len(commit.files) == 1  # the first directory keeps one of its two files
-    # an append after a partial rewrite keeps the explicit live-file lists
-    appended = write_table(spark.range(500, 503), path, mode="append")
-    assert appended.files == commit.files
-    df = read_table(spark, path)
-    assert df.count() == 213
-    assert df.where("tag = 'old'").count() == 5 and df.where("tag = 'new'").count() == 10
-    assert df.where("tag IS NULL").count() == 213 - 15
-    assert read_table(spark, path, version_as_of=1).where("tag IS NULL").count() == 200
-    assert read_table(spark, path, version_as_of=0).columns == ["id"]
-
-
-def test_delta_format_needs_delta(spark, tmp_uri):
-    from strata.session import delta_available
-
-    if delta_available():
-        pytest.skip("Delta Lake is installed here")
-    path = tmp_uri("delta")
-    for call in (
-        lambda: write_table(spark.range(1), path, format="delta"),
-        lambda: read_table(spark, path, format="delta"),
-        lambda: update_table(spark, path, "id = 0", {"id": 1}, format="delta"),
-        lambda: delete_from_table(spark, path, "id = 0", format="delta"),
-    ):
-        with pytest.raises(RuntimeError, match="Delta Lake"):
-            call()
-    with pytest.raises(ValueError, match="unsupported table format"):
-        write_table(spark.range(1), path, format="orc")
-
-
-def test_dml_scans_use_directory_roots_where_possible(spark, tmp_uri):
-    from strata.table.dml import _hit_files, _list_touched, _roots
-    from strata.table.versioned import _Table
-
-    path = tmp_uri("roots-dml")
-    df = spark.range(0, 400, 1, 4).select(F.col("id"), (F.col("id") % 8).alias("p"))
-    write_table(df, path, partition_by=["p"], rebalance=False)  # 4 files in each of 8 leaves
-    table = _Table(spark, path)
-    commit = table.latest()
-    everything = _hit_files(table, commit, F.lit(True))
-    touched = _list_touched(table, commit, everything)
-    assert len(touched.opened) == 1 and len(touched.live) == 8
-    assert _roots(commit, touched, everything) == commit.whole  # one root, not 8 leaves
-    some = _hit_files(table, commit, F.expr("p = 3 AND id < 100"))
-    touched = _list_touched(table, commit, some)
-    roots = _roots(commit, touched, some)
-    assert len(roots) == 1 and roots[0].endswith(".parquet")  # just the one file
-
-
-def test_delete_commits_over_concurrent_appends(spark, tmp_uri, monkeypatch):
-    import strata.table.dml as dml
-
-    path = tmp_uri("dml-race")
-    write_table(spark.range(0, 20, 1, 2), path)
-    real = dml.write_commit
-    raced = {"done": False}
-
-    def racing(fs, commit):
-        if not raced["done"]:
-            raced["done"] = True  # an ingest job appends first
-            write_table(spark.range(100, 110), path, mode="append")
-        return real(fs, commit)
-
-    monkeypatch.setattr(dml, "write_commit", racing)
-    commit = delete_from_table(spark, path, "id % 2 = 0")
-    assert commit.version == 2
-    # the delete applied to the version it read; the concurrent append is kept whole
-    assert ids(read_table(spark, path)) == [i for i in range(20) if i % 2] + list(range(100, 110))
-
-
-def test_delete_refuses_to_commit_over_a_concurrent_overwrite(spark, tmp_uri, monkeypatch):
-    import strata.table.dml as dml
-
-    path = tmp_uri("dml-race-2")
-    write_table(spark.range(0, 20), path)
-    real = dml.write_commit
-    raced = {"done": False}
-
-    def racing(fs, commit):
-        if not raced["done"]:
-            raced["done"] = True
-            write_table(spark.range(500, 505), path, mode="overwrite")
-        return real(fs, commit)
-
-    monkeypatch.setattr(dml, "write_commit", racing)
-    with pytest.raises(TableConflictError):
-        delete_from_table(spark, path, "id < 5")
-    monkeypatch.setattr(dml, "write_commit", real)
-    assert ids(read_table(spark, path)) == [500, 501, 502, 503, 504]

@@ -55,6 +55,7 @@ def export_split_json(
     while a group holding most rows is still written by several tasks.
     Returns the names of the directory columns.
     """
+    by = [by] if isinstance(by, str) else list(by)
     dir_cols = [f"{EXPORT_PREFIX}{c}" for c in by]
     laid_out = df.withColumns({d: col_of(c) for d, c in zip(dir_cols, by)})
     write_json(balance_by(laid_out, *dir_cols), path, mode=mode, partition_by=dir_cols)

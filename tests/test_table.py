@@ -619,3 +619,10 @@ def test_latest_version_hint_is_only_a_hint(spark, tmp_uri):
     fs._fs.delete(fs.path(HINT), False)
     assert latest_version(fs) == 3
     assert ids(read_table(spark, path)) == [0, 1, 2, 3]
+
+
+def test_single_partition_column_as_text(spark, tmp_uri):
+    path = tmp_uri("single")
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id long, p string")
+    assert write_table(df, path, partition_by="p").partition_by == ["p"]
+    assert read_table(spark, path).where("p = 'b'").count() == 1

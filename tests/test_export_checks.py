@@ -129,3 +129,13 @@ def test_round_robin_and_coalesce_keep_rows(spark):
 def test_balance_by_is_a_rebalance_exchange(spark):
     plan = " ".join(exchanges(balance_by(trips(spark), "year", "month")))
     assert "REBALANCE_PARTITIONS_BY_COL" in plan
+
+
+def test_split_export_by_one_column_name(spark, tmp_path):
+    out = str(tmp_path / "one")
+    assert export_split_json(trips(spark), out, "year") == ["part_year"]
+    assert sorted(d for d in os.listdir(out) if d.startswith("part_year=")) == [
+        "part_year=2024",
+        "part_year=2025",
+    ]
+    assert read_json(spark, out, glob="*.json").count() == 20

@@ -626,3 +626,15 @@ def test_single_partition_column_as_text(spark, tmp_uri):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "id long, p string")
     assert write_table(df, path, partition_by="p").partition_by == ["p"]
     assert read_table(spark, path).where("p = 'b'").count() == 1
+
+
+def test_append_after_removed_list_keeps_exclusions(spark, tmp_uri):
+    path = tmp_uri("removed-append")
+    write_table(spark.range(0, 400, 1, 4), path)
+    dml_commit = delete_from_table(spark, path, "id = 5")
+    assert len(dml_commit.removed) == 1  # one file of four rewritten: its name is excluded
+    appended = write_table(spark.range(1000, 1010), path, mode="append")
+    assert appended.removed == dml_commit.removed
+    got = ids(read_table(spark, path))
+    assert len(got) == 409 and 5 not in got and 1009 in got
+    assert len(ids(read_table(spark, path, version_as_of=0))) == 400

@@ -7,6 +7,7 @@ factory sets them on every session it hands out, including a reused one.
 from __future__ import annotations
 
 import importlib.util
+import os
 import tempfile
 import uuid
 
@@ -78,6 +79,12 @@ def configure(spark: SparkSession, conf: dict[str, str] | None = None) -> SparkS
 
 
 def _apply_runtime(spark: SparkSession, conf: dict[str, str] | None) -> None:
+    # Python workers import this package from where the driver did; on a
+    # cluster it is installed or shipped with --py-files, and the entry is idle.
+    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if here not in path.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(p for p in (here, path) if p)
     for key, value in {**_SESSION_DEFAULTS, **(conf or {})}.items():
         if key in _STATIC_DEFAULTS or key.startswith("spark.ui"):
             continue

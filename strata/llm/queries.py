@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import minhash, packing
+from strata.llm import decontaminate, langid, minhash, packing, pii
 from strata.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,17 +19,32 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_pigeonhole_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(spark, table(spark, sf_dir, "documents"))
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(spark, table(spark, sf_dir, "documents"))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_pigeonhole_decontamination": op1_pigeonhole_decontamination,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_language_id": op4_language_id,
     "op6_minhash": op6_minhash,
+    "op7_pii": op7_pii,
 }
 
 ORACLE_SQL: dict[str, str] = {}

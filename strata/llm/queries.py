@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import decontaminate, langid, minhash, packing, pii
+from strata.llm import decontaminate, langid, minhash, packing, pii, quality, toxicity, warc
 from strata.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,12 +39,27 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(spark, table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(spark, table(spark, sf_dir, "pages"))
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_pigeonhole_decontamination": op1_pigeonhole_decontamination,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_language_id": op4_language_id,
     "op6_minhash": op6_minhash,
     "op7_pii": op7_pii,
+    "op8_toxicity": op8_toxicity,
+    "op9_warc": op9_warc,
+    "op10_quality": op10_quality,
 }
 
 ORACLE_SQL: dict[str, str] = {}

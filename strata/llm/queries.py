@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import decontaminate, langid, minhash, packing, pii, quality, toxicity, warc
+from strata.llm import cover_tree, decontaminate, langid, minhash, packing, pii, quality, toxicity, warc
 from strata.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,10 @@ def op1_pigeonhole_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return decontaminate.contaminated(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.near_duplicates(spark, table(spark, sf_dir, "embeddings"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
@@ -53,6 +57,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_pigeonhole_decontamination": op1_pigeonhole_decontamination,
+    "op2_cover_tree": op2_cover_tree,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_language_id": op4_language_id,
     "op6_minhash": op6_minhash,

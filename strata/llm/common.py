@@ -72,6 +72,30 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def group_rows(df: DataFrame, key: list[str], fn, schema: str) -> DataFrame:
+    """``fn(key, rows)`` for the rows of each key, one key in memory at a time;
+    ``df`` starts with the key and is sorted by it within partitions."""
+    arrow, width = arrow_schema(df.sparkSession, schema), len(key)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, parts = None, []
+        for batch in batches:
+            keys = list(zip(*(batch.column(k).to_pylist() for k in range(width)), strict=True))
+            cuts = [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1]), len(keys)]
+            for start, end in zip(cuts, cuts[1:], strict=False):
+                if start == end:
+                    continue
+                if keys[start] != last and parts:
+                    yield to_batch(fn(last, pa.Table.from_batches(parts)), arrow)
+                    parts = []
+                last = keys[start]
+                parts.append(batch.slice(start, end - start))
+        if parts:
+            yield to_batch(fn(last, pa.Table.from_batches(parts)), arrow)
+
+    return df.mapInArrow(run, schema)
+
+
 def fold(doc_id: str, parts: int):
     """crc32 of the id as text, modulo ``parts`` (null ids: null)."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % parts

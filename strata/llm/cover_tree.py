@@ -23,7 +23,6 @@ vectors link; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import arrow_schema, components, map_rows, materialize, to_batch
+from strata.llm.common import components, group_rows, map_rows, materialize
 
 COSINE = 0.93
 BLOCK = 2048
@@ -219,30 +218,6 @@ def _vectors(embeddings: DataFrame) -> DataFrame:
     )
 
 
-def _group_rows(df: DataFrame, key: list[str], fn, schema: str) -> DataFrame:
-    """``fn(key, rows)`` for the rows of each key, one key in memory at a time;
-    ``df`` starts with the key and is sorted by it within partitions."""
-    arrow, width = arrow_schema(df.sparkSession, schema), len(key)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, parts = None, []
-        for batch in batches:
-            keys = list(zip(*(batch.column(k).to_pylist() for k in range(width)), strict=True))
-            cuts = [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1]), len(keys)]
-            for start, end in zip(cuts, cuts[1:], strict=False):
-                if start == end:
-                    continue
-                if keys[start] != last and parts:
-                    yield to_batch(fn(last, pa.Table.from_batches(parts)), arrow)
-                    parts = []
-                last = keys[start]
-                parts.append(batch.slice(start, end - start))
-        if parts:
-            yield to_batch(fn(last, pa.Table.from_batches(parts)), arrow)
-
-    return df.mapInArrow(run, schema)
-
-
 def _matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.float64).reshape(-1, dim)
 
@@ -299,7 +274,7 @@ def blocks(spark: SparkSession, embeddings: DataFrame, block: int) -> DataFrame:
             "born": born, "parent": parent,
         }
 
-    built = _group_rows(
+    built = group_rows(
         dealt.repartition(*key).sortWithinPartitions(*key, "vec_id"),
         key,
         tree,
@@ -323,7 +298,7 @@ def _near_blocks(trees: DataFrame, cosine: float) -> DataFrame:
             "radius": [float(distances(centre, unit).max())],
         }
 
-    nodes = _group_rows(
+    nodes = group_rows(
         trees.select(*key, "vec").repartition(*key).sortWithinPartitions(*key),
         key,
         node,
@@ -376,7 +351,7 @@ def near_duplicates(
         some = np.flatnonzero((counts > 0) | (root != names))
         return {"a": names[some], "b": root[some], "n": counts[some]}
 
-    linked = _group_rows(
+    linked = group_rows(
         sent.repartition(*key).sortWithinPartitions(*key), key, found, "a long, b long, n long"
     )
     linked = materialize(spark, linked, "cover-links")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import cover_tree, decontaminate, langid, minhash, packing, pii, quality, toxicity, warc
+from strata.llm import cover_tree, decontaminate, langid, minhash, packing, pii, quality, repeats, toxicity, warc
 from strata.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(spark, table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.removed(spark, table(spark, sf_dir, "documents"))
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(spark, table(spark, sf_dir, "documents"))
 
@@ -60,6 +64,7 @@ QUERIES: dict[str, Query] = {
     "op2_cover_tree": op2_cover_tree,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_language_id": op4_language_id,
+    "op5_suffix_array": op5_suffix_array,
     "op6_minhash": op6_minhash,
     "op7_pii": op7_pii,
     "op8_toxicity": op8_toxicity,

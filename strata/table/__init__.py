@@ -1,15 +1,17 @@
-"""Path-addressed versioned tables (copy-on-write parquet commits)."""
+"""Path-addressed versioned tables on plain parquet."""
 
-from strata.table.log import Commit, CorruptCommitError, TableConflictError
-from strata.table.dml import delete_from_table, update_table
 from strata.table.handle import VersionedTable
+from strata.table.log import Commit, CorruptCommitError, TableConflictError
+from strata.table.schema import SchemaMismatchError
 from strata.table.versioned import (
-    SchemaMismatchError,
     TableExistsError,
+    check_write,
+    delete_from_table,
     read_table,
     table_commit,
     table_exists,
     table_version,
+    update_table,
     write_table,
 )
 
@@ -20,6 +22,7 @@ __all__ = [
     "TableConflictError",
     "TableExistsError",
     "VersionedTable",
+    "check_write",
     "delete_from_table",
     "read_table",
     "table_commit",

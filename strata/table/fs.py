@@ -1,109 +1,57 @@
-"""Hadoop FileSystem access for table metadata.
+"""Hadoop FileSystem access for the small control files of a table.
 
-Table paths can be local, HDFS or object-store URIs, so metadata goes through
-the JVM's Hadoop FileSystem (the one Spark's readers use), never ``open()``.
-Only small control files pass through here; rows never do.
+Table paths can be local, HDFS or object-store URIs, so they go through the
+JVM's Hadoop FileSystem (the one Spark's readers use), never ``open()``.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import SparkSession
 
 
 class HadoopFS:
     def __init__(self, spark: SparkSession, root: str):
         self._jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        self._root = self._jvm.org.apache.hadoop.fs.Path(root)
-        self._fs = self._root.getFileSystem(conf)
-        self.root = self._fs.makeQualified(self._root).toString().rstrip("/")
+        path = self._jvm.org.apache.hadoop.fs.Path(root)
+        self._fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        self.root = self._fs.makeQualified(path).toString().rstrip("/")
 
     def path(self, relative: str):
         return self._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{relative}")
 
-    def qualify(self, relative: str) -> str:
-        return self._fs.makeQualified(self.path(relative)).toString()
-
-    def exists(self, relative: str) -> bool:
-        return bool(self._fs.exists(self.path(relative)))
+    def relative(self, uri: str) -> str:
+        """Path under the root of an encoded URI, as Spark reports files."""
+        decoded = self._jvm.org.apache.hadoop.fs.Path(self._jvm.java.net.URI(uri)).toString()
+        return decoded.removeprefix(self.root + "/")
 
     def list_names(self, relative: str) -> list[str]:
         p = self.path(relative)
-        if not self._fs.exists(p):
-            return []
-        return [s.getPath().getName() for s in self._fs.listStatus(p)]
+        return [s.getPath().getName() for s in self._fs.listStatus(p)] if self._fs.exists(p) else []
 
     def read_text(self, relative: str) -> str:
         stream = self._fs.open(self.path(relative))
         try:
-            reader = self._jvm.java.io.BufferedReader(
-                self._jvm.java.io.InputStreamReader(stream, "UTF-8")
-            )
-            lines = []
-            line = reader.readLine()
-            while line is not None:
-                lines.append(line)
-                line = reader.readLine()
-            return "\n".join(lines)
+            return bytes(stream.readAllBytes()).decode("utf-8")
         finally:
             stream.close()
 
     def write_text(self, relative: str, text: str) -> None:
-        """Create or replace a small file (not atomic; for hints only)."""
-        out = self._fs.create(self.path(relative), True)
-        try:
-            out.write(bytearray(text.encode("utf-8")))
-        finally:
-            out.close()
+        """Create or replace a small file."""
+        self._write(relative, text, True)
 
     def create_exclusive(self, relative: str, text: str) -> bool:
-        """Create a file that must not exist yet; False if another writer won."""
+        """Create a file that must not exist yet; False if it does."""
         try:
-            out = self._fs.create(self.path(relative), False)
+            self._write(relative, text, False)
         except Exception as exc:  # FileAlreadyExistsException via Py4J
             if "FileAlreadyExists" in str(exc) or "already exists" in str(exc):
                 return False
             raise
-        try:
-            out.write(bytearray(text.encode("utf-8")))
-        finally:
-            out.close()
         return True
 
-    def publish_exclusive(self, relative: str, text: str) -> bool:
-        """Make ``relative`` hold ``text`` only if it does not exist yet.
-
-        The content is written to a hidden temporary file first and then
-        renamed into place, so a reader never sees a partly written file; the
-        rename refuses an existing target (atomically on HDFS / ABFS).
-        Returns False if another writer got there first.
-        """
-        parent, _, name = relative.rpartition("/")
-        temp = f"{parent}/.{name}.{uuid.uuid4().hex}.tmp" if parent else f".{name}.{uuid.uuid4().hex}.tmp"
-        if not self.create_exclusive(temp, text):
-            raise RuntimeError(f"temporary file {temp} already exists")
+    def _write(self, relative: str, text: str, overwrite: bool) -> None:
+        out = self._fs.create(self.path(relative), overwrite)
         try:
-            if self.root.startswith("file:"):
-                return self._link_exclusive(temp, relative)
-            if self.exists(relative):
-                return False
-            return bool(self._fs.rename(self.path(temp), self.path(relative)))
+            out.write(bytearray(text.encode("utf-8")))
         finally:
-            if self.exists(temp):
-                self._fs.delete(self.path(temp), False)
-
-    def _link_exclusive(self, existing: str, relative: str) -> bool:
-        """Local filesystem: a hard link fails atomically if the name is taken
-        (Hadoop's local rename checks first and renames second)."""
-        nio = self._jvm.java.nio.file
-        target = nio.Paths.get(self.path(relative).toUri())
-        source = nio.Paths.get(self.path(existing).toUri())
-        try:
-            nio.Files.createLink(target, source)
-        except Exception as exc:
-            if "FileAlreadyExists" in str(exc):
-                return False
-            raise
-        return True
+            out.close()

@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.table.dml import delete_from_table, update_table
+from strata.table.versioned import delete_from_table, update_table
 from strata.table.log import Commit
 from strata.table.versioned import read_table, table_exists, table_version
 

@@ -1,20 +1,18 @@
-"""Commit records of a path-addressed versioned table.
+"""Versions of a path-addressed table, as small JSON files.
 
 Layout under the table path::
 
-    commits/<20-digit version>.json        one small JSON file per version
-    commits/latest.hint                    a recent version, to skip listing
+    commits/<20-digit version>.json
     data/strata_commit=<token>/[p=v/...]/part-*.parquet   written once
 
-A commit names what makes up that version: commit directories live in full
-("whole"), and, for directories an update/delete touched, their live leaf
-directories ("fragments") and, for leaves that lost files, the live file
-names; plus the table schema and its partition columns. Data directories are
-never changed after their commit.
+A version names its schema, its partition columns and its ``parts``: written
+directories, or single partition leaves of one where an update or delete
+replaced others. Data directories are never changed after they are written.
 
-A commit file is written under a hidden temporary name and put in place by a
-rename that refuses an existing target, so two writers racing for the same
-version cannot both win and readers never see a partly written commit.
+A table has one writer at a time. A version file is created only if it does
+not exist yet, so a second writer gets ``TableConflictError`` instead of
+replacing a version; on stores without exclusive creation nothing guards
+against two writers.
 """
 
 from __future__ import annotations
@@ -28,7 +26,6 @@ from pyspark.sql.types import StructType
 from strata.table.fs import HadoopFS
 
 COMMITS = "commits"
-HINT = f"{COMMITS}/latest.hint"
 DATA = "data"
 COMMIT_COLUMN = "strata_commit"
 
@@ -47,157 +44,38 @@ class Commit:
     operation: str
     schema: StructType
     partition_by: list[str]
-    fragments: list[str]
-    """Live leaf directories of commit directories an update/delete touched."""
-    timestamp_ms: int = 0
+    parts: list[str]
     metrics: dict = field(default_factory=dict)
-    whole: list = field(default_factory=list)
-    """Commit directories live in full (every file written there); their
-    leaves are not listed, and each is scanned as one root."""
-    files: dict = field(default_factory=dict)
-    """For leaves that lost files to an update/delete: the names of the files
-    still live (used when they are the smaller side)."""
-    removed: dict = field(default_factory=dict)
-    """For leaves that lost a few of many files: the names of the files that
-    left; the leaf is scanned as a directory with those files excluded."""
+    timestamp_ms: int = 0
 
     def to_json(self) -> str:
-        return json.dumps(
-            {
-                "version": self.version,
-                "operation": self.operation,
-                "timestamp_ms": self.timestamp_ms,
-                "schema": json.loads(self.schema.json()),
-                "partition_by": self.partition_by,
-                "fragments": self.fragments,
-                "metrics": self.metrics,
-                "whole": self.whole,
-                "files": self.files,
-                "removed": self.removed,
-            },
-            sort_keys=True,
-        )
+        return json.dumps({**vars(self), "schema": json.loads(self.schema.json())}, sort_keys=True)
 
     @staticmethod
-    def from_json(text: str) -> "Commit":
+    def from_json(text: str) -> Commit:
         raw = json.loads(text)
-        return Commit(
-            version=int(raw["version"]),
-            operation=raw["operation"],
-            schema=StructType.fromJson(raw["schema"]),
-            partition_by=list(raw["partition_by"]),
-            fragments=list(raw["fragments"]),
-            timestamp_ms=int(raw.get("timestamp_ms", 0)),
-            metrics=dict(raw.get("metrics", {})),
-            whole=list(raw.get("whole", [])),
-            files={k: list(v) for k, v in raw.get("files", {}).items()},
-            removed={k: list(v) for k, v in raw.get("removed", {}).items()},
-        )
-
-
-def fragment_dir(fragment: str) -> str:
-    """``data/strata_commit=<token>`` of a fragment path."""
-    return "/".join(fragment.split("/")[:2])
-
-
-def is_live(commit: "Commit", fragment: str, whole: set[str] | None = None) -> bool:
-    """Whether a leaf directory belongs to the version."""
-    whole = set(commit.whole) if whole is None else whole
-    return fragment_dir(fragment) in whole or fragment in commit.fragments
-
-
-def scan_roots(commit: "Commit", fragments: list[str] | None = None) -> list[str]:
-    """Paths covering the live files of the version (default) or of the given
-    leaf ``fragments``: whole commit directories and whole leaves are one
-    root each, a leaf with a live-file list lists those files. A leaf with a
-    removed-file list is one root too; ``excluded`` names what to filter out."""
-    roots = list(commit.whole) if fragments is None else []
-    for frag in commit.fragments if fragments is None else fragments:
-        if frag in commit.files:
-            roots.extend(f"{frag}/{name}" for name in commit.files[frag])
-        else:
-            roots.append(frag)
-    return roots
-
-
-def excluded(commit: "Commit", fragments: list[str] | None = None) -> list[tuple[str, str]]:
-    """(leaf, file name) pairs a scan of ``scan_roots`` must filter out."""
-    leaves = commit.removed if fragments is None else [f for f in fragments if f in commit.removed]
-    return [(leaf, name) for leaf in leaves for name in commit.removed[leaf]]
+        return Commit(**{**raw, "schema": StructType.fromJson(raw["schema"])})
 
 
 def commit_name(version: int) -> str:
     return f"{COMMITS}/{version:020d}.json"
 
 
-def list_versions(fs: HadoopFS) -> list[int]:
-    out = []
-    for name in fs.list_names(COMMITS):
-        stem = name[:-5] if name.endswith(".json") else ""
-        if stem.isdigit():
-            out.append(int(stem))
-    return sorted(out)
+def latest_version(fs: HadoopFS) -> int | None:
+    stems = (name.removesuffix(".json") for name in fs.list_names(COMMITS) if name.endswith(".json"))
+    return max((int(stem) for stem in stems if stem.isdigit()), default=None)
 
 
 def read_commit(fs: HadoopFS, version: int) -> Commit:
     name = commit_name(version)
     try:
         return Commit.from_json(fs.read_text(name))
-    except (ValueError, KeyError) as exc:
+    except (ValueError, KeyError, TypeError) as exc:
         raise CorruptCommitError(f"commit {version} at {fs.root}/{name} is unreadable") from exc
 
 
-def _read_hint(fs: HadoopFS) -> int | None:
-    try:
-        return int(fs.read_text(HINT).strip())
-    except Exception:  # missing, partly written or garbage: list instead
-        return None
-
-
-def latest_version(fs: HadoopFS) -> int | None:
-    """Newest committed version without listing every commit file.
-
-    The hint file names a version that was committed (it is written after
-    the commit, so it is never ahead); probing forward from it finds newer
-    ones. Without a usable hint the commit directory is listed.
-    """
-    version = _read_hint(fs)
-    if version is None or not fs.exists(commit_name(version)):
-        versions = list_versions(fs)
-        return versions[-1] if versions else None
-    while fs.exists(commit_name(version + 1)):
-        version += 1
-    return version
-
-
-def latest_commit(fs: HadoopFS) -> Commit | None:
-    version = latest_version(fs)
-    return None if version is None else read_commit(fs, version)
-
-
-def has_version(fs: HadoopFS, version: int) -> bool:
-    return version >= 0 and fs.exists(commit_name(version))
-
-
 def write_commit(fs: HadoopFS, commit: Commit) -> Commit:
-    stamped = Commit(
-        version=commit.version,
-        operation=commit.operation,
-        schema=commit.schema,
-        partition_by=commit.partition_by,
-        fragments=commit.fragments,
-        timestamp_ms=int(time.time() * 1000),
-        metrics=commit.metrics,
-        whole=commit.whole,
-        files=commit.files,
-        removed=commit.removed,
-    )
-    if not fs.publish_exclusive(commit_name(commit.version), stamped.to_json()):
-        raise TableConflictError(
-            f"version {commit.version} of {fs.root} was committed by another writer"
-        )
-    try:
-        fs.write_text(HINT, str(commit.version))
-    except Exception:  # a stale or missing hint only costs a listing
-        pass
+    stamped = Commit(**{**vars(commit), "timestamp_ms": int(time.time() * 1000)})
+    if not fs.create_exclusive(commit_name(commit.version), stamped.to_json()):
+        raise TableConflictError(f"version {commit.version} of {fs.root} was committed by another writer")
     return stamped

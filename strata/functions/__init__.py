@@ -3,13 +3,11 @@
 from strata.functions.columns import (
     FEATURE_DESCRIPTION,
     MM_PER_INCH,
-    ascending,
     col_of,
     mm_to_inch,
     month_of,
     predicate,
     rename_columns,
-    with_columns,
     with_ingest_timestamp,
     with_literal,
     with_year_month,
@@ -19,13 +17,11 @@ from strata.functions.columns import (
 __all__ = [
     "FEATURE_DESCRIPTION",
     "MM_PER_INCH",
-    "ascending",
     "col_of",
     "mm_to_inch",
     "month_of",
     "predicate",
     "rename_columns",
-    "with_columns",
     "with_ingest_timestamp",
     "with_literal",
     "with_year_month",

@@ -26,13 +26,6 @@ def predicate(text: str) -> Column:
     return F.expr(text)
 
 
-def with_columns(df: DataFrame, columns: Mapping[str, Column | str]) -> DataFrame:
-    """Add or replace columns; string values are SQL expressions."""
-    return df.withColumns(
-        {name: (F.expr(v) if isinstance(v, str) else v) for name, v in columns.items()}
-    )
-
-
 def rename_columns(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     """Bulk rename in one projection; unknown names are ignored and matching
     follows the session's case sensitivity."""
@@ -68,8 +61,3 @@ def with_literal(df: DataFrame, name: str, value) -> DataFrame:
 def with_ingest_timestamp(df: DataFrame, name: str = "ingestion_ts") -> DataFrame:
     """Stamp rows with the query's start time (one value per query)."""
     return df.withColumn(name, F.current_timestamp())
-
-
-def ascending(*cols) -> list[Column]:
-    """Sort keys, ascending with NULLs first (Spark's default)."""
-    return [col_of(c).asc() for c in cols]

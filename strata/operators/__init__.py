@@ -6,10 +6,9 @@ from strata.operators.checks import (
     distinct_values,
     expect_distinct,
     first_rows,
-    row_count,
 )
 from strata.operators.ingest import IngestResult, ingest_json
-from strata.operators.partitioning import balance_by, coalesce_to, round_robin
+from strata.operators.partitioning import balance_by, coalesce_to, global_sort, round_robin
 
 __all__ = [
     "CardinalityError",
@@ -20,7 +19,7 @@ __all__ = [
     "distinct_values",
     "expect_distinct",
     "first_rows",
+    "global_sort",
     "ingest_json",
     "round_robin",
-    "row_count",
 ]

@@ -8,11 +8,6 @@ from pyspark.sql import functions as F
 from strata.functions.columns import col_of
 
 
-def row_count(df: DataFrame) -> int:
-    """Number of rows (an action; partial counts per task, one final sum)."""
-    return df.count()
-
-
 def count_rows(df: DataFrame, name: str = "n") -> DataFrame:
     """Row count as a one-row DataFrame (lazy)."""
     return df.agg(F.count(F.lit(1)).alias(name))
@@ -39,9 +34,7 @@ def expect_distinct(df: DataFrame, column: str, expected: int) -> list:
     if len(found) != expected:
         shown = found if len(found) <= expected else f"more than {expected}, e.g. {found}"
         count = len(found) if len(found) <= expected else f"more than {expected}"
-        raise CardinalityError(
-            f"Expected exactly {expected} distinct values of {column}, got {count}: {shown}"
-        )
+        raise CardinalityError(f"{column} should take {expected} values but takes {count} ({shown})")
     return found
 
 

@@ -11,17 +11,19 @@ from strata.functions.columns import with_ingest_timestamp
 from strata.operators.partitioning import round_robin
 from strata.sources.json import read_json
 from strata.table.log import Commit
-from strata.table.versioned import read_table, write_table
+from strata.table.versioned import check_write, read_table, write_table
 
 
 @dataclass
 class IngestResult:
-    source: DataFrame
-    """The frame that was written (lazy; re-running it scans the input again)."""
+    source: DataFrame | None
+    """The frame that was written (lazy; re-running it scans the input again);
+    None if nothing was."""
     commit: Commit | None
     """The new version, or None when mode ``ignore`` found a table."""
     path: str
     format: str = "parquet"
+    spark: SparkSession | None = None
 
     @property
     def rows_written(self) -> int | None:
@@ -32,7 +34,7 @@ class IngestResult:
 
     def table(self) -> DataFrame:
         """The table as stored now."""
-        return read_table(self.source.sparkSession, self.path, format=self.format)
+        return read_table(self.spark, self.path, format=self.format)
 
 
 def ingest_json(
@@ -48,8 +50,9 @@ def ingest_json(
     merge_schema: bool = False,
     overwrite_schema: bool = False,
     schema: StructType | str | None = None,
-    sampling_ratio: float | None = None,
     glob: str | None = None,
+    ignore_corrupt_files: bool = False,
+    check_multiline: bool = True,
     ingest_timestamp: str | None = None,
     rebalance: bool = True,
     format: str = "parquet",
@@ -59,18 +62,23 @@ def ingest_json(
     ``repartition=n`` spreads rows round-robin over ``n`` writer tasks (falsy:
     skipped). Otherwise a partitioned write is rebalanced on the partition
     columns (``rebalance=False`` writes as read). ``schema`` skips the
-    inference pass over the input and ``sampling_ratio`` shortens it (fields
-    seen only in unsampled rows are then dropped); ``ingest_timestamp`` names
-    an optional column stamped with the write time.
+    inference pass over the input; ``ingest_timestamp`` names an optional
+    column stamped with the write time. What the mode and the flags decide by
+    themselves is decided before the input is touched. A file that cannot be
+    read fails the ingest and leaves no version; ``ignore_corrupt_files`` opts
+    out of that.
     """
+    if not check_write(spark, output_dir, mode=mode, overwrite_schema=overwrite_schema, format=format):
+        return IngestResult(source=None, commit=None, path=output_dir, format=format, spark=spark)
     df = read_json(
         spark,
         input_dir,
         recursive=recursive,
         multiline=multiline,
         schema=schema,
-        sampling_ratio=sampling_ratio,
         glob=glob,
+        ignore_corrupt_files=ignore_corrupt_files,
+        check_multiline=check_multiline,
     )
     if ingest_timestamp:
         df = with_ingest_timestamp(df, ingest_timestamp)
@@ -85,4 +93,4 @@ def ingest_json(
         rebalance=rebalance and not repartition,
         format=format,
     )
-    return IngestResult(source=df, commit=commit, path=output_dir, format=format)
+    return IngestResult(source=df, commit=commit, path=output_dir, format=format, spark=spark)

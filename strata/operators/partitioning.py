@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def round_robin(df: DataFrame, n: int | None) -> DataFrame:
@@ -31,3 +32,10 @@ def balance_by(df: DataFrame, *cols: str) -> DataFrame:
     and no task holds a whole hot group.
     """
     return df.hint("rebalance", *cols) if cols else df.hint("rebalance")
+
+
+def global_sort(df: DataFrame, *keys) -> DataFrame:
+    """All rows in ascending order of ``keys``, NULLs first: range partitioning
+    on sampled bounds, then a sort in each partition, so file ``i`` of a write
+    holds smaller rows than file ``i + 1``."""
+    return df.orderBy(*[k if not isinstance(k, str) else F.col(k).asc() for k in keys])

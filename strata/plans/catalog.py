@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.functions.columns import (
@@ -23,12 +23,19 @@ from strata.functions.columns import (
 )
 from strata.operators.checks import count_rows, distinct_values, expect_distinct, first_rows
 from strata.operators.ingest import ingest_json
-from strata.operators.partitioning import coalesce_to, round_robin
+from strata.operators.partitioning import coalesce_to, global_sort, round_robin
 from strata.session import scratch_path
-from strata.sinks.files import export_split_json, write_json, write_json_documents, write_parquet
-from strata.sources.files import id_range, read_parquet
+from strata.sinks.files import export_split_json, write_json, write_parquet
+from strata.sources.files import read_parquet
 from strata.sources.json import read_json
-from strata.table import VersionedTable, delete_from_table, read_table, update_table, write_table
+from strata.table import (
+    TableExistsError,
+    VersionedTable,
+    delete_from_table,
+    read_table,
+    update_table,
+    write_table,
+)
 from strata.table.fs import HadoopFS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,10 +83,22 @@ def q02_json_recursive_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_json(spark, root, recursive=True, glob="*.json").select("o_orderkey", "o_custkey")
 
 
+def write_documents(df: DataFrame, path: str, *, bytes_per_file: int = 1 << 20) -> None:
+    """Rows as files of about ``bytes_per_file``, each one pretty-printed JSON
+    array over many lines: input for ``multiline=True``."""
+    doc = F.to_json(F.struct(*df.columns), {"pretty": "true"})
+    docs = df.select(doc.alias("doc"))
+    size = docs.agg(F.sum(F.length("doc").cast("long"))).first()[0] or 0
+    bucket = F.pmod(F.monotonically_increasing_id(), F.lit(1 + size // bytes_per_file))
+    arrays = docs.groupBy(bucket.alias("bucket")).agg(F.concat_ws(",\n", F.collect_list("doc")).alias("rows"))
+    arrays = arrays.select(F.concat(F.lit("[\n"), "rows", F.lit("\n]")).alias("value"))
+    arrays.write.option("maxRecordsPerFile", 1).text(path)
+
+
 def q03_json_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "q03")
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
-    write_json_documents(customers, root, rows_per_file=1000)
+    write_documents(customers, root)
     return read_json(spark, root, multiline=True).select("c_custkey", "c_name", "c_acctbal")
 
 
@@ -138,9 +157,30 @@ def q13_first_20(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- exports --------------------------------------------------------------
 
 
+def q14_global_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders written in global order; each row with its place in the files."""
+    path = scratch_path(spark, "q14")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    write_parquet(global_sort(orders, "o_orderdate", "o_orderkey"), path)
+    rows = read_parquet(spark, path).select(
+        "o_orderkey", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("nth")
+    )
+    # Files are numbered in order; one row for each file here.
+    earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = rows.groupBy("file").agg(F.count(F.lit(1)).alias("n")).select(
+        "file", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start")
+    )
+    place = (F.col("start") + F.col("nth") + 1).alias("place")
+    return rows.join(starts, "file").select("o_orderkey", place)
+
+
 def q15_split_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two exports to one path: the second replaces its own months only."""
     root = scratch_path(spark, "q15")
-    export_split_json(orders_by_month(spark, sf_dir), root, ["year", "month"])
+    orders = orders_by_month(spark, sf_dir)
+    late = F.coalesce(F.col("year") >= 1996, F.lit(False))
+    export_split_json(orders.where(~late), root, ["year", "month"], order_by=["o_orderdate"])
+    export_split_json(orders.where(late), root, ["year", "month"], order_by=["o_orderdate"])
     return read_json(spark, root, recursive=True, glob="*.json").select("o_orderkey", "year", "month")
 
 
@@ -178,7 +218,11 @@ def q18_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_custkey").alias("s_suppkey"), F.col("c_name").alias("s_name")
     )
     write_table(other, path, mode="ignore")
-    return read_table(spark, path).select("s_suppkey", "s_name")
+    try:
+        write_table(other, path, mode="errorifexists")
+    except TableExistsError:
+        return read_table(spark, path).select("s_suppkey", "s_name")
+    raise AssertionError("errorifexists wrote over a table that exists")
 
 
 def q20_version_0(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,10 +233,15 @@ def q20_version_0(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q21_merge_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "q21")
     customers = table(spark, sf_dir, "customer")
-    write_table(customers.select("c_custkey", "c_name"), path)
-    added = customers.where(F.col("c_nationkey") == 1).select("c_custkey", "c_mktsegment")
+    nation = F.col("c_nationkey").cast("long").alias("nation")
+    first = customers.select("c_custkey", "c_name", F.struct(nation).alias("profile"))
+    write_table(first, path)
+    wider = F.struct(nation, F.col("c_acctbal").cast("double").alias("balance"))
+    added = customers.select("c_custkey", "c_mktsegment", wider.alias("profile"))
     write_table(added, path, mode="append", merge_schema=True)
-    return read_table(spark, path).select("c_custkey", "c_name", "c_mktsegment")
+    return read_table(spark, path).select(
+        "c_custkey", "c_name", "c_mktsegment", "profile.nation", "profile.balance"
+    )
 
 
 def q22_overwrite_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -248,12 +297,11 @@ def q27_repartition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q28_range_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Range write, overwrite, update, delete; the range spans as many ids as
-    orders has rows."""
-    n = table(spark, sf_dir, "orders").count()
+    """Ids of all orders through write, overwrite, update and delete."""
+    ids = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("long").alias("id"))
     path = scratch_path(spark, "q28")
-    write_table(id_range(spark, 0, n), path)
-    write_table(id_range(spark, n, 2 * n), path, mode="overwrite")
+    write_table(ids, path)
+    write_table(ids.select((F.col("id") + 5).alias("id")), path, mode="overwrite")
     handle = VersionedTable.for_path(spark, path)
     handle.update("id % 2 == 0", {"id": "id + 100"})
     handle.delete("id % 2 == 0")
@@ -292,7 +340,8 @@ def q32_skip_unreadable_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "q32")
     write_json(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"), f"{root}/good")
     HadoopFS(spark, root).write_text("bad/part-broken.json.gz", "this is not gzip data")
-    return read_json(spark, root, recursive=True).select("o_orderkey", "o_orderstatus")
+    lines = read_json(spark, root, recursive=True, ignore_corrupt_files=True)
+    return lines.select("o_orderkey", "o_orderstatus")
 
 
 QUERIES: dict[str, Query] = {
@@ -309,6 +358,7 @@ QUERIES: dict[str, Query] = {
     "q11_distinct": q11_distinct,
     "q12_count": q12_count,
     "q13_first_20": q13_first_20,
+    "q14_global_sort": q14_global_sort,
     "q15_split_export": q15_split_export,
     "q16_append": q16_append,
     "q17_overwrite": q17_overwrite,
@@ -354,6 +404,9 @@ ORACLE_SQL: dict[str, str] = {
     "q13_first_20": (
         "SELECT o_orderkey, o_orderdate FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 20"
     ),
+    "q14_global_sort": (
+        "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate NULLS FIRST, o_orderkey) AS place FROM orders"
+    ),
     "q15_split_export": f"SELECT o_orderkey, year, month FROM {_B} b",
     "q16_append": "SELECT o_orderkey, o_totalprice FROM orders",
     "q17_overwrite": "SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F'",
@@ -362,9 +415,10 @@ ORACLE_SQL: dict[str, str] = {
         f"SELECT o_orderkey FROM orders WHERE o_orderdate < TIMESTAMP '{SPLIT_DATE}'"
     ),
     "q21_merge_schema": (
-        "SELECT c_custkey, c_name, NULL::VARCHAR AS c_mktsegment FROM customer "
-        "UNION ALL SELECT c_custkey, NULL::VARCHAR AS c_name, c_mktsegment FROM customer "
-        "WHERE c_nationkey = 1"
+        "SELECT c_custkey, c_name, NULL::VARCHAR AS c_mktsegment, c_nationkey::BIGINT AS nation, "
+        "NULL::DOUBLE AS balance FROM customer "
+        "UNION ALL SELECT c_custkey, NULL::VARCHAR AS c_name, c_mktsegment, c_nationkey::BIGINT AS nation, "
+        "c_acctbal::DOUBLE AS balance FROM customer"
     ),
     "q22_overwrite_schema": "SELECT c_custkey, c_name FROM customer",
     "q23_update": (
@@ -378,8 +432,7 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "q27_repartition": "SELECT l_orderkey, l_linenumber FROM lineitem",
     "q28_range_lifecycle": (
-        "SELECT id FROM (SELECT count(*) OVER () + row_number() OVER () - 1 AS id "
-        "FROM orders) r WHERE id % 2 = 1"
+        "SELECT id FROM (SELECT o_orderkey::BIGINT + 5 AS id FROM orders) r WHERE id % 2 = 1"
     ),
     "q30_distinct_guard": f"SELECT DISTINCT year FROM {_B} b",
     "q32_skip_unreadable_files": "SELECT o_orderkey, o_orderstatus FROM orders",

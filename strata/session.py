@@ -32,9 +32,15 @@ _STATIC_DEFAULTS = {
 }
 
 
-def delta_available() -> bool:
-    """True when the Delta Lake Python package is importable."""
-    return importlib.util.find_spec("delta") is not None
+def delta_available(spark: SparkSession) -> bool:
+    """True when the Delta Lake package and its jar are both there."""
+    if importlib.util.find_spec("delta") is None:
+        return False
+    try:
+        spark.sparkContext._jvm.java.lang.Class.forName("io.delta.sql.DeltaSparkSessionExtension")
+    except Exception:
+        return False
+    return True
 
 
 def get_session(
@@ -46,8 +52,8 @@ def get_session(
     """Return the active session (settings applied) or build a new one.
 
     ``master`` is only needed outside ``spark-submit``; a submitted job keeps
-    the cluster's master. Delta's extension is installed only when the Delta
-    package is present, so a plain Spark install still works.
+    the cluster's master. A session for Delta tables gets Delta's extension and
+    catalog through ``conf``.
     """
     active = SparkSession.getActiveSession()
     if active is not None:
@@ -58,13 +64,6 @@ def get_session(
         builder = builder.master(master)
     for key, value in {**_STATIC_DEFAULTS, **_SESSION_DEFAULTS}.items():
         builder = builder.config(key, value)
-    if delta_available():
-        builder = builder.config(
-            "spark.sql.extensions", "io.delta.sql.DeltaSparkSessionExtension"
-        ).config(
-            "spark.sql.catalog.spark_catalog",
-            "org.apache.spark.sql.delta.catalog.DeltaCatalog",
-        )
     for key, value in (conf or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()

@@ -4,7 +4,6 @@ from strata.sinks.files import (
     EXPORT_PREFIX,
     export_split_json,
     write_json,
-    write_json_documents,
     write_parquet,
 )
 
@@ -12,6 +11,5 @@ __all__ = [
     "EXPORT_PREFIX",
     "export_split_json",
     "write_json",
-    "write_json_documents",
     "write_parquet",
 ]

@@ -1,11 +1,8 @@
-"""File sinks: parquet, JSON, split export, and multi-line JSON documents."""
+"""File sinks: parquet, JSON, split export."""
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from strata.functions.columns import col_of
 from strata.operators.partitioning import balance_by
@@ -45,10 +42,14 @@ def export_split_json(
     path: str,
     by: list[str] | tuple[str, ...] = ("year", "month"),
     *,
+    order_by: list[str] | tuple[str, ...] = (),
     mode: str = "overwrite",
 ) -> list[str]:
     """One output directory per combination of ``by`` values, in one job.
 
+    With mode ``overwrite`` only the groups in ``df`` are replaced; groups that
+    an earlier export wrote stay. ``order_by`` sorts the rows of each file.
+
     The grouping columns stay inside the rows; copies named ``part_<col>``
     drive the directory layout (``part_year=2024/part_month=12/``). Rows are
     rebalanced on the copies first, so every group's rows land in few files
@@ -58,36 +59,9 @@ def export_split_json(
     by = [by] if isinstance(by, str) else list(by)
     dir_cols = [f"{EXPORT_PREFIX}{c}" for c in by]
     laid_out = df.withColumns({d: col_of(c) for d, c in zip(dir_cols, by)})
-    write_json(balance_by(laid_out, *dir_cols), path, mode=mode, partition_by=dir_cols)
+    dealt = balance_by(laid_out, *dir_cols)
+    if order_by:  # the writer needs the group columns first, and then keeps the order
+        dealt = dealt.sortWithinPartitions(*dir_cols, *order_by)
+    writer = dealt.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*dir_cols).json(path)
     return dir_cols
-
-
-def write_json_documents(
-    df: DataFrame,
-    path: str,
-    *,
-    rows_per_file: int = 10_000,
-    pretty: bool = True,
-    mode: str = "overwrite",
-) -> int:
-    """Write rows as multi-line JSON files, each one array document.
-
-    Rows are hashed into ``ceil(rows / rows_per_file)`` buckets; each bucket
-    becomes one file holding one array, the shape ``multiline=True`` reads.
-    The hash includes a per-row id, so duplicate rows spread like any others
-    and a bucket holds about ``rows_per_file`` rows. Returns the number of
-    files.
-    """
-    total = df.count()
-    buckets = max(1, math.ceil(total / rows_per_file))
-    options = {"pretty": "true"} if pretty else {}
-    doc = F.to_json(F.struct(*[col_of(c) for c in df.columns]), options)
-    row_id = F.monotonically_increasing_id()
-    bucket = F.pmod(F.xxhash64(row_id, *[col_of(c) for c in df.columns]), F.lit(buckets))
-    arrays = (
-        df.select(bucket.alias("bucket"), doc.alias("doc"))
-        .groupBy("bucket")
-        .agg(F.concat(F.lit("[\n"), F.concat_ws(",\n", F.collect_list("doc")), F.lit("\n]")).alias("value"))
-    )
-    arrays.write.mode(mode).partitionBy("bucket").text(path)
-    return buckets

@@ -13,10 +13,14 @@ def read_parquet(
     path: str,
     *paths: str,
     schema: StructType | str | None = None,
-    ignore_corrupt_files: bool = True,
+    ignore_corrupt_files: bool = False,
     recursive: bool = False,
 ) -> DataFrame:
-    """Parquet scan; filters and projections reach the scan through Catalyst."""
+    """Parquet scan; filters and projections reach the scan through Catalyst.
+
+    A damaged file is an error; ``ignore_corrupt_files`` reads what it can of
+    it instead, and nothing tells how much that was.
+    """
     reader = spark.read.format("parquet")
     if ignore_corrupt_files:
         reader = reader.option("ignoreCorruptFiles", "true")

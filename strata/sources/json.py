@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -20,9 +20,8 @@ def json_reader(
     multiline: bool = False,
     glob: str | None = None,
     schema: StructType | str | None = None,
-    ignore_corrupt_files: bool = True,
+    ignore_corrupt_files: bool = False,
     corrupt_column: str | None = None,
-    sampling_ratio: float | None = None,
     infer_timestamp: bool = False,
 ):
     reader = spark.read.format("json").option("multiLine", str(bool(multiline)).lower())
@@ -34,8 +33,6 @@ def json_reader(
         reader = reader.option("ignoreCorruptFiles", "true")
     if corrupt_column:
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
-    if sampling_ratio is not None:
-        reader = reader.option("samplingRatio", str(sampling_ratio))
     if infer_timestamp:
         reader = reader.option("inferTimestamp", "true")
     if schema is not None:
@@ -51,9 +48,8 @@ def read_json(
     multiline: bool = False,
     glob: str | None = None,
     schema: StructType | str | None = None,
-    ignore_corrupt_files: bool = True,
+    ignore_corrupt_files: bool = False,
     corrupt_column: str | None = None,
-    sampling_ratio: float | None = None,
     infer_timestamp: bool = False,
     check_multiline: bool = True,
 ) -> DataFrame:
@@ -63,7 +59,9 @@ def read_json(
     come out sorted by name). With ``recursive`` sub-directories are read
     and ``k=v`` directories give no partition column. Malformed lines are
     kept with all fields NULL and the raw text in ``_corrupt_record`` (or
-    ``corrupt_column``); unreadable files are skipped.
+    ``corrupt_column``). A file that cannot be read is an error;
+    ``ignore_corrupt_files`` reads what it can of it instead, and nothing
+    tells how much that was.
 
     With ``multiline`` each file is one JSON document (object or array);
     a JSON Lines file would silently yield only its first record, so by
@@ -81,7 +79,6 @@ def read_json(
         schema=schema,
         ignore_corrupt_files=ignore_corrupt_files,
         corrupt_column=corrupt_column,
-        sampling_ratio=sampling_ratio,
         infer_timestamp=infer_timestamp,
     )
     return reader.load(path)
@@ -93,13 +90,15 @@ def json_lines_files(
     *,
     recursive: bool = True,
     glob: str | None = None,
-    ignore_corrupt_files: bool = True,
+    ignore_corrupt_files: bool = False,
 ) -> DataFrame:
-    """Files that hold more than one complete JSON value on separate lines.
+    """Files whose first line that is not blank is a whole JSON value, with
+    another line that is not blank after it.
 
-    A line-split text scan (parallel over file splits) keeps lines that parse
-    as a whole JSON object or array, then counts them per file; only the
-    names of offending files come back.
+    A JSON document cannot go on after its first complete value, so this is
+    exact. A line-split text scan (parallel over file splits) keeps each file's
+    first two such lines by position; only the names of offending files come
+    back.
     """
     reader = spark.read.format("text")
     if ignore_corrupt_files:
@@ -108,17 +107,24 @@ def json_lines_files(
         reader = reader.option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    lines = reader.load(path)
-    value = F.trim(F.col("value"))
-    # Cheap bracket checks first; only lines that could be whole values are parsed.
-    bracketed = (value.startswith("{") & value.endswith("}")) | (value.startswith("[") & value.endswith("]"))
-    complete = bracketed & F.try_parse_json(value).isNotNull()
-    return (
-        lines.where(complete)
-        .groupBy(F.col("_metadata.file_path").alias("file"))
-        .agg(F.count(F.lit(1)).alias("documents"))
-        .where(F.col("documents") > 1)
+    # Splits of a file come with their start; within one, ids follow the lines.
+    at = F.struct(
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")
     )
+    lines = reader.load(path).select(F.col("_metadata.file_path").alias("file"), at.alias("at"), "value")
+    lines = lines.where(F.trim("value") != "").withColumn("whole", _whole_value(F.col("value")))
+    first = lines.groupBy("file").agg(
+        F.min_by("whole", "at").alias("whole"), F.count(F.lit(1)).alias("lines")
+    )
+    return first.where("whole AND lines > 1").select("file", "lines")
+
+
+def _whole_value(line: Column) -> Column:
+    """Whether the line is a JSON object or array by itself (brackets first,
+    so few lines are parsed)."""
+    value = F.trim(line)
+    objects, arrays = value.startswith("{") & value.endswith("}"), value.startswith("[") & value.endswith("]")
+    return F.coalesce(F.when(objects | arrays, F.try_parse_json(value).isNotNull()), F.lit(False))
 
 
 def assert_not_json_lines(
@@ -127,7 +133,7 @@ def assert_not_json_lines(
     *,
     recursive: bool = True,
     glob: str | None = None,
-    ignore_corrupt_files: bool = True,
+    ignore_corrupt_files: bool = False,
 ) -> None:
     offenders = (
         json_lines_files(
@@ -137,7 +143,7 @@ def assert_not_json_lines(
         .collect()
     )
     if offenders:
-        names = ", ".join(f"{r['file']} ({r['documents']} records)" for r in offenders)
+        names = ", ".join(f"{r['file']} ({r['lines']} lines)" for r in offenders)
         raise MultilineMismatchError(
             "multiline=True reads one JSON document per file, but these files hold "
             f"one record per line: {names}; read them with multiline=False"

@@ -94,14 +94,6 @@ def test_conflicting_types_widen(spark, tmp_path):
     assert dict(df.dtypes) == {"n": "double", "s": "string"}
 
 
-def test_unreadable_files_are_skipped(spark, tmp_path):
-    write_records(tmp_path / "in" / "a.json", [{"a": 1}])
-    (tmp_path / "in" / "b.json.gz").write_bytes(b"this is not gzip data")
-    assert read_json(spark, str(tmp_path / "in")).count() == 1
-    with pytest.raises(Exception):
-        read_json(spark, str(tmp_path / "in"), ignore_corrupt_files=False).collect()
-
-
 def test_given_schema_skips_inference(spark, tmp_path):
     write_records(tmp_path / "in" / "a.json", [{"a": 1, "b": "x"}])
     df = read_json(spark, str(tmp_path / "in"), schema="b string, a int")
@@ -134,18 +126,37 @@ def test_id_range(spark):
     assert id_range(spark, 3).schema == T.StructType([T.StructField("id", T.LongType(), False)])
 
 
-def test_parquet_scan_skips_unreadable_files(spark, tmp_path):
-    df = rows(spark, [{"id": 1}], "id bigint")
-    write_parquet(df, str(tmp_path / "p"))
-    (tmp_path / "p" / "broken.parquet").write_bytes(b"not parquet at all")
-    assert read_parquet(spark, str(tmp_path / "p"), schema="id bigint").count() == 1
-    with pytest.raises(Exception):
-        read_parquet(spark, str(tmp_path / "p"), schema="id bigint", ignore_corrupt_files=False).count()
-
-
 def test_custom_corrupt_column_name(spark, tmp_path):
     write_lines(tmp_path / "in" / "a.json", ['{"a": 1}', "{broken"])
     df = read_json(spark, str(tmp_path / "in"), corrupt_column="raw").cache()
     good, bad = split_corrupt(df, "raw")
     assert [r.a for r in good.collect()] == [1] and [r.raw for r in bad.collect()] == ["{broken"]
     df.unpersist()
+
+
+def test_unreadable_json_fails_unless_skipped(spark, tmp_path):
+    write_records(tmp_path / "in" / "a.json", [{"a": 1}])
+    (tmp_path / "in" / "b.json.gz").write_bytes(b"this is not gzip data")
+    with pytest.raises(Exception):
+        read_json(spark, str(tmp_path / "in")).collect()
+    assert read_json(spark, str(tmp_path / "in"), ignore_corrupt_files=True).count() == 1
+
+
+def test_damaged_parquet_fails_unless_skipped(spark, tmp_path):
+    write_parquet(rows(spark, [{"id": 1}], "id bigint"), str(tmp_path / "p"))
+    (tmp_path / "p" / "broken.parquet").write_bytes(b"not parquet at all")
+    with pytest.raises(Exception):
+        read_parquet(spark, str(tmp_path / "p"), schema="id bigint").count()
+    assert read_parquet(spark, str(tmp_path / "p"), schema="id bigint", ignore_corrupt_files=True).count() == 1
+
+
+def test_multiline_reads_documents_with_whole_values_on_lines(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "shape.json").write_text('{"points":\n[\n[[1, 2]],\n[[3, 4]]\n]\n}\n')
+    assert read_json(spark, str(tmp_path / "in"), multiline=True).count() == 1
+    (tmp_path / "list").mkdir()
+    (tmp_path / "list" / "rows.json").write_text('[\n{"a": 1}\n,\n{"a": 2}\n]\n')
+    assert read_json(spark, str(tmp_path / "list"), multiline=True).count() == 2
+    (tmp_path / "one").mkdir()
+    (tmp_path / "one" / "row.json").write_text('\n{"a": 1}\n\n')
+    assert read_json(spark, str(tmp_path / "one"), multiline=True).count() == 1

@@ -203,41 +203,6 @@ def test_empty_write_and_delete_everything(spark, tmp_uri):
     assert read_table(spark, part).count() == 0
 
 
-def test_whole_commit_dirs_and_opened_leaves(spark, tmp_uri):
-    from strata.table.log import scan_roots
-
-    path = tmp_uri("roots")
-    df = spark.range(0, 20).select(F.col("id"), (F.col("id") % 4).alias("p"))
-    first = write_table(df, path, partition_by=["p"])
-    # a fresh write is one whole directory: no leaf list in the commit
-    assert first.fragments == [] and len(first.whole) == 1 and scan_roots(first) == first.whole
-    second = write_table(df, path, mode="append")
-    assert second.fragments == [] and len(scan_roots(second)) == 2
-    third = update_table(spark, path, "p = 1", {"id": "id + 100"})
-    # both earlier directories are opened into their three untouched leaves
-    assert len(third.whole) == 1 and len(third.fragments) == 6
-    assert len(scan_roots(third)) == 7
-    assert read_table(spark, path).count() == 40
-
-
-def test_partition_only_delete_drops_fragments_without_rewrite(spark, tmp_uri):
-    path = tmp_uri("pdel")
-    df = spark.range(0, 30).select(F.col("id"), (F.col("id") % 3).alias("p"))
-    write_table(df, path, partition_by=["p"])
-    commit = delete_from_table(spark, path, F.col("p") == 2)
-    assert commit.metrics["files_rewritten"] == 0 and commit.metrics["fragments_removed"] == 1
-    assert commit.metrics["rows_written"] == 0
-    assert len(commit.fragments) == 2 and commit.files == {}
-    assert sorted(ids(read_table(spark, path))) == [i for i in range(30) if i % 3 != 2]
-    mixed = delete_from_table(spark, path, "p = 1 AND id > 20")
-    assert mixed.metrics["files_rewritten"] >= 1 and mixed.metrics["rows_matched"] == 3
-    # One fragment fully matched, one partly: one commit drops one, rewrites one.
-    both = delete_from_table(spark, path, "p = 0 OR id = 1")
-    assert both.version == mixed.version + 1
-    assert both.metrics["fragments_removed"] >= 1 and both.metrics["files_rewritten"] >= 1
-    assert sorted(ids(read_table(spark, path))) == [4, 7, 10, 13, 16, 19]
-
-
 def test_update_and_delete_with_nulls(spark, tmp_uri):
     path = tmp_uri("nulls")
     data = [(1, 10), (2, None), (3, 30), (4, 40), (None, 50)]
@@ -267,50 +232,6 @@ def test_update_sees_old_values_and_casts(spark, tmp_uri):
         update_table(spark, path, "a = 2", {})
 
 
-def test_update_rewrites_only_touched_files(spark, tmp_uri):
-    path = tmp_uri("frag")
-    df = spark.range(0, 40).select(F.col("id"), (F.col("id") % 4).alias("p"))
-    write_table(df, path, partition_by=["p"])
-    first = table_commit(spark, path)
-    assert first.fragments == [] and len(first.whole) == 1
-    commit = update_table(spark, path, "p = 1 AND id > 20", {"id": "id + 1000"})
-    assert commit.metrics["files_rewritten"] == commit.metrics["files_removed"] == 1
-    assert commit.metrics["rows_matched"] == 5
-    # the first directory is opened: p=1 emptied, three leaves stay; the rewrite is whole
-    assert len(commit.fragments) == 3 and len(commit.whole) == 1
-    got = ids(read_table(spark, path))
-    assert len(got) == 40 and 1021 in got and 21 not in got
-    assert update_table(spark, path, "id < 0", {"id": 0}) is None
-    assert table_version(spark, path) == 1
-
-
-def test_unpartitioned_update_keeps_untouched_files(spark, tmp_uri):
-    path = tmp_uri("files")
-    write_table(spark.range(0, 400).repartition(4), path)
-    before = read_table(spark, path).inputFiles()
-    assert len(before) == 4
-    commit = update_table(spark, path, "id = 7", {"id": -7})
-    assert commit.metrics["files_rewritten"] == 1 and commit.metrics["rows_matched"] == 1
-    assert 0 < commit.metrics["rows_written"] < 400  # one file of four
-    # one of four files left: the commit records that one name, not the three survivors
-    assert commit.files == {} and len(commit.removed) == 1
-    assert len(next(iter(commit.removed.values()))) == 1
-    got = ids(read_table(spark, path))
-    assert len(got) == 400 and -7 in got and 7 not in got
-    assert 7 in ids(read_table(spark, path, version_as_of=0))
-    # delete every row of one old file and part of another
-    low = min(got[1:])
-    d = delete_from_table(spark, path, F.col("id").between(low, low + 2))
-    assert d.metrics["files_removed"] >= 1
-    assert len(ids(read_table(spark, path))) == 397
-    # remove the rest: the old commit directory leaves the version
-    delete_from_table(spark, path, "id >= 0")
-    final = table_commit(spark, path)
-    assert ids(read_table(spark, path)) == [-7]
-    assert final.files == {} and final.removed == {} and final.fragments == []
-    assert len(final.whole) == 1
-
-
 def test_update_can_move_rows_between_partitions(spark, tmp_uri):
     path = tmp_uri("move")
     write_table(spark.createDataFrame([(1, "a"), (2, "b")], "id long, p string"), path, partition_by=["p"])
@@ -330,21 +251,6 @@ def test_missing_version_and_table(spark, tmp_uri):
         read_table(spark, path, version_as_of=5)
 
 
-def test_commit_conflict_and_corrupt_commit(spark, tmp_uri):
-    path = tmp_uri("conflict")
-    write_table(spark.range(1), path)
-    fs = HadoopFS(spark, path)
-    current = table_commit(spark, path)
-    clash = Commit(version=0, operation="WRITE", schema=current.schema, partition_by=[], fragments=[])
-    with pytest.raises(TableConflictError):
-        write_commit(fs, clash)
-    names = [n for n in fs.list_names("commits") if not n.endswith(".hint")]
-    assert names == [commit_name(0).split("/")[1]]  # no temp files left
-    assert fs.create_exclusive(commit_name(1), "{not json")
-    with pytest.raises(CorruptCommitError):
-        read_table(spark, path)
-
-
 def test_failed_write_leaves_no_version(spark, tmp_uri):
     path = tmp_uri("failed")
     write_table(spark.range(3), path)
@@ -380,58 +286,10 @@ def test_dml_with_special_characters_in_partition_values(spark, tmp_uri):
     assert sorted(r.p for r in out.select("p").distinct().collect()) == ["a b%c", "q/r", "t:u", "x+y"]
 
 
-def test_file_filters_stay_bounded(spark, tmp_uri, monkeypatch):
-    import strata.table.dml as dml
-    from strata.plans import plan_text
-
-    # one file of four leaves: its name is filtered out while listing
-    few = tmp_uri("few")
-    write_table(spark.range(0, 400, 1, 4), few)  # ids 0-99, 100-199, ... in four files
-    update_table(spark, few, "id = 3", {"id": 3000})
-    assert "file_path" in plan_text(read_table(spark, few).where("id > 10"), "simple")
-    assert ids(read_table(spark, few))[-1] == 3000 and len(ids(read_table(spark, few))) == 400
-
-    # three of four leave: the one live file is listed, no filter at all
-    most = tmp_uri("most")
-    write_table(spark.range(0, 400, 1, 4), most)
-    update_table(spark, most, "id >= 100", {"id": "id + 1000"})
-    text = plan_text(read_table(spark, most).where("id > 10"), "simple")
-    assert "file_path" not in text and "_metadata" not in text
-    assert len(ids(read_table(spark, most))) == 400
-
-    # past the per-version cap, live-file lists are used even for small removals
-    monkeypatch.setattr(dml, "REMOVED_LIMIT", 0)
-    capped = tmp_uri("capped")
-    write_table(spark.range(0, 400, 1, 4), capped)
-    commit = update_table(spark, capped, "id = 3", {"id": 3000})
-    assert commit.removed == {} and len(commit.files) == 1
-    assert "file_path" not in plan_text(read_table(spark, capped), "simple")
-
-
-def test_dml_after_schema_evolution_and_append_after_dml(spark, tmp_uri):
-    path = tmp_uri("evolve")
-    write_table(spark.range(0, 200, 1, 2), path)  # ids 0-99 and 100-199 in two files
-    wider = spark.range(200, 210).select("id", F.lit("new").alias("tag"))
-    write_table(wider, path, mode="append", merge_schema=True)
-    # older files lack `tag`: they read as NULL and the update fills them in
-    commit = update_table(spark, path, "tag IS NULL AND id < 5", {"tag": "'old'"})
-    assert commit.metrics["rows_matched"] == 5 and commit.metrics["files_rewritten"] == 1
-    assert len(commit.files) == 1  # the first directory keeps one of its two files
-    # an append after a partial rewrite keeps the explicit live-file lists
-    appended = write_table(spark.range(500, 503), path, mode="append")
-    assert appended.files == commit.files
-    df = read_table(spark, path)
-    assert df.count() == 213
-    assert df.where("tag = 'old'").count() == 5 and df.where("tag = 'new'").count() == 10
-    assert df.where("tag IS NULL").count() == 213 - 15
-    assert read_table(spark, path, version_as_of=1).where("tag IS NULL").count() == 200
-    assert read_table(spark, path, version_as_of=0).columns == ["id"]
-
-
 def test_delta_format_needs_delta(spark, tmp_uri):
     from strata.session import delta_available
 
-    if delta_available():
+    if delta_available(spark):
         pytest.skip("Delta Lake is installed here")
     path = tmp_uri("delta")
     for call in (
@@ -446,67 +304,6 @@ def test_delta_format_needs_delta(spark, tmp_uri):
         write_table(spark.range(1), path, format="orc")
 
 
-def test_dml_scans_use_directory_roots_where_possible(spark, tmp_uri):
-    from strata.table.dml import _hit_files, _list_touched, _roots
-    from strata.table.versioned import _Table
-
-    path = tmp_uri("roots-dml")
-    df = spark.range(0, 400, 1, 4).select(F.col("id"), (F.col("id") % 8).alias("p"))
-    write_table(df, path, partition_by=["p"], rebalance=False)  # 4 files in each of 8 leaves
-    table = _Table(spark, path)
-    commit = table.latest()
-    everything = _hit_files(table, commit, F.lit(True))
-    touched = _list_touched(table, commit, everything)
-    assert len(touched.opened) == 1 and len(touched.live) == 8
-    assert _roots(commit, touched, everything) == commit.whole  # one root, not 8 leaves
-    some = _hit_files(table, commit, F.expr("p = 3 AND id < 100"))
-    touched = _list_touched(table, commit, some)
-    roots = _roots(commit, touched, some)
-    assert len(roots) == 1 and roots[0].endswith(".parquet")  # just the one file
-
-
-def test_delete_commits_over_concurrent_appends(spark, tmp_uri, monkeypatch):
-    import strata.table.dml as dml
-
-    path = tmp_uri("dml-race")
-    write_table(spark.range(0, 20, 1, 2), path)
-    real = dml.write_commit
-    raced = {"done": False}
-
-    def racing(fs, commit):
-        if not raced["done"]:
-            raced["done"] = True  # an ingest job appends first
-            write_table(spark.range(100, 110), path, mode="append")
-        return real(fs, commit)
-
-    monkeypatch.setattr(dml, "write_commit", racing)
-    commit = delete_from_table(spark, path, "id % 2 = 0")
-    assert commit.version == 2
-    # the delete applied to the version it read; the concurrent append is kept whole
-    assert ids(read_table(spark, path)) == [i for i in range(20) if i % 2] + list(range(100, 110))
-
-
-def test_delete_refuses_to_commit_over_a_concurrent_overwrite(spark, tmp_uri, monkeypatch):
-    import strata.table.dml as dml
-
-    path = tmp_uri("dml-race-2")
-    write_table(spark.range(0, 20), path)
-    real = dml.write_commit
-    raced = {"done": False}
-
-    def racing(fs, commit):
-        if not raced["done"]:
-            raced["done"] = True
-            write_table(spark.range(500, 505), path, mode="overwrite")
-        return real(fs, commit)
-
-    monkeypatch.setattr(dml, "write_commit", racing)
-    with pytest.raises(TableConflictError):
-        delete_from_table(spark, path, "id < 5")
-    monkeypatch.setattr(dml, "write_commit", real)
-    assert ids(read_table(spark, path)) == [500, 501, 502, 503, 504]
-
-
 def test_hot_partition_value_is_split_over_several_writers(spark, tmp_path):
     import os
 
@@ -523,7 +320,7 @@ def test_hot_partition_value_is_split_over_several_writers(spark, tmp_path):
         commit = write_table(df, path, partition_by=["p"])
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
-    hot = commit.whole[0] + "/p=0"
+    hot = commit.parts[0] + "/p=0"
     hot_dir = os.path.join(str(tmp_path / "skew"), hot)
     hot_files = [f for f in os.listdir(hot_dir) if f.endswith(".parquet")]
     assert len(hot_files) > 1  # the value holding a third of the rows is not one task's job
@@ -531,110 +328,107 @@ def test_hot_partition_value_is_split_over_several_writers(spark, tmp_path):
     assert read_table(spark, path).where("p = 0").count() == n // 3
 
 
-def test_fast_path_decoding_agrees_with_hadoop(spark, tmp_uri):
-    from strata.table.log import is_live
-    from strata.table.versioned import _decode_path, _Table
+def test_single_partition_column_as_text(spark, tmp_uri):
+    path = tmp_uri("single")
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id long, p string")
+    assert write_table(df, path, partition_by="p").partition_by == ["p"]
+    assert read_table(spark, path).where("p = 'b'").count() == 1
 
-    path = tmp_uri("enc dir+x")
-    df = spark.createDataFrame(
-        [(1, "a b%c"), (2, "x+y"), (3, "q/r"), (4, "t:u"), (5, "é ü"), (6, None)], "id long, p string"
-    )
-    write_table(df, path, partition_by=["p"])
-    table = _Table(spark, path)
-    commit = table.latest()
-    jvm = spark.sparkContext._jvm
-    uris = list(read_table(spark, path).inputFiles())
-    uris += [r[0] for r in table.raw_scan(commit).select("_metadata.file_path").distinct().collect()]
-    assert len(uris) >= 12
-    for uri in uris:
-        slow = table._split(jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri)).toString())
-        fast = table._split(_decode_path(uri))
-        assert fast == slow and is_live(commit, fast[0])
-        assert table.locate(uri, set(), set(commit.whole)) == slow
-
-
-def test_publish_exclusive_has_one_winner(spark, tmp_uri):
-    from concurrent.futures import ThreadPoolExecutor
-
-    fs = HadoopFS(spark, tmp_uri("race"))
-    with ThreadPoolExecutor(16) as pool:
-        results = list(pool.map(lambda i: fs.publish_exclusive("commits/x.json", str(i)), range(16)))
-    assert results.count(True) == 1
-    assert fs.read_text("commits/x.json") == str(results.index(True))
-    assert fs.list_names("commits") == ["x.json"]
-
-
-def test_concurrent_appends_all_land(spark, tmp_uri):
-    from concurrent.futures import ThreadPoolExecutor
-
-    path = tmp_uri("appends")
-    write_table(spark.range(0, 10), path)
-
-    def append(i):
-        return write_table(spark.range(1000 * (i + 1), 1000 * (i + 1) + 10), path, mode="append").version
-
-    with ThreadPoolExecutor(4) as pool:
-        versions = list(pool.map(append, range(4)))
-    assert sorted(versions) == [1, 2, 3, 4]
-    got = ids(read_table(spark, path))
-    assert len(got) == 50 and len(set(got)) == 50
+
+def test_commit_conflict_and_corrupt_commit(spark, tmp_uri):
+    path = tmp_uri("conflict")
+    write_table(spark.range(1), path)
+    fs = HadoopFS(spark, path)
+    current = table_commit(spark, path)
+    with pytest.raises(TableConflictError):
+        write_commit(fs, Commit(0, "WRITE", current.schema, [], []))
+    assert fs.list_names("commits") == [commit_name(0).split("/")[1]]
+    assert fs.create_exclusive(commit_name(1), "{not json")
+    with pytest.raises(CorruptCommitError):
+        read_table(spark, path)
 
 
-def test_append_retry_refuses_after_schema_change(spark, tmp_uri, monkeypatch):
+def test_a_second_writer_fails_and_leaves_the_first_version(spark, tmp_uri, monkeypatch):
     import strata.table.versioned as versioned
 
-    path = tmp_uri("retry-schema")
-    write_table(spark.createDataFrame([(1,)], "k long"), path)
-    real = versioned.write_commit
-    raced = {"done": False}
+    path = tmp_uri("race")
+    write_table(spark.range(0, 20), path)
+    real, raced = versioned.write_commit, []
 
     def racing(fs, commit):
-        if not raced["done"]:
-            raced["done"] = True  # another writer adds a column first
-            wider = spark.createDataFrame([(2, "x")], "k long, v string")
-            versioned.write_table(wider, path, mode="append", merge_schema=True)
+        if not raced:
+            raced.append(True)
+            write_table(spark.range(500, 505), path, mode="overwrite")
         return real(fs, commit)
 
     monkeypatch.setattr(versioned, "write_commit", racing)
     with pytest.raises(TableConflictError):
-        write_table(spark.createDataFrame([(3,)], "k long"), path, mode="append")
-    monkeypatch.setattr(versioned, "write_commit", real)
-    assert sorted((tuple(r) for r in read_table(spark, path).collect()), key=str) == [(1, None), (2, "x")]
+        delete_from_table(spark, path, "id < 5")
+    assert ids(read_table(spark, path)) == [500, 501, 502, 503, 504]
+
 
+def test_updates_rewrite_touched_leaves_only(spark, tmp_uri):
+    path = tmp_uri("leaves")
+    df = spark.range(0, 40).select(F.col("id"), (F.col("id") % 4).alias("p"))
+    first = write_table(df, path, partition_by=["p"])
+    assert len(first.parts) == 1  # one directory, no leaves
+    second = write_table(df, path, mode="append")
+    assert second.parts[0] == first.parts[0] and len(second.parts) == 2
+    third = update_table(spark, path, "p = 1 AND id > 20", {"id": "id + 1000"})
+    # three untouched leaves of either directory, and the new directory
+    assert len(third.parts) == 7 and third.metrics["leaves_rewritten"] == 2
+    assert not any("p=1" in p for p in third.parts)
+    got = ids(read_table(spark, path))
+    assert len(got) == 80 and got.count(1021) == 2 and 21 not in got
+    fourth = delete_from_table(spark, path, F.col("p") == 2)
+    assert fourth.metrics["rows_written"] in (0, None)
+    assert read_table(spark, path).where("p = 2").count() == 0 and read_table(spark, path).count() == 60
+    assert update_table(spark, path, "id < 0", {"id": 0}) is None and table_version(spark, path) == 3
+    assert ids(read_table(spark, path, version_as_of=1)).count(21) == 2
 
-def test_latest_version_hint_is_only_a_hint(spark, tmp_uri):
-    from strata.table.log import HINT, latest_version
 
-    path = tmp_uri("hint")
-    for i in range(4):
-        write_table(spark.range(i, i + 1), path, mode="append")
-    fs = HadoopFS(spark, path)
-    assert fs.read_text(HINT) == "3" and latest_version(fs) == 3
-    fs.write_text(HINT, "1")  # stale: probing forward finds 3
-    assert latest_version(fs) == 3
-    fs.write_text(HINT, "garbage")
-    assert latest_version(fs) == 3
-    fs.write_text(HINT, "9")  # points past the last commit: list instead
-    assert latest_version(fs) == 3
-    fs._fs.delete(fs.path(HINT), False)
-    assert latest_version(fs) == 3
-    assert ids(read_table(spark, path)) == [0, 1, 2, 3]
+def test_unpartitioned_rewrite_touches_only_writes_that_match(spark, tmp_uri):
+    path = tmp_uri("writes")
+    write_table(spark.range(0, 200), path)
+    wider = spark.range(200, 210).select("id", F.lit("new").alias("tag"))
+    write_table(wider, path, mode="append", merge_schema=True)
+    commit = update_table(spark, path, "tag IS NULL AND id < 5", {"tag": "'old'"})
+    assert commit.metrics["leaves_rewritten"] == 1 and len(commit.parts) == 2
+    df = read_table(spark, path)
+    assert df.count() == 210 and df.where("tag = 'old'").count() == 5
+    assert df.where("tag IS NULL").count() == 195
+    assert delete_from_table(spark, path).parts == []
+    assert update_table(spark, path, "id = 1", {"id": 2}) is None
+    assert read_table(spark, path).count() == 0
 
 
-def test_single_partition_column_as_text(spark, tmp_uri):
-    path = tmp_uri("single")
-    df = spark.createDataFrame([(1, "a"), (2, "b")], "id long, p string")
-    assert write_table(df, path, partition_by="p").partition_by == ["p"]
-    assert read_table(spark, path).where("p = 'b'").count() == 1
+def test_moving_rows_to_many_partitions_writes_few_files(spark, tmp_uri):
+    path = tmp_uri("spread")
+    df = spark.range(0, 4000, 1, 8).select(F.col("id"), F.lit(0).cast("long").alias("p"))
+    write_table(df, path, partition_by=["p"], rebalance=False)
+    update_table(spark, path, None, {"p": "id % 50"})
+    assert len(read_table(spark, path).inputFiles()) <= 60
 
 
-def test_append_after_removed_list_keeps_exclusions(spark, tmp_uri):
-    path = tmp_uri("removed-append")
-    write_table(spark.range(0, 400, 1, 4), path)
-    dml_commit = delete_from_table(spark, path, "id = 5")
-    assert len(dml_commit.removed) == 1  # one file of four rewritten: its name is excluded
-    appended = write_table(spark.range(1000, 1010), path, mode="append")
-    assert appended.removed == dml_commit.removed
-    got = ids(read_table(spark, path))
-    assert len(got) == 409 and 5 not in got and 1009 in got
-    assert len(ids(read_table(spark, path, version_as_of=0))) == 400
+def test_nested_schemas_merge_by_name(spark, tmp_uri):
+    path = tmp_uri("nested")
+    write_table(spark.createDataFrame([(1, (7,), [(1,)])], "k long, s struct<a:int>, xs array<struct<a:int>>"), path)
+    wide = spark.createDataFrame(
+        [(2, ("x", 8), [("y", 9)]), (3, None, None)], "k long, s struct<b:string,a:int>, xs array<struct<b:string,a:int>>"
+    )
+    with pytest.raises(SchemaMismatchError, match="merge_schema"):
+        write_table(wide, path, mode="append")
+    write_table(wide, path, mode="append", merge_schema=True)
+    got = {r.k: r for r in read_table(spark, path).collect()}
+    assert (got[1].s.a, got[1].s.b) == (7, None) and (got[2].s.a, got[2].s.b) == (8, "x")
+    assert got[3].s is None and got[3].xs is None
+    assert (got[1].xs[0].a, got[2].xs[0].a, got[2].xs[0].b) == (1, 9, "y")
+
+
+def test_nested_nullability_and_whole_number_batches_fit(spark, tmp_uri):
+    path = tmp_uri("fits")
+    write_table(spark.createDataFrame([(1.5, ["a"])], "fare double, tags array<string>"), path)
+    strict = spark.range(2).select(F.col("id").alias("fare"), F.array(F.lit("b")).alias("tags"))
+    assert not strict.schema["tags"].dataType.containsNull
+    write_table(strict, path, mode="append")
+    assert sorted(r.fare for r in read_table(spark, path).collect()) == [0.0, 1.0, 1.5]

@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from strata.llm import cover_tree, decontaminate, langid, minhash, packing, pii, quality, repeats, toxicity, warc
 from strata.llm.common import table
+from strata.llm.oracles import ORACLE_SQL
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,7 +55,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.archived(spark, table(spark, sf_dir, "pages"))
+    return warc.archived(spark, table(spark, sf_dir, "pages")).drop("url")
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,5 +74,3 @@ QUERIES: dict[str, Query] = {
     "op9_warc": op9_warc,
     "op10_quality": op10_quality,
 }
-
-ORACLE_SQL: dict[str, str] = {}

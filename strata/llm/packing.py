@@ -256,7 +256,7 @@ def pack(
         "doc_id", "piece", "start", "length", "ids_crc32", (F.col("before") + F.col("seen")).alias("rank")
     )
     lengths, firsts = np.unique(runs[:, 0], return_index=True)
-    ends = np.append(firsts[1:], len(runs))
+    ends = np.append(firsts[1:], len(runs))[: len(firsts)]
     base = np.zeros(capacity + 1, np.int64)  # of a length's ranks among all
     total = np.zeros(capacity + 1, np.int64)
     for n, a, b in zip(lengths, firsts, ends, strict=True):

@@ -32,7 +32,7 @@ from strata.llm.common import fold, map_rows, text_bytes
 
 #: Rows that the model is fitted on.
 POSITIVES, UNLABELLED = 3000, 6000
-LEAST, KEEP = 0.7, 0.992
+LEAST, KEEP = 0.7, 0.998
 HIDDEN, STEPS, BATCH, RATE = 16, 600, 512, 0.02
 SCORES = "doc_id long, held_out boolean, score double, predicted int"
 

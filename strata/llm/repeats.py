@@ -4,7 +4,7 @@ A byte goes if a string of ``LENGTH`` bytes that covers it also starts in a
 document with a smaller id. Places where such strings start are called windows.
 
 No machine can sort the suffixes of everything, so windows are dealt by
-content: each belongs to the least hash of the 16-byte strings inside it (its
+content: each belongs to the least hash of the 20-byte strings inside it (its
 key), and consecutive windows of one key make a run. Equal windows have equal
 keys, wherever they stand, so each key is a shard of its own.
 
@@ -39,6 +39,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,15 +47,15 @@ from strata.llm.common import arrow_schema, group_rows, map_rows, materialize, t
 from strata.llm.suffixes import permuted_prefixes, suffix_array
 
 LENGTH = 50
-INNER = 16
+INNER = 20
 #: Text bytes of a group of entries or of documents, of a shard, of a hot key.
-GROUP_BYTES, SHARD_BYTES, HOT_BYTES = 16_000_000, 3_000_000, 4_000_000
+GROUP_BYTES, SHARD_BYTES, HOT_BYTES = 16_000_000, 1_500_000, 4_000_000
 #: Text bytes whose runs are computed at once.
 STEP_BYTES = 1_000_000
 
 KEPT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 _ENTRIES = "kind int, part long, base long, wide boolean, keys binary, runs binary, mixed binary, docs binary"
-_TOLD = "part long, doc_id long, text binary, docs binary, same binary, keys binary"
+_BUNDLE = "part long, ids binary, known binary, sizes binary, texts binary"
 _NEEDED = "key long, doc_id long, text_hash long, start int, content binary"
 
 _M1, _M2, _M3 = (np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -67,10 +68,19 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+_TABLES: dict[int, np.ndarray] = {}
+
+
 def _powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, base)
-    out[:1] = 1
-    return np.cumprod(out, dtype=np.uint64)
+    """The first ``n`` powers, kept up to the length of a step."""
+    known = _TABLES.get(int(base))
+    if known is None or len(known) < n:
+        known = np.full(max(n, STEP_BYTES), base)
+        known[:1] = 1
+        known = np.cumprod(known, dtype=np.uint64)
+        if len(known) <= 2 * STEP_BYTES:
+            _TABLES[int(base)] = known
+    return known[:n]
 
 
 def runs_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -84,7 +94,9 @@ def runs_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     for shift in range(8):
         part = np.frombuffer(raw, np.uint64, (n - shift) // 8, shift)
         words[shift::8] = part[: len(words[shift::8])]
-    inner = _mixed((words[: n - INNER + 1] * _M1) ^ (words[8 : n - INNER + 9] * _M2 + _M1))
+    places = n - INNER + 1
+    inner = (words[:places] * _M1) ^ (words[8 : places + 8] * _M2 + _M1)
+    inner = _mixed(_mixed(inner) + words[INNER - 8 : places + INNER - 8] * _M2)
     inside = LENGTH - INNER + 1
     least, width = inner, 1
     while 2 * width <= inside:
@@ -100,7 +112,7 @@ def runs_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     starts = np.flatnonzero(fresh & whole)
     breaks = np.append(np.flatnonzero(fresh | ~whole), windows)
     count = breaks[np.searchsorted(breaks, starts, side="right")] - starts
-    # Of the bytes of a run: the 16-byte hashes in it, weighted by their place.
+    # Of the bytes of a run: the hashes in it, weighted by their place.
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(inner * _powers(_POWER, len(inner)), dtype=np.uint64)])
     ends = starts + count + LENGTH - INNER
     content = (total[ends] - total[starts]) * _powers(_INVERSE, len(inner))[starts]
@@ -243,61 +255,109 @@ def answers(sent: DataFrame, parts: int) -> DataFrame:
     )
 
 
+def _texts(docs: DataFrame, parts: int) -> DataFrame:
+    """Texts dealt by document, those of a part and a batch compressed
+    together: (part, ids, known, sizes, texts)."""
+    schema = arrow_schema(docs.sparkSession, _BUNDLE)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            known = np.asarray(batch.column(0).is_valid())
+            ids = batch.column(0).fill_null(0).to_numpy()
+            data, offsets = text_bytes(batch.column(1))
+            part = part_of(ids, parts)
+            by = np.argsort(part, kind="stable")
+            cuts = np.flatnonzero(np.concatenate([[True], np.diff(part[by]) != 0, [True]]))
+            rows = []
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                some = by[a:b]
+                raw = b"".join(data[offsets[i] : offsets[i + 1]].tobytes() for i in some)
+                sizes = (offsets[some + 1] - offsets[some]).tobytes()
+                rows.append((int(part[some[0]]), ids[some].tobytes(), known[some].tobytes(), sizes, packer.compress(raw)))
+            if rows:
+                yield to_batch(dict(zip(schema.names, zip(*rows, strict=True), strict=True)), schema)
+
+    return docs.mapInArrow(run, _BUNDLE)
+
+
+def _bundles(rows: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(ids, known, bytes, offsets) of each bundle of texts among ``rows``."""
+    reader = zstandard.ZstdDecompressor()
+    for ids, known, sizes, texts in zip(*(rows[c].to_pylist() for c in ("ids", "known", "sizes", "texts")), strict=True):
+        if ids is not None:
+            offsets = np.concatenate([[0], np.cumsum(np.frombuffer(sizes, np.int64))])
+            data = np.frombuffer(reader.decompress(texts), np.uint8)
+            yield np.frombuffer(ids, np.int64), np.frombuffer(known, bool), data, offsets
+
+
+def _text_hash(raw: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(raw) - 2**63
+
+
+class _Told:
+    """Pairs of a document and a number, to look many up at once."""
+
+    def __init__(self, docs: np.ndarray, values: np.ndarray):
+        self.docs, self.values = np.unique(docs), np.unique(values)
+        self.codes = np.unique(
+            np.searchsorted(self.values, values) * len(self.docs) + np.searchsorted(self.docs, docs)
+        )
+
+    def holds(self, docs: np.ndarray, values: np.ndarray) -> np.ndarray:
+        if not len(self.codes):
+            return np.zeros(len(docs), bool)
+        d = np.minimum(np.searchsorted(self.docs, docs), len(self.docs) - 1)
+        v = np.minimum(np.searchsorted(self.values, values), len(self.values) - 1)
+        code = v * len(self.docs) + d
+        at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
+        return (self.docs[d] == docs) & (self.values[v] == values) & (self.codes[at] == code)
+
+
 def needed_and_covered(docs: DataFrame, told: DataFrame, parts: int) -> DataFrame:
     """Runs whose bytes are needed (``content``), and stretches that are covered
     whole (``content`` null, ``key`` their length)."""
-
-    def dealt(batch: pa.RecordBatch) -> dict:
-        return {"part": part_of(batch.column(0).to_numpy(), parts), "doc_id": batch.column(0), "text": batch.column(1)}
-
-    texts = map_rows(docs.where("doc_id IS NOT NULL"), dealt, "part long, doc_id long, text string")
-    none = F.lit(None).cast("binary")
-    both = texts.select("part", "doc_id", "text", none.alias("docs"), none.alias("same"), none.alias("keys")).unionByName(
-        told.select("part", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("text"), "docs", "same", "keys")
-    )
+    both = _texts(docs, parts).unionByName(told, allowMissingColumns=True)
 
     def run(key: tuple, rows: pa.Table) -> dict:
-        doc_id, text = rows["doc_id"].combine_chunks(), rows["text"].combine_chunks()
-        told = rows.filter(rows["docs"].is_valid())
         doc, same, keys = (
-            np.frombuffer(b"".join(told[c].to_pylist()), t)
+            np.frombuffer(b"".join(x for x in rows[c].to_pylist() if x is not None), t)
             for c, t in (("docs", np.int64), ("same", np.uint64), ("keys", np.uint64))
         )
-        by = np.argsort(doc, kind="stable")
-        doc, same, keys = doc[by], same[by], keys[by]
+        whole_runs, wanted_keys = _Told(doc[keys == 0], same[keys == 0]), _Told(doc[keys != 0], keys[keys != 0])
         out: dict = {name: [] for name in ("key", "doc_id", "text_hash", "start", "content")}
-        texts = rows.filter(doc_id.is_valid()).select(["doc_id", "text"]).combine_chunks()
-        for batch in texts.to_batches():
-            ids = batch.column(0).to_numpy()
-            data, offsets = text_bytes(batch.column(1))
+
+        def add(key, ids, row, hashes, start, content) -> None:
+            out["key"].append(key)
+            out["doc_id"].append(ids[row])
+            out["text_hash"].append(hashes[row])
+            out["start"].append(start)
+            out["content"] += content
+
+        for ids, known, data, offsets in _bundles(rows):
             for a, b in _steps(offsets):
-                part = data[offsets[a] : offsets[b]]
-                where = offsets[a : b + 1] - offsets[a]
+                part, where = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
                 key, content, row, start, count = runs_of(part, where)
-                short = _short(key, parts)
+                mine = ids[a:b]
+                whole = whole_runs.holds(mine[row], content) & known[a:b][row]
+                wanted = ~whole & wanted_keys.holds(mine[row], _short(key, parts)) & known[a:b][row]
                 raw = part.tobytes()
-                cuts = np.searchsorted(row, np.arange(b - a + 1))
-                for i in range(b - a):
-                    low, high = np.searchsorted(doc, [ids[a + i], ids[a + i] + 1])
-                    if low == high:
-                        continue
-                    mine = slice(cuts[i], cuts[i + 1])
-                    whole = np.isin(content[mine], same[low:high]) & (content[mine] != 0)
-                    wanted = ~whole & np.isin(short[mine], keys[low:high])
-                    if not (whole.any() or wanted.any()):
-                        continue
-                    begin = int(where[i])
-                    text_hash = int(np.int64(xxhash.xxh3_64_intdigest(raw[begin : where[i + 1]]) - 2**63))
-                    for j in (np.flatnonzero(whole | wanted) + cuts[i]).tolist():
-                        size = int(count[j]) + LENGTH - 1
-                        at = int(start[j])
-                        is_whole = bool(whole[j - cuts[i]])
-                        out["key"].append(size if is_whole else int(key[j].view(np.int64)))
-                        out["doc_id"].append(int(ids[a + i]))
-                        out["text_hash"].append(text_hash)
-                        out["start"].append(at - begin)
-                        out["content"].append(None if is_whole else raw[at : at + size])
-        return out
+                hashes = np.zeros(b - a, np.int64)
+                for i in np.unique(row[whole | wanted]):
+                    hashes[i] = _text_hash(raw[where[i] : where[i + 1]])
+                # Whole runs that touch or overlap are one stretch.
+                r, first, last = row[whole], start[whole], start[whole] + count[whole] + LENGTH - 1
+                if len(r):
+                    opens = np.concatenate([[True], (r[1:] != r[:-1]) | (first[1:] > last[:-1])])
+                    closes = np.append(np.flatnonzero(opens)[1:] - 1, len(r) - 1)
+                    r, first, last = r[opens], first[opens], last[closes]
+                    add(last - first, mine, r, hashes, first - where[r], [None] * len(r))
+                at = np.flatnonzero(wanted)
+                if len(at):
+                    ends = start[at] + count[at] + LENGTH - 1
+                    texts = [raw[x:y] for x, y in zip(start[at].tolist(), ends.tolist(), strict=True)]
+                    add(key[at].view(np.int64), mine, row[at], hashes, start[at] - where[row[at]], texts)
+        return {k: v if k == "content" else np.concatenate([np.zeros(0, np.int64), *v]) for k, v in out.items()}
 
     return group_rows(both.repartition("part").sortWithinPartitions("part"), ["part"], run, _NEEDED)
 
@@ -306,12 +366,12 @@ def covered_windows(contents: list[bytes], docs: np.ndarray) -> list[tuple[int,
     """(content, first, last) of windows that also start in a content of a
     smaller document, by the suffix array of all contents."""
     sizes = np.array([len(c) for c in contents])
-    text = np.ones(int(sizes.sum()) + len(contents), np.int64)  # 1 ends a content
+    text = np.ones(int(sizes.sum()) + len(contents), np.int32)  # 1 ends a content
     starts = np.cumsum(sizes + 1) - sizes - 1
     inside = np.ones(len(text), bool)
     inside[starts + sizes] = False
-    text[inside] = np.frombuffer(b"".join(contents), np.uint8).astype(np.int64) + 2
-    owner = np.repeat(np.arange(len(contents)), sizes + 1)
+    text[inside] = np.frombuffer(b"".join(contents), np.uint8).astype(np.int32) + 2
+    owner = np.repeat(np.arange(len(contents), dtype=np.int32), sizes + 1)
     order = suffix_array(text)
     shared = permuted_prefixes(text, order)
     window = (starts + sizes)[owner] - np.arange(len(text)) >= LENGTH
@@ -391,9 +451,10 @@ def counted_windows(hot: DataFrame) -> DataFrame:
     )
 
 
-def _kept(raw: bytes, stretches: list[tuple[int, int]]) -> tuple[int, int, str]:
+def _kept(raw: bytes, starts: list[int], sizes: list[int]) -> tuple[int, int, str]:
+    """Bytes removed, runs of them, hash of the rest; stretches by their start."""
     digest, at, removed, spans, end = hashlib.sha256(), 0, 0, 0, -1
-    for start, size in sorted(stretches):
+    for start, size in zip(starts, sizes, strict=True):
         if start > end:
             spans += 1
         if start + size > at:
@@ -405,6 +466,37 @@ def _kept(raw: bytes, stretches: list[tuple[int, int]]) -> tuple[int, int, str]:
     return removed, spans, digest.hexdigest()
 
 
+def without(docs: DataFrame, stretches: DataFrame, parts: int) -> DataFrame:
+    """What is left of each text; texts and stretches meet by document."""
+
+    def dealt(batch: pa.RecordBatch) -> dict:
+        names = ("doc_id", "text_hash", "start", "size")
+        return {"part": part_of(batch.column(0).to_numpy(), parts)} | dict(zip(names, batch.columns, strict=True))
+
+    found = map_rows(stretches.select("doc_id", "text_hash", "start", "size"), dealt, f"part long, {_STRETCH}")
+    both = _texts(docs, parts).unionByName(found, allowMissingColumns=True)
+
+    def run(key: tuple, rows: pa.Table) -> dict:
+        found = rows.filter(rows["doc_id"].is_valid())
+        doc, text_hash, start, size = (found[c].to_numpy() for c in ("doc_id", "text_hash", "start", "size"))
+        by = np.lexsort((start, text_hash, doc))
+        doc, text_hash, start, size = doc[by], text_hash[by], start[by], size[by]
+        out: dict = {name: [] for name in ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")}
+        for ids, known, data, offsets in _bundles(rows):
+            low, high = np.searchsorted(doc, ids), np.searchsorted(doc, ids, side="right")
+            for i in range(len(ids)):
+                raw = data[offsets[i] : offsets[i + 1]].tobytes()
+                a, b = (int(low[i]), int(high[i])) if known[i] else (0, 0)
+                if a < b:
+                    a, b = a + np.searchsorted(text_hash[a:b], [_text_hash(raw), _text_hash(raw) + 1])
+                n, spans, digest = _kept(raw, start[a:b].tolist(), size[a:b].tolist())
+                for name, value in zip(out, (int(ids[i]) if known[i] else None, len(raw), n, spans, digest), strict=True):
+                    out[name].append(value)
+        return out
+
+    return group_rows(both.repartition("part").sortWithinPartitions("part"), ["part"], run, KEPT)
+
+
 def removed(
     spark: SparkSession,
     docs: DataFrame,
@@ -429,25 +521,4 @@ def removed(
     else:
         stretches = stretches.unionByName(sorted_shards(needed.join(heavy, "key", "left_anti"), shard_bytes))
         stretches = stretches.unionByName(counted_windows(needed.join(heavy, "key", "left_semi")))
-    per_doc = (
-        stretches.groupBy("doc_id", "text_hash")
-        .agg(F.collect_list(F.struct("start", "size")).alias("stretches"))  # of one text
-        .groupBy("doc_id")
-        .agg(F.collect_list(F.struct("text_hash", "stretches")).alias("found"))  # of one id
-    )
-    per_doc = materialize(spark, per_doc, "repeats-stretches")
-
-    def run(batch: pa.RecordBatch) -> dict:
-        out: dict = {name: [] for name in ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")}
-        for doc, text, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            raw = text.encode()
-            mine = []
-            if found:
-                text_hash = int(np.int64(xxhash.xxh3_64_intdigest(raw) - 2**63))
-                mine = [(s["start"], s["size"]) for f in found if f["text_hash"] == text_hash for s in f["stretches"]]
-            n, spans, digest = _kept(raw, mine)
-            for name, value in zip(out, (doc, len(raw), n, spans, digest), strict=True):
-                out[name].append(value)
-        return out
-
-    return map_rows(docs.join(per_doc, "doc_id", "left").select("doc_id", "text", "found"), run, KEPT)
+    return without(docs, materialize(spark, stretches, "repeats-stretches"), parts)

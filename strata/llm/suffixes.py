@@ -147,10 +147,9 @@ def permuted_prefixes(text: np.ndarray, order: np.ndarray) -> np.ndarray:
     Where both are preceded by the same letter, the value is one less than that
     of the place before; only the other places are compared."""
     n = len(text)
-    out = np.zeros(n, np.int64)
     if n < 2:
-        return out
-    before = np.empty(n, np.int64)
+        return np.zeros(n, np.int32)
+    before = np.empty(n, np.int32)
     before[order[1:]] = order[:-1]
     before[order[0]] = -1
     padded = np.zeros(n + 8, np.uint16)
@@ -163,17 +162,18 @@ def permuted_prefixes(text: np.ndarray, order: np.ndarray) -> np.ndarray:
     some = np.flatnonzero(before[1:] > 0) + 1
     fresh[some] = text[some - 1] != text[before[some] - 1]
     at = np.flatnonzero(fresh & (before >= 0))
-    done = np.zeros(n, np.int64)
+    done = np.zeros(n, np.int32)
     while len(at):
         differ = words[at + done[at]] ^ words[before[at] + done[at]]
         whole = differ == 0
         part = differ[~whole]
         done[at[~whole]] += (
-            (part & np.uint64(0xFFFF) == 0).astype(np.int64)
+            (part & np.uint64(0xFFFF) == 0).astype(np.int32)
             + (part & np.uint64(0xFFFFFFFF) == 0)
             + (part & np.uint64(0xFFFFFFFFFFFF) == 0)
         )
         at = at[whole]
         done[at] += 4
-    last = np.maximum.accumulate(np.where(fresh, np.arange(n), 0))
-    return np.maximum(done[last] - (np.arange(n) - last), 0)
+    places = np.arange(n, dtype=np.int32)
+    last = np.maximum.accumulate(np.where(fresh, places, 0))
+    return np.maximum(done[last] - (places - last), 0)

@@ -23,6 +23,8 @@ _SESSION_DEFAULTS = {
     # Splits a hot partition-column value over several writer tasks.
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "static",
+    # Rows of whole texts that go to Python at once: a few MB instead of tens.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
 
 # Only static confs: these cannot change on a running session.

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import fold, map_rows, text_bytes
+from strata.llm.common import first_by_hash, fold, map_rows, text_bytes
 
 #: Rows that the model is fitted on.
 POSITIVES, UNLABELLED = 3000, 6000
@@ -185,11 +185,12 @@ def fit(docs: DataFrame, labels: DataFrame, *, held_out: int = 2, folds: int = 4
     known = labels.where((fold("doc_id", folds) != held_out) & (F.col("quality") == 1)).select(
         F.col("doc_id").cast("long").alias("doc_id")
     )
-    chosen = known.distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(POSITIVES)
+    chosen = first_by_hash(known.distinct(), POSITIVES, "doc_id")
     texts = docs.select(F.col("doc_id").cast("long"), "text")
     # POSITIVES ids at most: a size known beforehand.
     positive = map_features(texts.join(F.broadcast(chosen), "doc_id", "left_semi"))
-    others = texts.select("doc_id").orderBy(F.xxhash64(F.col("doc_id") + 1), "doc_id").limit(UNLABELLED)
+    others = texts.where("doc_id IS NOT NULL").select("doc_id", (-F.col("doc_id")).alias("other"))
+    others = first_by_hash(others, UNLABELLED, "other").select("doc_id")
     unlabelled = map_features(texts.join(F.broadcast(others.distinct()), "doc_id", "left_semi"))
     return train(positive, unlabelled) if len(positive) and len(unlabelled) else None
 

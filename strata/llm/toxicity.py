@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import arrow_schema, fold, map_rows, to_batch
+from strata.llm.common import arrow_schema, first_by_hash, fold, map_rows, to_batch
 
 #: Examples the index is fitted on, of label 1 and of label 0.
 TOXIC, CLEAN = 2500, 7500
@@ -214,7 +214,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, held_out: int = 1, folds: int = 3
     totals = {r.toxic: r.n for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not totals.get(0) or not totals.get(1):
         return float(bool(totals.get(1)))
-    first = lambda label, n: known.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
+    first = lambda label, n: first_by_hash(known.where(F.col("toxic") == label), n, "doc_id", total=totals[label])
     chosen = first(1, TOXIC).union(first(0, CLEAN))
     # TOXIC + CLEAN ids at most: a size known beforehand.
     texts = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(chosen), "doc_id")

@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import arrow_schema, to_batch
+from strata.llm.common import arrow_schema, first_by_hash, to_batch
 from strata.session import scratch_path
 
 ARCHIVE_BYTES = 8_000_000
@@ -120,11 +120,8 @@ def read_archive(data: bytes) -> Iterator[bytes]:
 
 def train(pages: DataFrame, *, date: str, sample_pages: int = SAMPLE_PAGES) -> bytes:
     """Dictionary of the first pages by a hash; empty if they are too few."""
-    some = (
-        pages.select("page_id", "url", F.left("html", F.lit(SAMPLE_CHARS)).alias("html"))
-        .orderBy(F.xxhash64("page_id"), "page_id")
-        .limit(sample_pages)
-    )
+    some = pages.select("page_id", "url", F.left("html", F.lit(SAMPLE_CHARS)).alias("html"))
+    some = first_by_hash(some, sample_pages, "page_id", total=pages.count())
     samples = [record(r.page_id, r.url, (r.html or "").encode(), None, date) for r in some.toLocalIterator()]
     size = min(DICTIONARY_BYTES, sum(map(len, samples)) // 10)
     try:

@@ -34,6 +34,8 @@ RATE = 0.08
 SHORT = 24
 #: Bytes of benchmark text in a block, and so in a task's tables.
 BLOCK_BYTES = 4_000_000
+#: Texts that are normalised and searched at once.
+STEP_ROWS = 256
 MATCHES = "doc_id long, item_id long, distance int, budget int, item_bytes int"
 
 _FILTER_BITS = 20
@@ -132,8 +134,15 @@ class PieceIndex:
                     if data.startswith(piece, at):
                         yield at, item, start
 
-    def search(self, column: pa.Array) -> dict[tuple[int, int], int]:
+    def search(self, column: pa.Array, step: int = STEP_ROWS) -> dict[tuple[int, int], int]:
         """(row, item) -> least distance, for all that are within the budget."""
+        best = {}
+        for at in range(0, len(column), step):
+            found = self.search_some(column.slice(at, step))
+            best.update({(at + row, item): distance for (row, item), distance in found.items()})
+        return best
+
+    def search_some(self, column: pa.Array) -> dict[tuple[int, int], int]:
         data, offsets = normalized(column)
         best: dict[tuple[int, int], int] = {}
         if self.whole:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import fold, map_rows, text_bytes
+from strata.llm.common import first_by_hash, fold, map_rows, text_bytes
 
 UNKNOWN = "und"
 WINDOW = 128
@@ -217,13 +217,15 @@ def fit(docs: DataFrame, *, per_language: int = PER_LANGUAGE, held_out: int = 0,
     rows = docs.where(F.coalesce(fold("doc_id", folds) != held_out, F.lit(True))).where(
         "lang IS NOT NULL AND text IS NOT NULL"
     )
-    rows = rows.select("lang", "text", F.xxhash64(F.col("doc_id").cast("long"), F.length("text")).alias("h"))
-    langs = sorted(r.lang for r in rows.select("lang").distinct().collect())  # a code for each language
-    start = 1 + F.pmod(F.col("h"), F.greatest(F.lit(1), F.length("text") - SAMPLE_CHARS))
+    rows = rows.select("lang", F.col("doc_id").cast("long"), "text")
+    counts = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}  # a row for each language
+    langs = sorted(counts)
+    start = 1 + F.pmod(F.xxhash64("doc_id", F.length("text")), F.greatest(F.lit(1), F.length("text") - SAMPLE_CHARS))
     part = F.substring(F.col("text"), start.cast("int"), F.lit(SAMPLE_CHARS)).alias("part")
     texts, labels = [], []
     for k, lang in enumerate(langs):
-        some = rows.where(F.col("lang") == lang).select("h", part).orderBy("h", "part").limit(per_language)
+        some = rows.where(F.col("lang") == lang).select("doc_id", part)
+        some = first_by_hash(some, per_language, "doc_id", "part", total=counts[lang])
         got = [r.part.encode() for r in some.collect() if _LETTER.search(r.part)]
         texts += got
         labels += [k] * len(got)

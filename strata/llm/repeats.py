@@ -392,35 +392,58 @@ _STRETCH = "doc_id long, text_hash long, start int, size int"
 
 
 def sorted_shards(needed: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """Covered stretches of the needed runs; several keys make a shard."""
+    """Covered stretches of the needed runs; several keys make a shard. Runs
+    with the same bytes are sorted once, for the least document; in larger ones
+    they are covered whole."""
     schema = arrow_schema(needed.sparkSession, _STRETCH)
 
-    def solve(rows: list[tuple]) -> pa.RecordBatch:
-        docs = np.array([r[0] for r in rows], np.int64)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard: list[tuple[bytes, int, list]] = []  # bytes, least document, its (text_hash, start)
+        group: list[tuple] = []
+        size, last = 0, None
         out: dict = {name: [] for name in schema.names}
-        for at, first, last in covered_windows([r[3] for r in rows], docs):
-            out["doc_id"].append(rows[at][0])
-            out["text_hash"].append(rows[at][1])
-            out["start"].append(rows[at][2] + first)
-            out["size"].append(last - first + LENGTH)
-        return to_batch(out, schema)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, group, size, last = [], [], 0, None
+        def add(doc: int, text_hash: int, start: int, length: int) -> None:
+            for name, value in zip(out, (doc, text_hash, start, length), strict=True):
+                out[name].append(value)
+
+        def close_group() -> int:
+            least: dict[bytes, int] = {}
+            for doc, _, _, content in group:
+                least[content] = min(doc, least.get(content, doc))
+            places: dict[bytes, list] = {content: [] for content in least}
+            for doc, text_hash, start, content in group:
+                if doc > least[content]:
+                    add(doc, text_hash, start, len(content))
+                else:
+                    places[content].append((text_hash, start))
+            if len(least) < 2:  # alone, a run meets no other
+                return 0
+            shard.extend((content, least[content], places[content]) for content in least)
+            return sum(map(len, least))
+
+        def solve() -> pa.RecordBatch:
+            docs = np.array([doc for _, doc, _ in shard], np.int64)
+            for at, first, end in covered_windows([content for content, _, _ in shard], docs) if shard else ():
+                for text_hash, start in shard[at][2]:
+                    add(shard[at][1], text_hash, start + first, end - first + LENGTH)
+            done = to_batch(out, schema)
+            shard.clear()
+            for values in out.values():
+                values.clear()
+            return done
+
         for batch in batches:
             for key, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if key != last:
-                    if len(group) > 1:  # alone, a run meets no other
-                        rows += group
-                        size += sum(len(r[3]) for r in group)
-                    if size >= shard_bytes:
-                        yield solve(rows)
-                        rows, size = [], 0
+                    size += close_group()
                     group, last = [], key
+                    if size >= shard_bytes or len(out["doc_id"]) >= 100_000:
+                        yield solve()
+                        size = 0
                 group.append(tuple(row))
-        rows += group if len(group) > 1 else []
-        if rows:
-            yield solve(rows)
+        close_group()
+        yield solve()
 
     ordered = needed.repartition("key").sortWithinPartitions("key")
     return ordered.select("key", "doc_id", "text_hash", "start", "content").mapInArrow(run, _STRETCH)

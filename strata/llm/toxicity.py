@@ -20,7 +20,7 @@ examples as evidence.
 Defined cases: null and empty texts, and texts without an indexed term, have no
 neighbour and get the score of no evidence; training ignores null labels and
 ids; without examples of both labels every score is the share of label 1; ties
-go to the smaller example id; repeated rows are scored each; null ids stay
+go to the block read first, then to the smaller example id; repeated rows are scored each; null ids stay
 null; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -44,6 +44,8 @@ TERMS, CHI_SQUARE = 2000, 40.0
 BEGINNINGS = range(4, 10)
 LEVELS = ((1, b""), (2, b"+"), (4, b"++"))
 K, BLOCK = 15, 32
+#: Cosines that differ by less are equal.
+TIE = 1e-9
 #: Weight of the prior among the votes, in squared cosines.
 PRIOR_VOTES = 0.05
 LEAST = 0.7
@@ -88,16 +90,20 @@ class Index:
         self.ids = np.array([ids[i] for i in order], np.int64)
         self.labels = np.array([labels[i] for i in order], np.float64)
         self.blocks = -(-len(order) // BLOCK)
-        self.most = np.zeros((len(terms), self.blocks), np.float32)
-        postings: list[dict[int, list]] = [{} for _ in terms]
-        for at, i in enumerate(order):
-            for term, weight in zip(*vectors[i], strict=True):
-                postings[term].setdefault(at // BLOCK, []).append((at % BLOCK, weight))
-                self.most[term, at // BLOCK] = max(self.most[term, at // BLOCK], np.nextafter(np.float32(weight), np.float32(2)))
-        self.postings = [
-            {b: (np.array([p[0] for p in x]), np.array([p[1] for p in x])) for b, x in blocks.items()}
-            for blocks in postings
-        ]
+        self.most = np.zeros((len(terms), self.blocks))
+        # Postings by block: the place of each term in it (-1: none), and for
+        # each such term the weights of the block's examples.
+        self.slots = np.full((self.blocks, len(terms)), -1, np.int16)
+        self.postings: list[np.ndarray] = []
+        for block in range(self.blocks):
+            members = order[block * BLOCK : (block + 1) * BLOCK]
+            used = np.unique(np.concatenate([vectors[i][0] for i in members]))
+            self.slots[block, used] = np.arange(len(used))
+            weights = np.zeros((len(used), BLOCK))
+            for at, i in enumerate(members):
+                weights[self.slots[block, vectors[i][0]], at] = vectors[i][1]
+            self.most[used, block] = weights.max(axis=1)
+            self.postings.append(weights)
         self.curve = np.array([1.0, 1.0, 0.0])
         self.prior = 0.0
 
@@ -114,23 +120,21 @@ class Index:
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int = K, without: int | None = None):
         """(cosines, places) of the k nearest examples that share a term,
-        largest first, ties by id."""
+        largest first; ties by block as read, then by id."""
         if not len(terms) or not self.blocks:
             return np.zeros(0), np.zeros(0, np.int64)
-        bounds = weights @ self.most[terms] + 1e-6  # float32 sums
+        bounds = weights @ self.most[terms]
         best: list[tuple[float, int, int]] = []
-        for block in np.argsort(-bounds, kind="stable"):
-            if bounds[block] <= 1e-6 or len(best) >= k and bounds[block] < -best[k - 1][0]:
+        for block in np.argsort(-bounds, kind="stable").tolist():
+            if bounds[block] <= 0 or len(best) == k and bounds[block] <= TIE - best[-1][0]:
                 break
-            cosines = np.zeros(BLOCK)
-            for term, weight in zip(terms.tolist(), weights.tolist(), strict=True):
-                if block in self.postings[term]:
-                    at, w = self.postings[term][block]
-                    cosines[at] += weight * w
-            for at in np.flatnonzero(cosines):
-                place = int(block) * BLOCK + int(at)
-                if place != without:
-                    best.append((-float(cosines[at]), int(self.ids[place]), place))
+            slots = self.slots[block, terms]
+            there = slots >= 0
+            cosines = weights[there] @ self.postings[block][slots[there]]
+            found = cosines.nonzero()[0].tolist()
+            best += [(-float(cosines[at]), int(self.ids[block * BLOCK + at]), block * BLOCK + at) for at in found]
+            if without is not None:
+                best = [b for b in best if b[2] != without]
             best = sorted(best)[:k]
         return np.array([-b[0] for b in best]), np.array([b[2] for b in best], np.int64)
 

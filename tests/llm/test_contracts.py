@@ -419,9 +419,10 @@ def test_toxicity_votes_are_right_and_exact(spark, empty, monkeypatch):
     assert all(crc_fold(i, 3) != 1 for r in held for i in r.evidence)
     index = toxicity.fit(docs, labels)
     matrix = np.zeros((len(index.ids), len(index.place)))
-    for term, blocks in enumerate(index.postings):
-        for block, (at, weights) in blocks.items():
-            matrix[block * toxicity.BLOCK + at, term] = weights
+    for block, weights in enumerate(index.postings):
+        some = np.flatnonzero(index.slots[block] >= 0)
+        rows = matrix[block * toxicity.BLOCK : (block + 1) * toxicity.BLOCK]
+        rows[:, some] = weights[index.slots[block, some]].T[: len(rows)]
     for row in docs.limit(60).collect():
         terms, weights = index.vector(toxicity.terms_of(row.text, index.gate))
         query = np.zeros(len(index.place))

@@ -44,9 +44,10 @@ def pii_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces with their sequence and offset."""
+    """Token pieces: their ids, sequence and offset there, as
+    ``packing.write_sequences`` takes them."""
     configure(spark)
-    return packing.pack(spark, docs, vocabulary("word_bpe_49k.json"))
+    return packing.placed(spark, docs, vocabulary("word_bpe_49k.json"))
 
 
 STAGES = [

@@ -11,6 +11,10 @@ input) as runs: pieces ``rank .. rank + count`` of one length go to sequences
 ``first .. first + count`` at one offset. Ranks come from counts by task, so
 no piece meets another in a sort, a window or a hot group.
 
+A piece carries its ids, little-endian 32-bit each: ``placed`` gives the pieces
+with their place, ``sequences`` puts those of a sequence together, and
+``write_sequences`` writes that. ``pack`` only has digests of the same rows.
+
 Defined cases: a null or empty text is one piece that holds the separator;
 repeated rows are packed once each; null ids are kept as null; an empty table
 gives an empty result; other columns are ignored.
@@ -19,7 +23,6 @@ gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import re
-import zlib
 from bisect import bisect_left, insort
 
 import numpy as np
@@ -36,8 +39,11 @@ CAPACITY = 2048
 CACHE_WORDS = 300_000
 #: Characters of the texts whose new words are encoded in one call.
 GROUP_CHARS = 200_000
-PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, seen long"
-PACKED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
+PIECES = "doc_id long, piece int, start long, length long, ids binary, part int, seen long"
+PLACED = "doc_id long, piece int, start long, length long, ids binary, sequence_id long, offset long"
+SEQUENCES = (
+    "sequence_id long, n_ids int, ids binary, pieces array<struct<offset: int, length: int, doc_id: long, start: long>>"
+)
 
 # Latin-1 texts of printable characters: there the tokenizer's normalisation
 # is lower-casing, and its classes of letters and digits are these.
@@ -157,8 +163,7 @@ def pieces(docs: DataFrame, path: str, *, capacity: int = CAPACITY, separator: i
                 total = len(ids) // 4
                 for piece, start in enumerate(range(0, total, capacity)):
                     length = min(capacity, total - start)
-                    crc = zlib.crc32(memoryview(ids)[4 * start : 4 * (start + length)])
-                    rows.append((doc, piece, start, length, crc, part, seen[length]))
+                    rows.append((doc, piece, start, length, ids[4 * start : 4 * (start + length)], part, seen[length]))
                     seen[length] += 1
             if rows:
                 yield to_batch(dict(zip(schema.names, zip(*rows, strict=True), strict=True)), schema)
@@ -240,11 +245,11 @@ def plan_sequences(counts: dict[int, int], capacity: int = CAPACITY) -> np.ndarr
     return np.asarray(sorted(runs), np.int64).reshape(-1, 5)
 
 
-def pack(
+def placed(
     spark: SparkSession, docs: DataFrame, path: str, *, capacity: int = CAPACITY, separator: int = 0
 ) -> DataFrame:
-    """Pack ``docs`` (doc_id, text): one row per piece with its sequence and
-    the offset there."""
+    """Pack ``docs`` (doc_id, text): one row per piece with its ids, its
+    sequence and the offset there."""
     made = materialize(spark, pieces(docs, path, capacity=capacity, separator=separator), "pack-pieces")
     by_task = made.groupBy("length", "part").agg(F.count("*").alias("n"))
     # At most `capacity` rows, however long the input is.
@@ -252,8 +257,9 @@ def pack(
     runs = plan_sequences(histogram, capacity)
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = by_task.select("length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    ranked = made.join(starts, ["length", "part"]).select(
-        "doc_id", "piece", "start", "length", "ids_crc32", (F.col("before") + F.col("seen")).alias("rank")
+    # At most `capacity` rows a task, so these are hashed; pieces are not sorted.
+    ranked = made.join(starts.hint("shuffle_hash"), ["length", "part"]).select(
+        "doc_id", "piece", "start", "length", "ids", (F.col("before") + F.col("seen")).alias("rank")
     )
     lengths, firsts = np.unique(runs[:, 0], return_index=True)
     ends = np.append(firsts[1:], len(runs))[: len(firsts)]
@@ -265,9 +271,51 @@ def pack(
     keys = base[runs[:, 0]] + runs[:, 1]
 
     def assign(batch: pa.RecordBatch) -> dict:
-        out = {name: batch.column(name) for name in ("doc_id", "piece", "start", "length", "ids_crc32")}
+        out = {name: batch.column(name) for name in ("doc_id", "piece", "start", "length", "ids")}
         length, rank = (batch.column(c).to_numpy() for c in ("length", "rank"))
         at = np.searchsorted(keys, base[length] + rank, side="right") - 1
         return out | {"sequence_id": runs[at, 3] + rank - runs[at, 1], "offset": runs[at, 4]}
 
-    return map_rows(ranked, assign, PACKED)
+    return map_rows(ranked, assign, PLACED)
+
+
+def sequences(pieces: DataFrame) -> DataFrame:
+    """The ids of each sequence in order, and which document's pieces they are;
+    ``pieces`` as ``placed`` gives them. A group is one sequence, so it has at
+    most its capacity of ids."""
+    schema = arrow_schema(pieces.sparkSession, SEQUENCES)
+
+    def whole(sequence: int, group: list[tuple]) -> tuple:
+        ids = b"".join([row[-1] for row in group])
+        return sequence, len(ids) // 4, ids, [row[:-1] for row in group]
+
+    def run(batches):
+        last, group = None, []
+        for batch in batches:
+            rows = []
+            for sequence, *row in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                if sequence != last and group:
+                    rows.append(whole(last, group))
+                    group = []
+                last = sequence
+                group.append(tuple(row))
+            if rows:
+                yield to_batch(dict(zip(schema.names, zip(*rows, strict=True), strict=True)), schema)
+        if group:
+            yield to_batch(dict(zip(schema.names, zip(whole(last, group), strict=True), strict=True)), schema)
+
+    dealt = pieces.select("sequence_id", F.col("offset").cast("int"), F.col("length").cast("int"), "doc_id", "start", "ids")
+    return dealt.repartition("sequence_id").sortWithinPartitions("sequence_id", "offset").mapInArrow(run, SEQUENCES)
+
+
+def write_sequences(pieces: DataFrame, path: str, *, mode: str = "errorifexists") -> None:
+    """``sequences`` as parquet: a row has all that a training step reads."""
+    sequences(pieces).write.mode(mode).parquet(path)
+
+
+def pack(
+    spark: SparkSession, docs: DataFrame, path: str, *, capacity: int = CAPACITY, separator: int = 0
+) -> DataFrame:
+    """``placed`` with a digest of each piece's ids in their stead."""
+    rows = placed(spark, docs, path, capacity=capacity, separator=separator)
+    return rows.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")

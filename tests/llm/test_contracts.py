@@ -199,6 +199,25 @@ def test_pack_covers_all_tokens(spark, docs):
     assert packing.pack(spark, docs.limit(0), path).count() == 0
 
 
+def test_sequences_hold_the_ids_of_all_documents(spark, docs, tmp_path):
+    path = vocabulary("word_bpe_49k.json")
+    encode = packing.WordTokenizer(path)
+    packing.write_sequences(packing.placed(spark, docs, path, capacity=64), f"{tmp_path}/sequences")
+    rows = spark.read.parquet(f"{tmp_path}/sequences").collect()
+    assert len({r.sequence_id for r in rows}) == len(rows)
+    got = Counter()
+    for r in rows:
+        assert 0 < r.n_ids <= 64 and len(r.ids) == 4 * r.n_ids
+        assert [p.offset for p in r.pieces] == [sum(p.length for p in r.pieces[:k]) for k in range(len(r.pieces))]
+        got.update((p.doc_id, p.start, bytes(r.ids[4 * p.offset : 4 * (p.offset + p.length)])) for p in r.pieces)
+    want = Counter()
+    for doc, text in TEXTS:
+        ids = encode.whole(text or "") + bytes(4)
+        want.update((doc, at // 4, ids[at : at + 256]) for at in range(0, len(ids), 256))
+    assert got == want
+    assert packing.sequences(packing.placed(spark, docs.limit(0), path)).count() == 0
+
+
 # --- 5: suffix arrays -------------------------------------------------------
 
 

@@ -45,3 +45,14 @@ def test_stages_keep_and_drop_what_they_should(spark, tmp_path):
         got[r.doc_id] = got.get(r.doc_id, 0) + r.length
     assert got == lengths
     assert len({r.sequence_id for r in packed}) <= -(-sum(lengths.values()) // 2048) + 1
+
+
+def test_last_stage_ends_on_the_ids_of_every_document(spark):
+    texts = {1: "some words, and more", 2: "", 3: "word " * 5000}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    encode = packing.WordTokenizer(vocabulary("word_bpe_49k.json"))
+    got = {}
+    for r in corpus_pipeline.best_fit_packing(spark, docs, "").collect():
+        got.setdefault(r.doc_id, []).append((r.start, bytes(r.ids)))
+    whole = {i: b"".join(ids for _, ids in sorted(parts)) for i, parts in got.items()}
+    assert whole == {i: encode.whole(text) + bytes(4) for i, text in texts.items()}

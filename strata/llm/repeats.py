@@ -18,7 +18,9 @@ keys, wherever they stand, so each key is a shard of its own.
    needed, dealt by key. Shards of several keys are sorted by induced sorting;
    permuted common prefixes of at least ``LENGTH`` make groups of equal
    windows, and windows whose group has a smaller document are covered.
-4. Texts meet all covered stretches, dealt by document.
+4. Texts meet all covered stretches, dealt by document, and give what is kept
+   and where the rest was: ``deduplicated``. ``cleaned`` has the documents with
+   the texts that are left, ``removed`` counts and digests of the same rows.
 
 A key whose runs exceed ``HOT_BYTES`` would be too much for one task. Its
 windows are counted out one by one instead: grouped by a 128-bit hash in Spark,
@@ -32,7 +34,6 @@ table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
 import math
 from collections.abc import Iterator
 
@@ -40,7 +41,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.common import arrow_schema, group_rows, map_rows, materialize, text_bytes, to_batch
@@ -53,9 +54,9 @@ GROUP_BYTES, SHARD_BYTES, HOT_BYTES = 16_000_000, 1_500_000, 4_000_000
 #: Text bytes whose runs are computed at once.
 STEP_BYTES = 1_000_000
 
-KEPT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+KEPT = "doc_id long, kept binary, spans array<struct<start: int, size: int>>"
 _ENTRIES = "kind int, part long, base long, wide boolean, keys binary, runs binary, mixed binary, docs binary"
-_BUNDLE = "part long, ids binary, known binary, sizes binary, texts binary"
+_BUNDLE = "part long, ids binary, known binary, sizes binary, texts binary, others binary"
 _NEEDED = "key long, doc_id long, text_hash long, start int, content binary"
 
 _M1, _M2, _M3 = (np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -257,9 +258,18 @@ def answers(sent: DataFrame, parts: int) -> DataFrame:
 
 def _texts(docs: DataFrame, parts: int) -> DataFrame:
     """Texts dealt by document, those of a part and a batch compressed
-    together: (part, ids, known, sizes, texts)."""
+    together: (part, ids, known, sizes, texts, others). A third column of
+    ``docs`` goes along as ``others``."""
     schema = arrow_schema(docs.sparkSession, _BUNDLE)
 
+    def beside(batch: pa.RecordBatch, some: np.ndarray, packer: zstandard.ZstdCompressor) -> bytes | None:
+        if batch.num_columns < 3:
+            return None
+        taken, sink = batch.select([2]).take(pa.array(some)), pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, taken.schema) as out:
+            out.write_batch(taken)
+        return packer.compress(sink.getvalue())
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=1)
         for batch in batches:
@@ -274,21 +284,23 @@ def _texts(docs: DataFrame, parts: int) -> DataFrame:
                 some = by[a:b]
                 raw = b"".join(data[offsets[i] : offsets[i + 1]].tobytes() for i in some)
                 sizes = (offsets[some + 1] - offsets[some]).tobytes()
-                rows.append((int(part[some[0]]), ids[some].tobytes(), known[some].tobytes(), sizes, packer.compress(raw)))
+                rows.append((int(part[some[0]]), ids[some].tobytes(), known[some].tobytes(), sizes, packer.compress(raw), beside(batch, some, packer)))
             if rows:
                 yield to_batch(dict(zip(schema.names, zip(*rows, strict=True), strict=True)), schema)
 
     return docs.mapInArrow(run, _BUNDLE)
 
 
-def _bundles(rows: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(ids, known, bytes, offsets) of each bundle of texts among ``rows``."""
+def _bundles(rows: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, pa.Array | None]]:
+    """(ids, known, bytes, offsets, others) of each bundle of texts among ``rows``."""
     reader = zstandard.ZstdDecompressor()
-    for ids, known, sizes, texts in zip(*(rows[c].to_pylist() for c in ("ids", "known", "sizes", "texts")), strict=True):
+    names = ("ids", "known", "sizes", "texts", "others")
+    for ids, known, sizes, texts, others in zip(*(rows[c].to_pylist() for c in names), strict=True):
         if ids is not None:
             offsets = np.concatenate([[0], np.cumsum(np.frombuffer(sizes, np.int64))])
             data = np.frombuffer(reader.decompress(texts), np.uint8)
-            yield np.frombuffer(ids, np.int64), np.frombuffer(known, bool), data, offsets
+            beside = others and pa.ipc.open_stream(reader.decompress(others)).read_next_batch().column(0)
+            yield np.frombuffer(ids, np.int64), np.frombuffer(known, bool), data, offsets, beside
 
 
 def _text_hash(raw: bytes) -> int:
@@ -334,7 +346,7 @@ def needed_and_covered(docs: DataFrame, told: DataFrame, parts: int) -> DataFram
             out["start"].append(start)
             out["content"] += content
 
-        for ids, known, data, offsets in _bundles(rows):
+        for ids, known, data, offsets, _ in _bundles(rows):
             for a, b in _steps(offsets):
                 part, where = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
                 key, content, row, start, count = runs_of(part, where)
@@ -474,23 +486,24 @@ def counted_windows(hot: DataFrame) -> DataFrame:
     )
 
 
-def _kept(raw: bytes, starts: list[int], sizes: list[int]) -> tuple[int, int, str]:
-    """Bytes removed, runs of them, hash of the rest; stretches by their start."""
-    digest, at, removed, spans, end = hashlib.sha256(), 0, 0, 0, -1
+def _kept(raw: bytes, starts: list[int], sizes: list[int]) -> tuple[bytes, list[tuple[int, int]]]:
+    """The bytes that are left, and (start, size) of what is not; stretches by
+    their start, those that touch or overlap are one span."""
+    spans: list[list[int]] = []
     for start, size in zip(starts, sizes, strict=True):
-        if start > end:
-            spans += 1
-        if start + size > at:
-            digest.update(raw[at : max(at, start)])
-            removed += start + size - max(at, start)
-            at = start + size
-        end = max(end, start + size)
-    digest.update(raw[at:])
-    return removed, spans, digest.hexdigest()
+        if spans and start <= spans[-1][1]:
+            spans[-1][1] = max(spans[-1][1], start + size)
+        else:
+            spans.append([start, start + size])
+    edges = [0, *(x for span in spans for x in span), len(raw)]
+    left = b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
+    return left, [(a, b - a) for a, b in spans]
 
 
 def without(docs: DataFrame, stretches: DataFrame, parts: int) -> DataFrame:
-    """What is left of each text; texts and stretches meet by document."""
+    """What is left of each text, and the spans that are not; texts and
+    stretches meet by document. A third column of ``docs`` is kept, and then
+    what is left is also returned as a string."""
 
     def dealt(batch: pa.RecordBatch) -> dict:
         names = ("doc_id", "text_hash", "start", "size")
@@ -498,42 +511,52 @@ def without(docs: DataFrame, stretches: DataFrame, parts: int) -> DataFrame:
 
     found = map_rows(stretches.select("doc_id", "text_hash", "start", "size"), dealt, f"part long, {_STRETCH}")
     both = _texts(docs, parts).unionByName(found, allowMissingColumns=True)
+    more = len(docs.columns) > 2
+    schema = KEPT + (f", text string, {docs.select('beside').schema.toDDL()}" if more else "")
 
     def run(key: tuple, rows: pa.Table) -> dict:
         found = rows.filter(rows["doc_id"].is_valid())
         doc, text_hash, start, size = (found[c].to_numpy() for c in ("doc_id", "text_hash", "start", "size"))
         by = np.lexsort((start, text_hash, doc))
         doc, text_hash, start, size = doc[by], text_hash[by], start[by], size[by]
-        out: dict = {name: [] for name in ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")}
-        for ids, known, data, offsets in _bundles(rows):
+        out: dict = {name: [] for name in ("doc_id", "kept", "spans", "text")}
+        rest: list[pa.Array] = []
+        for ids, known, data, offsets, others in _bundles(rows):
             low, high = np.searchsorted(doc, ids), np.searchsorted(doc, ids, side="right")
             for i in range(len(ids)):
                 raw = data[offsets[i] : offsets[i + 1]].tobytes()
                 a, b = (int(low[i]), int(high[i])) if known[i] else (0, 0)
                 if a < b:
                     a, b = a + np.searchsorted(text_hash[a:b], [_text_hash(raw), _text_hash(raw) + 1])
-                n, spans, digest = _kept(raw, start[a:b].tolist(), size[a:b].tolist())
-                for name, value in zip(out, (int(ids[i]) if known[i] else None, len(raw), n, spans, digest), strict=True):
+                left, spans = _kept(raw, start[a:b].tolist(), size[a:b].tolist())
+                text = left.decode("utf-8", "ignore") if more else None
+                for name, value in zip(out, (int(ids[i]) if known[i] else None, left, spans, text), strict=True):
                     out[name].append(value)
-        return out
+            rest += [others] if more else []
+        return out | {"beside": pa.concat_arrays(rest) if rest else []}
 
-    return group_rows(both.repartition("part").sortWithinPartitions("part"), ["part"], run, KEPT)
+    return group_rows(both.repartition("part").sortWithinPartitions("part"), ["part"], run, schema)
 
 
-def removed(
+def deduplicated(
     spark: SparkSession,
     docs: DataFrame,
     *,
+    beside: Column | None = None,
     group_bytes: int = GROUP_BYTES,
     shard_bytes: int = SHARD_BYTES,
     hot_bytes: int = HOT_BYTES,
 ) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row."""
-    docs = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    size = docs.agg(F.sum(F.octet_length("text").cast("long")).alias("n")).first().n or 0
+    """(doc_id, kept, spans) of every row: the bytes of the text that are left,
+    and start and size of each stretch of bytes that was removed. With a column
+    ``beside``, also that and the text that is left, as a string."""
+    others = [] if beside is None else [beside.alias("beside")]
+    docs = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"), *others)
+    texts = docs.select("doc_id", "text")
+    size = texts.agg(F.sum(F.octet_length("text").cast("long")).alias("n")).first().n or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / group_bytes))
-    told = answers(entries(docs, parts), parts)
-    found = materialize(spark, needed_and_covered(docs, told, parts), "repeats-runs")
+    told = answers(entries(texts, parts), parts)
+    found = materialize(spark, needed_and_covered(texts, told, parts), "repeats-runs")
     needed = found.where("content IS NOT NULL")
     whole = found.where("content IS NULL").select("doc_id", "text_hash", "start", F.col("key").cast("int").alias("size"))
     heavy = needed.groupBy("key").agg(F.sum(F.octet_length("content").cast("long")).alias("n")).where(F.col("n") > hot_bytes)
@@ -545,3 +568,27 @@ def removed(
         stretches = stretches.unionByName(sorted_shards(needed.join(heavy, "key", "left_anti"), shard_bytes))
         stretches = stretches.unionByName(counted_windows(needed.join(heavy, "key", "left_semi")))
     return without(docs, materialize(spark, stretches, "repeats-stretches"), parts)
+
+
+def cleaned(spark: SparkSession, docs: DataFrame, **bounds: int) -> DataFrame:
+    """The rows of ``docs`` with what is left of each text, and ``spans``: start
+    and size of what was removed from its UTF-8 bytes. Spans can begin or end
+    inside a character; the rest of such a one goes too. Null texts stay null."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    row = F.struct(F.col("text").isNull().alias("_none"), *others)
+    done = deduplicated(spark, docs, beside=row, **bounds)
+    text = F.when(~F.col("beside._none"), F.col("text")).alias("text")
+    return done.select(*(text if c == "text" else F.col(f"beside.`{c}`") for c in docs.columns), "spans")
+
+
+def removed(spark: SparkSession, docs: DataFrame, **bounds: int) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row."""
+    done = deduplicated(spark, docs, **bounds)
+    gone = F.aggregate("spans", F.lit(0).cast("long"), lambda n, span: n + span["size"])
+    return done.select(
+        "doc_id",
+        (F.octet_length("kept") + gone).alias("n_bytes"),
+        gone.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )

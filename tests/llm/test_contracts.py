@@ -249,6 +249,33 @@ def test_repeats_of_an_empty_table(spark, empty):
     assert repeats.removed(spark, empty).count() == 0
 
 
+def test_cleaned_has_the_texts_that_are_left(spark, docs, empty):
+    first = {}
+    for i, t in TEXTS:
+        raw = (t or "").encode()
+        for at in range(len(raw) - repeats.LENGTH + 1 if i is not None else 0):
+            window = raw[at : at + repeats.LENGTH]
+            first[window] = min(i, first.get(window, i))
+    want = []
+    for i, t in TEXTS:
+        raw = (t or "").encode()
+        gone = np.zeros(len(raw) + 1, bool)
+        for at in range(len(raw) - repeats.LENGTH + 1 if i is not None else 0):
+            if first[raw[at : at + repeats.LENGTH]] < i:
+                gone[at : at + repeats.LENGTH] = True
+        edges = np.flatnonzero(np.diff(np.concatenate([[False], gone]).astype(int))).tolist()
+        left = bytes(b for b, g in zip(raw, gone, strict=False) if not g)
+        spans = tuple((a, b - a) for a, b in zip(edges[::2], edges[1::2], strict=True))
+        want.append((i, None if t is None else left.decode("utf-8", "ignore"), "x", i, 7, spans, left))
+    got = repeats.cleaned(spark, docs)
+    assert got.columns == [*docs.columns, "spans"] and got.drop("spans").schema.simpleString() == docs.schema.simpleString()
+    assert Counter((*r[:5], tuple(map(tuple, r.spans))) for r in got.collect()) == Counter(w[:6] for w in want)
+    assert any(w[5] for w in want)
+    kept = repeats.deduplicated(spark, docs).collect()
+    assert Counter((r.doc_id, bytes(r.kept)) for r in kept) == Counter((w[0], w[6]) for w in want)
+    assert repeats.cleaned(spark, empty).count() == 0
+
+
 # --- 6: MinHash -------------------------------------------------------------
 
 

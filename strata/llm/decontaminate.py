@@ -8,6 +8,12 @@ of all pieces are looked up at every position of a batch of texts at once, the
 rest of a piece is compared, and the stretch around it is verified with Myers'
 bit-parallel distance, a column of the edit matrix in one big integer.
 
+Where the budget makes pieces shorter than eight bytes (``REWORDED``), single
+hits say too little. Then an item has k + ``HITS`` pieces, of which at least
+``HITS`` occur unchanged, shifted against each other by at most k; and what is
+around them must hold as many of the item's strings of three, four and five
+bytes as k edits leave, before it is verified. These bounds lose no match.
+
 The benchmark is read in blocks of bounded size, and each block is one pass
 over the documents without a shuffle; neither side is ever collected whole.
 
@@ -31,6 +37,10 @@ from pyspark.sql import functions as F
 from strata.llm.common import map_rows, materialize, text_bytes
 
 RATE = 0.08
+#: The share of edits that the query and the pipeline look for: one inserted
+#: word of seven letters in an item of 54 bytes, three in one of 160.
+REWORDED = 0.15
+HITS, GRAMS = 3, (3, 4, 5)
 SHORT = 24
 #: Bytes of benchmark text in a block, and so in a task's tables.
 BLOCK_BYTES = 4_000_000
@@ -79,12 +89,88 @@ def myers(pattern_masks: dict[int, int], m: int, text: bytes) -> int:
     return best
 
 
+def _words(data: bytes, width: int) -> np.ndarray:
+    """The ``width`` bytes from each position on, as a number."""
+    out, raw = np.empty(len(data), np.uint64), data + bytes(8)
+    for shift in range(min(8, len(data))):
+        out[shift::8] = np.frombuffer(raw, np.uint64, len(out[shift::8]), shift)
+    return out & np.uint64(2 ** (8 * width) - 1)
+
+
+def _grams(data: bytes, width: int) -> np.ndarray:
+    return (_words(data, width) * _SPREAD >> np.uint64(48)).astype(np.uint16)
+
+
+class ShortPieces:
+    """Pieces of which an item needs ``HITS`` (first bytes, item, start, piece)."""
+
+    def __init__(self, pieces: list[tuple[int, int, int, bytes]], texts: list[bytes], budgets: list[int]):
+        sizes = np.array([min(8, len(p[3])) for p in pieces])
+        self.width = int(sizes.min())
+        first = np.array([p[0] for p in pieces], np.uint64)
+        by = np.argsort(first & np.uint64(2 ** (8 * self.width) - 1), kind="stable")
+        self.first = first[by]
+        self.keys = self.first & np.uint64(2 ** (8 * self.width) - 1)
+        self.mask = np.array([2 ** (8 * int(n)) - 1 for n in sizes[by]], np.uint64)
+        self.item = np.array([p[1] for p in pieces])[by]
+        self.start = np.array([p[2] for p in pieces])[by]
+        self.keys, self.first_of, self.count = np.unique(self.keys, return_index=True, return_counts=True)
+        self.filter = np.zeros(1 << _FILTER_BITS, bool)
+        self.filter[self.keys * _SPREAD >> np.uint64(64 - _FILTER_BITS)] = True
+        self.sizes, self.budgets = np.array([len(t) for t in texts]), np.array(budgets)
+        self.least = [(self.sizes - g + 1 - g * self.budgets).tolist() for g in GRAMS]
+        self.grams = [[_grams(t, g)[: max(0, len(t) - g + 1)] for t in texts] for g in GRAMS]
+        self.table = np.zeros(1 << 16, bool)
+
+    def stretches(self, data: bytes, offsets: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """(row, item, from, to) of what may hold an item."""
+        words = _words(data, 8)
+        keys = words & np.uint64(2 ** (8 * self.width) - 1)
+        at = np.flatnonzero(self.filter[keys * _SPREAD >> np.uint64(64 - _FILTER_BITS)])
+        key = np.minimum(np.searchsorted(self.keys, keys[at]), len(self.keys) - 1)
+        there = self.keys[key] == keys[at]
+        at, a, n = at[there], self.first_of[key[there]], self.count[key[there]]
+        piece = np.repeat(a - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        at = np.repeat(at, n)
+        right = words[at] & self.mask[piece] == self.first[piece]
+        at, piece = at[right], piece[right]
+        row, item = np.searchsorted(offsets, at, side="right") - 1, self.item[piece]
+        begin = at - self.start[piece]
+        pair = row * len(self.sizes) + item
+        most = int(self.sizes.max())
+        pair, begin = np.divmod(np.sort(pair * (len(data) + most) + begin + most), len(data) + most)
+        begin -= most
+        last = HITS - 1
+        some = np.flatnonzero(
+            (pair[last:] == pair[:-last]) & (begin[last:] - begin[:-last] <= self.budgets[pair[last:] % len(self.sizes)])
+        )
+        if not len(some):
+            return
+        pair, low, high = pair[some], begin[some], begin[some + last]
+        opens = np.concatenate([[True], (pair[1:] != pair[:-1]) | (low[1:] > high[:-1])])
+        first, final = np.flatnonzero(opens), np.append(np.flatnonzero(opens)[1:] - 1, len(pair) - 1)
+        row, item = np.divmod(pair[first], len(self.sizes))
+        low = np.maximum(offsets[row], low[first] - self.budgets[item])
+        high = np.minimum(offsets[row + 1], high[final] + self.sizes[item] + self.budgets[item])
+        grams, table = [_grams(data, g) for g in GRAMS], self.table
+        for r, i, a, b in zip(row.tolist(), item.tolist(), low.tolist(), high.tolist(), strict=True):
+            for every, own, least in zip(grams, self.grams, self.least, strict=True):
+                here = every[a:b]
+                table[here] = True
+                enough = np.count_nonzero(table[own[i]]) >= least[i]
+                table[here] = False
+                if not enough:
+                    break
+            else:
+                yield r, i, a, b
+
+
 class PieceIndex:
     """Pieces of a block of items, found by their first eight bytes."""
 
     def __init__(self, items: list[tuple[int | None, str]], rate: float = RATE):
         self.ids, self.texts, self.budgets, self.whole = [], [], [], {}
-        pieces = []
+        pieces, short = [], []
         for item_id, text in items:
             data, _ = normalized(pa.array([text]))
             data = data.strip()
@@ -97,15 +183,19 @@ class PieceIndex:
             if len(data) < SHORT:
                 self.whole.setdefault(data, []).append(at)
                 continue
-            cuts = [len(data) * i // (budget + 1) for i in range(budget + 2)]
+            n, into = budget + 1, pieces
+            if len(data) // n < 8:
+                n, into = budget + HITS, short
+            cuts = [len(data) * i // n for i in range(n + 1)]
             for a, b in zip(cuts, cuts[1:], strict=False):
-                pieces.append((int.from_bytes(data[a : a + 8], "little"), at, a, data[a:b]))
+                into.append((int.from_bytes(data[a : min(b, a + 8)], "little"), at, a, data[a:b]))
         pieces.sort()
         self.pieces = pieces
         self.keys = np.array([p[0] for p in pieces], np.uint64)
         self.filter = np.zeros(1 << _FILTER_BITS, bool)
         self.filter[self.keys * _SPREAD >> np.uint64(64 - _FILTER_BITS)] = True
         self.masks: dict[int, dict[int, int]] = {}
+        self.short = ShortPieces(short, self.texts, self.budgets) if short else None
 
     def mask(self, item: int) -> dict[int, int]:
         if item not in self.masks:
@@ -170,6 +260,15 @@ class PieceIndex:
             distance = myers(self.mask(item), m, part)
             if distance <= min(budget, best.get((row, item), budget)):
                 best[row, item] = distance
+        if self.short:
+            for row, item, low, high in self.short.stretches(data, offsets):
+                m, budget = len(self.texts[item]), self.budgets[item]
+                if best.get((row, item)) == 0:
+                    continue
+                part = data[low:high]
+                distance = 0 if self.texts[item] in part else myers(self.mask(item), m, part)
+                if distance <= min(budget, best.get((row, item), budget)):
+                    best[row, item] = distance
         return best
 
 

@@ -23,7 +23,8 @@ def vocabulary(name: str) -> str:
 
 
 def op1_pigeonhole_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.contaminated(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.contaminated(spark, docs, benchmark, rate=decontaminate.REWORDED)
 
 
 def op2_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

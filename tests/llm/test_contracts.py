@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from strata.llm import cover_tree, decontaminate, langid, minhash, packing, pii, quality, repeats, toxicity, warc
+from strata.llm import cover_tree, decontaminate, langid, minhash, packing, pii, quality, queries, repeats, toxicity, warc
 from strata.llm.common import components, crc_fold
 from strata.llm.queries import vocabulary
 
@@ -111,6 +111,40 @@ def test_pieces_find_every_item_within_the_budget(spark):
     assert decontaminate.contaminated(spark, docs, bench.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("rate", [decontaminate.REWORDED, 0.2])
+def test_short_pieces_find_reworded_items(rate):
+    rnd = random.Random(8)
+    say = lambda n: " ".join("".join(rnd.choices("abcdefgh", k=rnd.randint(2, 8))) for _ in range(n))
+    items = [(i, say(n)) for i, n in enumerate((6, 9, 16, 16, 40))]
+    texts = [None, "", items[0][1]]
+    for _ in range(60):
+        words = rnd.choice(items)[1].split()
+        for _ in range(rnd.randint(0, 5)):
+            at = rnd.randrange(len(words))
+            words[at : at + rnd.randint(0, 1)] = [say(1)]
+        texts.append(" ".join([say(5), *words, say(5)]))
+    want = {}
+    for row, text in enumerate(texts):
+        for at, (_, item) in enumerate(items):
+            d = _distance(item.encode(), (text or "").encode())
+            if d <= int(rate * len(item)):
+                want[row, at] = d
+    assert len({d for d in want.values()}) > 5
+    for step in (256, 7):
+        assert decontaminate.PieceIndex(items, rate).search(pa.array(texts), step) == want
+
+
+def test_an_inserted_word_does_not_hide_a_short_item(spark, tmp_path):
+    item = "which of the planets has the longest day and how many hours does it last in all"
+    text = "so: " + item.replace("longest", "longest measured") + "? who knows"
+    docs = spark.createDataFrame([(1, text), (2, "the planets have days of many hours")], "doc_id long, text string")
+    bench = spark.createDataFrame([(0, item)], "item_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = queries.op1_pigeonhole_decontamination(spark, str(tmp_path)).collect()
+    assert [(r.doc_id, r.item_id, r.distance) for r in got] == [(1, 0, 9)]
+
+
 # --- 2: cover trees ---------------------------------------------------------
 
 

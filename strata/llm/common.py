@@ -108,6 +108,30 @@ def first_by_hash(rows: DataFrame, n: int, *key, total: int | None = None) -> Da
     return rows.orderBy(h, *key).limit(n)
 
 
+def numbered(spark: SparkSession, rows: DataFrame, keys: list, name: str) -> DataFrame:
+    """``rows`` (deterministic: read from a table, or a function of one) with
+    their ``place`` from 1 in the order of ``keys``; rows with equal keys in any order.
+
+    A range-partitioned sort is written, so no task orders all rows; a place is
+    the row's index in its file after the rows of earlier files. One count for
+    each file reaches the driver, as many as the sort has partitions.
+    """
+    path = scratch_path(spark, name)
+    # The last key only parts equal rows, so that very many of them are several partitions.
+    even = rows.withColumn("_row", F.monotonically_increasing_id())
+    even.orderBy(*keys, "_row").drop("_row").write.parquet(path)
+    number = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("long")
+    placed = spark.read.schema(rows.schema).parquet(path).select(
+        *rows.columns, number.alias("_file"), F.col("_metadata.row_index").alias("_nth")
+    )
+    start, starts = 0, []
+    for row in placed.groupBy("_file").agg(F.count(F.lit(1)).alias("n")).orderBy("_file").collect():
+        starts.append((row["_file"], start))
+        start += row.n
+    files = F.broadcast(spark.createDataFrame(starts, "_file long, _start long"))
+    return placed.join(files, "_file").select(*rows.columns, (F.col("_start") + F.col("_nth") + 1).alias("place"))
+
+
 def fold(doc_id: str, parts: int):
     """crc32 of the id as text, modulo ``parts`` (null ids: null)."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % parts

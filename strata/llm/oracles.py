@@ -104,9 +104,68 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM digests JOIN first USING (h)
 """
 
+# The table of the 256 one-byte CRCs comes from eight halvings of each value.
+OP11 = """
+WITH crcs AS (
+  SELECT list(c ORDER BY b) AS t FROM (SELECT b, list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+    lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS c FROM range(256) r(b))
+),
+split AS (
+  SELECT 'd' AS part, doc_id, text FROM documents UNION ALL SELECT 'b', NULL, text FROM benchmark
+),
+lists AS (
+  SELECT part, doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM split
+),
+features AS (
+  SELECT part, r, f, count(*) AS n FROM (
+    SELECT part, r, unnest(list_concat(w, [w[i] || ' ' || w[i + 1] for i in range(1, len(w))])) AS f FROM lists)
+  GROUP BY ALL
+),
+hexes AS (SELECT f, hex(encode(f)) AS h FROM (SELECT DISTINCT f FROM features)),
+hashed AS (
+  SELECT f, xor(list_reduce(list_prepend(4294967295::BIGINT, [16 * (strpos('0123456789ABCDEF', substr(h, 2 * i + 1, 1)) - 1)
+    + strpos('0123456789ABCDEF', substr(h, 2 * i + 2, 1)) - 1 for i in range(0, length(h) // 2)]),
+    lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)])), 4294967295) % 10000 AS bucket FROM hexes, crcs
+),
+counted AS (
+  SELECT bucket, coalesce(sum(n) FILTER (part = 'd'), 0) AS s, coalesce(sum(n) FILTER (part = 'b'), 0) AS t
+  FROM features JOIN hashed USING (f) GROUP BY bucket
+),
+totals AS (SELECT sum(s) AS s_all, sum(t) AS t_all FROM counted),
+gains AS (
+  SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (s_all + 10000)::DOUBLE
+    / ((s + 1)::DOUBLE * (t_all + 10000)::DOUBLE)))::BIGINT AS g FROM counted, totals
+),
+sums AS (
+  SELECT r, sum(n) AS n, sum(n * g) AS g FROM features JOIN hashed USING (f) JOIN gains USING (bucket)
+  WHERE part = 'd' GROUP BY r
+),
+weighed AS (
+  SELECT doc_id, len(w) AS n_words, coalesce(n, 0)::BIGINT AS n_features,
+    CASE WHEN n > 0 THEN (sums.g - ((sums.g % n) + n) % n) // n ELSE 0 END::BIGINT AS weight,
+    sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h
+  FROM lists LEFT JOIN sums USING (r) WHERE part = 'd'
+),
+noised AS (
+  SELECT *, list_reduce(list_prepend(0::BIGINT, [strpos('0123456789abcdef', substr(h, i, 1)) - 1 for i in range(1, 9)]),
+    lambda a, b: 16 * a + b) AS u FROM weighed
+),
+scored AS (
+  SELECT doc_id, n_words, n_features, weight,
+    weight + floor(-1000 * ln(-ln((u + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM noised
+),
+placed AS (
+  SELECT *, CASE WHEN n_words >= 20 THEN row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) END AS place,
+    25 * count(*) FILTER (n_words >= 20) OVER () // 100 AS wanted FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= wanted THEN place END AS rank FROM placed
+"""
+
 ORACLE_SQL = {
     "op2_cover_tree": OP2,
     "op5_suffix_array": OP5,
     "op6_minhash": OP6,
     "op9_warc": OP9,
+    "op11_prefix_crc_resampling": OP11,
 }

@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import cover_tree, decontaminate, langid, minhash, packing, pii, quality, repeats, toxicity, warc
+from strata.llm import (
+    cover_tree,
+    decontaminate,
+    langid,
+    minhash,
+    packing,
+    pii,
+    quality,
+    repeats,
+    resample,
+    toxicity,
+    warc,
+    whitening,
+    winnow,
+)
 from strata.llm.common import table
 from strata.llm.oracles import ORACLE_SQL
 
@@ -63,6 +77,18 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_prefix_crc_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnow.edited_likeness(spark, table(spark, sf_dir, "documents"))
+
+
+def op13_jacobi_davidson_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark, table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_pigeonhole_decontamination": op1_pigeonhole_decontamination,
     "op2_cover_tree": op2_cover_tree,
@@ -74,4 +100,7 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_warc": op9_warc,
     "op10_quality": op10_quality,
+    "op11_prefix_crc_resampling": op11_prefix_crc_resampling,
+    "op12_winnowing": op12_winnowing,
+    "op13_jacobi_davidson_whitening": op13_jacobi_davidson_whitening,
 }

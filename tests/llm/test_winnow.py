@@ -1,0 +1,108 @@
+"""Winnowing against plain Python."""
+
+import hashlib
+import random
+from collections import Counter
+
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from strata.llm import winnow
+
+RND = random.Random(9)
+SAY = lambda n: " ".join("".join(RND.choices("abcdeé日😀", k=RND.randint(1, 8))) for _ in range(n))
+BASE = [SAY(n) for n in (3, 20, 200, 1500, 30)]
+TEXTS = [None, "", "a", "b" * 15, "c" * 16, "d" * 17, "e" * 46, "f" * 47, "g" * 48, "z" * 5000, "\n\t", "ab\x00c" * 40, *BASE]
+TEXTS += [BASE[2][:300] + SAY(40), BASE[2], SAY(5) + BASE[3][100:900], "x" + "日" * 4200, SAY(9) * 400]
+
+
+def _runs(text):
+    h = lambda x: xxhash.xxh64_intdigest(x.encode(), seed=42) >> 32 & 0x7FFFFFFF
+    if not text:
+        return []
+    n = winnow.GRAM
+    return [h(text[i : i + n]) for i in range(len(text) - n + 1)] if len(text) >= n else [h(text)]
+
+
+def _brute(text):
+    hashes, out = _runs(text), []
+    for i in range(max(1, len(hashes) - winnow.WINDOW + 1) if hashes else 0):
+        window = range(i, min(len(hashes), i + winnow.WINDOW))
+        at = min(window, key=lambda j: (hashes[j], -j))
+        if not out or out[-1][1] != at:
+            out.append((hashes[at], at))
+    return out
+
+
+def _jaccard(a, b):
+    a, b = {h for h, _ in a}, {h for h, _ in b}
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def _said(found):
+    return ",".join(f"{h}:{p}" for h, p in found)
+
+
+def _expected(rows):
+    """Rows in their order; each against the one after it."""
+    out = []
+    for (doc, text), (after, next_text) in zip(rows, rows[1:] + rows[:1], strict=True):
+        text, next_text = text or "", next_text or ""
+        half = len(text) // 2
+        edited = text[: len(text) - half] + next_text[:half]
+        a, b, c = _brute(text), _brute(edited), _brute(next_text)
+        sha = hashlib.sha256(edited.encode()).hexdigest()
+        out.append((doc, len(text), sha, _said(a), _said(b), _jaccard(a, b), _jaccard(a, c), after))
+    return Counter(out)
+
+
+@pytest.mark.parametrize("rows_a_chunk", [256, 3, 1])
+def test_fingerprints_are_those_of_plain_python(spark, monkeypatch, rows_a_chunk):
+    monkeypatch.setattr(winnow, "CHUNK_ROWS", rows_a_chunk)
+    rows = sorted(enumerate(TEXTS, -4), reverse=True) + [(None, "the last one " * 9)]
+    # columns whose names the operator uses inside
+    docs = spark.createDataFrame([(i, t, "k", 1, 2) for i, t in rows], "doc_id long, text string, key string, chunk int, next int")
+    got = winnow.edited_likeness(spark, docs.repartition(3)).collect()
+    assert Counter(tuple(r) for r in got) == _expected(rows)
+
+
+def test_equal_ids_and_repeated_rows(spark, monkeypatch):
+    monkeypatch.setattr(winnow, "CHUNK_ROWS", 2)
+    twins = [(5, "one text of five " * 8)] * 4 + [(5, "another text of five " * 8)] * 3 + [(None, "n" * 80)] * 3
+    rows = [(9, BASE[1]), *twins, (2, BASE[4]), (2**63 - 1, BASE[2]), (-(2**63), "least")]
+
+    def order(row):
+        doc, text = row
+        h = xxhash.xxh64_intdigest(text.encode(), seed=42)
+        return doc is None, -(doc or 0), h - 2**64 if h >= 2**63 else h
+
+    got = winnow.edited_likeness(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert Counter(tuple(r) for r in got) == _expected(sorted(rows, key=order))
+
+
+def test_one_document_and_none(spark):
+    one = spark.createDataFrame([(7, BASE[3])], "doc_id long, text string")
+    assert Counter(map(tuple, winnow.edited_likeness(spark, one).collect())) == _expected([(7, BASE[3])])
+    assert winnow.edited_likeness(spark, one.limit(0)).count() == 0
+    assert winnow.edited_likeness(spark, spark.createDataFrame([(7, None)], "doc_id long, text string")).first().near_next == 1.0
+
+
+def test_shared_passages_share_a_hash(spark):
+    passages = [SAY(60)[: winnow.SPAN] for _ in range(40)]
+    rows = [(i, SAY(RND.randint(1, 30)) + p + SAY(9), SAY(RND.randint(1, 300)) + p + SAY(3)) for i, p in enumerate(passages)]
+    both = spark.createDataFrame(rows, "doc_id long, text string, other string")
+    both = winnow.fingerprints(both).withColumnRenamed("fingerprint", "a").withColumn("text", F.col("other"))
+    for row in winnow.fingerprints(both).collect():
+        assert {p.hash for p in row.a} & {p.hash for p in row.fingerprint}
+        at = {p.hash: p.position for p in row.a}
+        for p in row.fingerprint:
+            if p.hash in at:
+                assert rows[row.doc_id][1][at[p.hash] :][: winnow.GRAM] == row.other[p.position :][: winnow.GRAM]
+
+
+def test_no_python_and_one_shuffle_of_texts(spark):
+    docs = spark.createDataFrame([(1, BASE[3]), (2, BASE[2])], "doc_id long, text string")
+    plan = winnow.edited_likeness(spark, docs)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan

@@ -8,7 +8,7 @@ from strata.operators.checks import (
     first_rows,
 )
 from strata.operators.ingest import IngestResult, ingest_json
-from strata.operators.partitioning import balance_by, coalesce_to, global_sort, round_robin
+from strata.operators.partitioning import balance_by, coalesce_to, global_sort, ordered_ranges, round_robin
 
 __all__ = [
     "CardinalityError",
@@ -21,5 +21,6 @@ __all__ = [
     "first_rows",
     "global_sort",
     "ingest_json",
+    "ordered_ranges",
     "round_robin",
 ]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def round_robin(df: DataFrame, n: int | None) -> DataFrame:
@@ -34,6 +35,17 @@ def balance_by(df: DataFrame, *cols: str) -> DataFrame:
     return df.hint("rebalance", *cols) if cols else df.hint("rebalance")
 
 
+def ordered_ranges(df: DataFrame, *keys: str) -> DataFrame:
+    """Consecutive ranges of ``keys`` in consecutive partitions, sorted within.
+
+    A value of all keys that holds very many rows is split by a hash of the
+    other columns, which orders nothing but equal rows.
+    """
+    plain = [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType) and f.name not in keys]
+    spread = [F.xxhash64(*[F.col("`" + c.replace("`", "``") + "`") for c in plain])] if plain else []
+    return df.repartitionByRange(*keys, *spread).sortWithinPartitions(*keys, *spread)
+
+
 def global_sort(df: DataFrame, *keys) -> DataFrame:
     """All rows in ascending order of ``keys``, NULLs first: range partitioning
     on sampled bounds, then a sort in each partition, so file ``i`` of a write

@@ -344,6 +344,41 @@ def q32_skip_unreadable_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select("o_orderkey", "o_orderstatus")
 
 
+def q33_widen_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole prices, then prices with cents, into one column; both versions of
+    its type are read, the first through time travel."""
+    path = scratch_path(spark, "q33")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_totalprice").cast("double").alias("price"))
+    write_table(orders.select("o_orderkey", F.floor("price").cast("long").alias("price")), path)
+    write_table(orders, path, mode="append", merge_schema=True)
+    update_table(spark, path, "o_orderkey % 7 = 0 AND price = floor(price)", {"price": "price + 0.5"})
+    before = read_table(spark, path, version_as_of=0).select(F.lit(0).alias("version"), "o_orderkey", "price")
+    now = read_table(spark, path).select(F.lit(2).alias("version"), "o_orderkey", "price")
+    return before.unionByName(now)
+
+
+def q34_export_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders exported by month in order of date; each row with its place in
+    its month over all files of it."""
+    root = scratch_path(spark, "q34")
+    orders = orders_by_month(spark, sf_dir).select("o_orderkey", "o_orderdate", "year", "month")
+    export_split_json(orders, root, ["year", "month"], order_by=["o_orderdate", "o_orderkey"])
+    lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").text(root)
+    lines = lines.select(
+        F.from_json("value", "o_orderkey long, year long, month long").alias("row"),
+        F.col("_metadata.file_name").alias("file"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"),
+    ).select("row.*", "file", "at")
+    within = Window.partitionBy("year", "month", "file").orderBy("at")
+    rows = lines.withColumn("nth", F.row_number().over(within))
+    earlier = Window.partitionBy("year", "month").orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    files = lines.groupBy("year", "month", "file").agg(F.count(F.lit(1)).alias("n"))
+    starts = files.withColumn("start", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    same = [rows[c].eqNullSafe(starts[c]) for c in ("year", "month", "file")]
+    place = (starts["start"] + rows["nth"]).alias("place")
+    return rows.join(starts, same).select(rows["o_orderkey"], rows["year"], rows["month"], place)
+
+
 QUERIES: dict[str, Query] = {
     "q01_json_ingest": q01_json_ingest,
     "q02_json_recursive_glob": q02_json_recursive_glob,
@@ -375,6 +410,8 @@ QUERIES: dict[str, Query] = {
     "q30_distinct_guard": q30_distinct_guard,
     "q31_bad_lines": q31_bad_lines,
     "q32_skip_unreadable_files": q32_skip_unreadable_files,
+    "q33_widen_type": q33_widen_type,
+    "q34_export_order": q34_export_order,
 }
 
 _B = (
@@ -436,6 +473,16 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "q30_distinct_guard": f"SELECT DISTINCT year FROM {_B} b",
     "q32_skip_unreadable_files": "SELECT o_orderkey, o_orderstatus FROM orders",
+    "q33_widen_type": (
+        "WITH whole AS (SELECT o_orderkey, floor(o_totalprice::DOUBLE) AS price FROM orders), "
+        "prices AS (SELECT * FROM whole UNION ALL SELECT o_orderkey, o_totalprice::DOUBLE AS price FROM orders) "
+        "SELECT 0 AS version, o_orderkey, price FROM whole UNION ALL SELECT 2 AS version, o_orderkey, "
+        "CASE WHEN o_orderkey % 7 = 0 AND price = floor(price) THEN price + 0.5 ELSE price END AS price FROM prices"
+    ),
+    "q34_export_order": (
+        "SELECT o_orderkey, year, month, row_number() OVER (PARTITION BY year, month "
+        f"ORDER BY o_orderdate NULLS FIRST, o_orderkey) AS place FROM {_B} b"
+    ),
     "q31_bad_lines": (
         "SELECT (SELECT count(*) FROM orders) AS good, "
         f"(SELECT count(*) FROM orders WHERE o_orderpriority = '{URGENT}') AS bad"

@@ -3,11 +3,14 @@
 Layout under the table path::
 
     commits/<20-digit version>.json
-    data/strata_commit=<token>/[p=v/...]/part-*.parquet   written once
+    data/<generation>/strata_commit=<token>/[p=v/...]/part-*.parquet   written once
 
 A version names its schema, its partition columns and its ``parts``: written
-directories, or single partition leaves of one where an update or delete
-replaced others. Data directories are never changed after they are written.
+directories of one generation, which is the folder a version is read from with
+a filter on ``strata_commit``. ``dropped`` has the partition leaves of parts that
+an update or delete replaced; ``stored_types`` the columns of parts that were
+written in a type the table has since widened. Data directories are never
+changed after they are written; whatever replaces all rows starts a generation.
 
 A table has one writer at a time. A version file is created only if it does
 not exist yet, so a second writer gets ``TableConflictError`` instead of
@@ -45,12 +48,21 @@ class Commit:
     schema: StructType
     partition_by: list[str]
     parts: list[str]
+    dropped: dict[str, list[str]] = field(default_factory=dict)
+    """Keys of the leaves that no longer count, by part."""
+    stored_types: dict[str, dict] = field(default_factory=dict)
+    """Type (as JSON) of columns at the time of writing, where it was narrower, by part."""
     metrics: dict = field(default_factory=dict)
     timestamp_ms: int = 0
 
     def to_json(self) -> str:
         return json.dumps({**vars(self), "schema": json.loads(self.schema.json())}, sort_keys=True)
 
+    @property
+    def generation(self) -> str | None:
+        """Folder that holds all parts; None without parts."""
+        return self.parts[0].rsplit("/", 1)[0] if self.parts else None
+
     @staticmethod
     def from_json(text: str) -> Commit:
         raw = json.loads(text)

@@ -11,7 +11,7 @@ class SchemaMismatchError(ValueError):
     """The incoming frame does not fit the table schema under the given flags."""
 
 
-# Types that are cast to a stored type that holds more. A batch of whole
+# Pairs of a type and one that holds more, to which it is cast. A batch of whole
 # numbers infers bigint where earlier ones inferred double, so that is cast too.
 _WHOLE = [T.ByteType, T.ShortType, T.IntegerType, T.LongType]
 _WIDENING = {(a, b) for i, a in enumerate(_WHOLE) for b in _WHOLE[i + 1 :]}
@@ -34,11 +34,13 @@ def nullable(kind: T.DataType) -> T.DataType:
 
 
 def _fit(value: Column, given: T.DataType, stored: T.DataType, merge: bool, where: str) -> tuple[Column, T.DataType]:
-    """``value`` as the stored type, and that type with what merging added."""
+    """``value`` as the stored type, and that type with what merging added or widened."""
     if given == stored:
         return value, stored
     if isinstance(given, T.NullType) or (type(given), type(stored)) in _WIDENING:
         return value.cast(stored), stored
+    if merge and (isinstance(stored, T.NullType) or (type(stored), type(given)) in _WIDENING):
+        return value, given
     if isinstance(given, T.StructType) and isinstance(stored, T.StructType):
         columns, kind = _fit_fields(lambda name: value.getField(name), given, stored, merge, f"{where}.")
         return F.when(value.isNotNull(), F.struct(*columns)).cast(kind), kind
@@ -46,11 +48,17 @@ def _fit(value: Column, given: T.DataType, stored: T.DataType, merge: bool, wher
         inner = _fit(F.lit(None), given.elementType, stored.elementType, merge, where)[1]
         fitted = F.transform(value, lambda x: _fit(x, given.elementType, stored.elementType, merge, where)[0])
         return fitted, T.ArrayType(inner, True)
+    hint = "; set merge_schema=True to widen it" if (type(stored), type(given)) in _WIDENING else ""
     raise SchemaMismatchError(
-        f"column {where!r} has type {given.simpleString()} but the table stores {stored.simpleString()}"
+        f"column {where!r} has type {given.simpleString()} but the table stores {stored.simpleString()}{hint}"
     )
 
 
+def widened(value: Column, stored: T.DataType, now: T.DataType) -> Column:
+    """A column read in the type it was stored in, as the table's type now."""
+    return _fit(value, stored, now, True, "")[0]
+
+
 def _fit_fields(get, given: T.StructType, stored: T.StructType, merge: bool, where: str) -> tuple[list[Column], T.StructType]:
     incoming = {f.name.lower(): f for f in given.fields}
     known = {f.name.lower() for f in stored.fields}
@@ -78,8 +86,9 @@ def align(df: DataFrame, stored: T.StructType, merge_schema: bool) -> tuple[Data
     structs and arrays of structs too.
 
     Missing columns become NULL; extra ones are an error unless
-    ``merge_schema`` adds them; a type may only widen; whether nested values
-    may be NULL does not matter.
+    ``merge_schema`` adds them; values may be of a narrower type than the
+    table's, and with ``merge_schema`` of a wider one, which the table then takes;
+    whether nested values may be NULL does not matter.
     """
     given = nullable(df.schema)
     columns, merged = _fit_fields(lambda name: F.col(quote(name)), given, nullable(stored), merge_schema, "")

@@ -147,3 +147,41 @@ def test_global_sort_ranges_partitions(spark):
     df = global_sort(spark.range(0, 1000, 1, 4).select((F.col("id") * 37 % 1000).alias("x")), "x")
     assert "rangepartitioning" in plan_text(df, "simple")
     assert [r.x for r in df.collect()] == list(range(1000))
+
+
+@pytest.fixture
+def small_partitions(spark):
+    """AQE leaves partitions as dealt, as it does large ones."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_a_group_is_in_order_over_its_files(spark, tmp_path, small_partitions):
+    out = str(tmp_path / "ordered")
+    n = 40_000
+    df = spark.range(0, n, 1, 8).select(
+        F.when(F.col("id") % 3 < 2, 1).otherwise(F.col("id") % 50 + 2).alias("g"),
+        F.when(F.col("id") % 10 == 0, None).otherwise(F.xxhash64("id") % 5000).alias("k"),
+        "id",
+    )
+    export_split_json(df, out, ["g"], order_by=["k"])
+    hot = sorted(f for f in os.listdir(f"{out}/part_g=1") if f.endswith(".json"))
+    assert len(hot) > 1  # not one task's work
+    for group in os.listdir(out):
+        if not group.startswith("part_g="):
+            continue
+        keys = []
+        for name in sorted(f for f in os.listdir(f"{out}/{group}") if f.endswith(".json")):
+            with open(f"{out}/{group}/{name}") as lines:
+                keys += [json.loads(line).get("k") for line in lines]
+        order = [(k is not None, k) for k in keys]
+        assert order == sorted(order, key=lambda o: (o[0], o[1] or 0))
+    assert read_json(spark, out, glob="*.json").count() == n
+
+
+def test_one_order_key_with_very_many_rows_is_several_files(spark, tmp_path, small_partitions):
+    out = str(tmp_path / "tied")
+    df = spark.range(0, 40_000, 1, 8).select(F.lit("g").alias("g"), F.lit(7).alias("k"), "id")
+    export_split_json(df, out, ["g"], order_by=["k"])
+    assert len([f for f in os.listdir(f"{out}/part_g=g") if f.endswith(".json")]) > 1

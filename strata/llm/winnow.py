@@ -25,7 +25,7 @@ other by a hash of their texts, and rows that are equal in both are next to each
 other. Only ids and hashes are sorted as a whole. Their order is cut into at
 most 65,536 chunks, whose first keys are all that reaches the driver; a text is
 shuffled once, to its chunk, and the first of each chunk to the one before it
-too. Chunks are bounded in rows, except that equal rows (id and text) share one.
+too, with the positions of its fingerprint; the hashes are made again from them. Chunks are bounded in rows, except that equal rows (id and text) share one.
 Columns besides doc_id and text are not read. An empty table gives no rows; a
 single document is its own next.
 """
@@ -76,24 +76,49 @@ def gram_hashes(text: Column) -> Column:
     )
 
 
-def _chosen(text: Column, offset: Column) -> Column:
+def _blocks(text: Column) -> Column:
+    """``BLOCK`` window starts each, with the rest of their last window."""
+    windows = F.greatest(F.length(text) - (SPAN - 1), F.lit(1))
+    cut = f"(?s)(?=(.{{1,{BLOCK + SPAN - 1}}})).{{1,{BLOCK}}}"
+    return F.slice(F.regexp_extract_all(text, F.lit(cut), F.lit(1)), 1, F.ceil(windows / BLOCK).cast("int"))
+
+
+def _chosen(block: Column) -> Column:
     """Chosen numbers of a block: the hash in the upper bits, less the position."""
 
     def choose(hashes: Column) -> Column:
-        marked = F.transform(hashes, lambda h, i: h - (i + offset))
-        smallest = _doubled(marked, WINDOW, F.least)
+        smallest = _doubled(F.transform(hashes, lambda h, i: h - i), WINDOW, F.least)
         return F.array_distinct(F.slice(smallest, 1, F.greatest(F.size(hashes) - (WINDOW - 1), F.lit(1))))
 
-    return _let(gram_hashes(text), choose)
+    return _let(gram_hashes(block), choose)
+
+
+def chosen_offsets(text: Column) -> Column:
+    """Where the chosen runs of each block start, in two bytes each: with the
+    text all there is to a fingerprint, and small enough to be shuffled."""
+    return F.transform(
+        _blocks(text), lambda b: F.transform(_chosen(b), lambda v: position_of(v).cast("smallint"))
+    )
+
+
+def from_offsets(text: Column, offsets: Column) -> Column:
+    """Chosen (hash, position) numbers, by position."""
+
+    def numbers(block: Column, i: Column) -> Column:
+        def number(at: Column) -> Column:
+            run = F.substring(block, at.cast("int") + 1, F.lit(GRAM))
+            return F.xxhash64(run).bitwiseAND(F.lit(HASH_BITS)) - (at + i.cast("long") * BLOCK)
+
+        return F.transform(offsets[i], number)
+
+    return F.array_distinct(F.flatten(F.transform(_blocks(text), numbers)))
 
 
 def fingerprint(text: Column) -> Column:
     """Chosen (hash, position) numbers of a text that is not null, by position."""
-    windows = F.greatest(F.length(text) - (SPAN - 1), F.lit(1))
-    cut = f"(?s)(?=(.{{1,{BLOCK + SPAN - 1}}})).{{1,{BLOCK}}}"
-    blocks = F.regexp_extract_all(text, F.lit(cut), F.lit(1))
-    blocks = F.slice(blocks, 1, F.ceil(windows / BLOCK).cast("int"))
-    return F.array_distinct(F.flatten(F.transform(blocks, lambda b, i: _chosen(b, i.cast("long") * BLOCK))))
+    return F.array_distinct(
+        F.flatten(F.transform(_blocks(text), lambda b, i: F.transform(_chosen(b), lambda v: v - i.cast("long") * BLOCK)))
+    )
 
 
 def hash_of(value: Column) -> Column:
@@ -160,7 +185,7 @@ def _chunk(key: Column, firsts: list[str]) -> tuple[Column, Column]:
 
 
 def _beside_next(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """(doc_id, text, chosen, next: struct of the same) of every row."""
+    """(doc_id, text, offsets, next: struct of the same) of every row."""
     base = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     base = base.withColumn("key", _order(F.col("doc_id"), F.col("text")))
     keys = numbered(spark, materialize(spark, base.select("key"), "winnow-keys"), ["key"], "winnow-order")
@@ -169,14 +194,14 @@ def _beside_next(spark: SparkSession, docs: DataFrame) -> DataFrame:
     if not firsts:
         firsts = [""]
     chunk, first = _chunk(F.col("key"), firsts)
-    base = base.withColumn("chunk", chunk).withColumn("first", first).withColumn("chosen", fingerprint(F.col("text")))
+    base = base.withColumn("chunk", chunk).withColumn("first", first).withColumn("offsets", chosen_offsets(F.col("text")))
     own = F.struct(F.col("chunk"), F.lit(False).alias("lent"))
     before = F.struct(F.pmod(F.col("chunk") - 1, F.lit(len(firsts))).alias("chunk"), F.lit(True).alias("lent"))
     dealt = base.withColumn("to", F.explode(F.when(F.col("first"), F.array(own, before)).otherwise(F.array(own))))
-    dealt = dealt.select("to.chunk", "to.lent", "key", "doc_id", "text", "chosen")
+    dealt = dealt.select("to.chunk", "to.lent", "key", "doc_id", "text", "offsets")
     order = Window.partitionBy("chunk").orderBy("lent", "key")
-    beside = dealt.withColumn("next", F.lead(F.struct("doc_id", "text", "chosen")).over(order))
-    return beside.where(~F.col("lent")).select("doc_id", "text", "chosen", "next")
+    beside = dealt.withColumn("next", F.lead(F.struct("doc_id", "text", "offsets")).over(order))
+    return beside.where(~F.col("lent")).select("doc_id", "text", "offsets", "next")
 
 
 def edited_likeness(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -189,13 +214,13 @@ def edited_likeness(spark: SparkSession, docs: DataFrame) -> DataFrame:
     rows = rows.select(
         "doc_id",
         "text",
-        F.col("chosen").alias("own"),
+        from_offsets(F.col("text"), F.col("offsets")).alias("own"),
         n.cast("long").alias("n_chars"),
         (n - half).alias("kept"),
         F.least(half, F.length("next.text")).alias("added"),
         F.col("next.doc_id").alias("next_id"),
         F.col("next.text").alias("next_text"),
-        F.col("next.chosen").alias("next"),
+        from_offsets(F.col("next.text"), F.col("next.offsets")).alias("next"),
     )
     edited = F.concat(F.left("text", F.col("kept")), F.left("next_text", F.col("added")))
     rows = rows.select(

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from strata.functions.columns import with_ingest_timestamp
 from strata.operators.partitioning import round_robin
-from strata.sources.json import read_json
+from strata.sources.json import CORRUPT_COLUMN, inferred, read_json, text_reader, unread_files
 from strata.table.log import Commit
-from strata.table.versioned import check_write, read_table, write_table
+from strata.table.schema import holds
+from strata.table.versioned import check_write, read_table, table_commit, table_version, write_table
 
 
 @dataclass
@@ -24,6 +26,9 @@ class IngestResult:
     path: str
     format: str = "parquet"
     spark: SparkSession | None = None
+    skipped_files: DataFrame | None = None
+    """(path, length) of files of which no row was read, where
+    ``ignore_corrupt_files`` allows that (lazy; lists and scans the input again)."""
 
     @property
     def rows_written(self) -> int | None:
@@ -66,31 +71,81 @@ def ingest_json(
     column stamped with the write time. What the mode and the flags decide by
     themselves is decided before the input is touched. A file that cannot be
     read fails the ingest and leaves no version; ``ignore_corrupt_files`` opts
-    out of that.
+    out of that, and ``IngestResult.skipped_files`` lists what it skipped.
+
+    An append of JSON Lines without ``schema`` takes the table's columns and
+    reads the input once: the pass that writes also observes the merged schema of
+    what it read. Only if that has a column the table lacks, a wider type, or a
+    bad line are the written rows removed and the schema inferred as for a new table.
     """
     if not check_write(spark, output_dir, mode=mode, overwrite_schema=overwrite_schema, format=format):
         return IngestResult(source=None, commit=None, path=output_dir, format=format, spark=spark)
-    df = read_json(
+    look = {"recursive": recursive, "glob": glob}
+    options = {
+        "mode": mode,
+        "partition_by": partition_by or None,
+        "merge_schema": merge_schema,
+        "overwrite_schema": overwrite_schema,
+        "rebalance": rebalance and not repartition,
+        "format": format,
+    }
+
+    def prepared(df: DataFrame) -> DataFrame:
+        return round_robin(with_ingest_timestamp(df, ingest_timestamp) if ingest_timestamp else df, repartition)
+
+    if schema is None and not multiline and mode.lower() == "append" and format == "parquet":
+        if table_version(spark, output_dir) is not None:
+            known = [f for f in table_commit(spark, output_dir).schema.fields if f.name != ingest_timestamp]
+            lines, observed = _as_known(spark, input_dir, StructType(known), ignore_corrupt_files, **look)
+            df = prepared(lines)
+            commit = write_table(df, output_dir, accept=lambda: _fits(observed, StructType(known)), **options)
+            if commit is not None:
+                return _result(spark, input_dir, output_dir, df, commit, format, ignore_corrupt_files, StructType(known), look)
+    rows = read_json(
         spark,
         input_dir,
-        recursive=recursive,
         multiline=multiline,
         schema=schema,
-        glob=glob,
         ignore_corrupt_files=ignore_corrupt_files,
         check_multiline=check_multiline,
+        **look,
     )
-    if ingest_timestamp:
-        df = with_ingest_timestamp(df, ingest_timestamp)
-    df = round_robin(df, repartition)
-    commit = write_table(
-        df,
-        output_dir,
-        mode=mode,
-        partition_by=partition_by or None,
-        merge_schema=merge_schema,
-        overwrite_schema=overwrite_schema,
-        rebalance=rebalance and not repartition,
-        format=format,
+    df = prepared(rows)
+    commit = write_table(df, output_dir, **options)
+    return _result(spark, input_dir, output_dir, df, commit, format, ignore_corrupt_files, rows, look)
+
+
+def _result(spark, input_dir, output_dir, df, commit, format, ignore_corrupt_files, rows, look) -> IngestResult:
+    skipped = None
+    if ignore_corrupt_files:
+        if isinstance(rows, StructType):
+            rows = read_json(spark, input_dir, schema=rows, ignore_corrupt_files=True, **look)
+        skipped = unread_files(spark, input_dir, rows, **look)
+    return IngestResult(df, commit, output_dir, format, spark, skipped)
+
+
+def _as_known(
+    spark: SparkSession, path: str, known: StructType, ignore_corrupt_files: bool, **look
+) -> tuple[DataFrame, Observation]:
+    """JSON Lines as rows of known columns, and what their own schema is once they are read."""
+    lines = text_reader(spark, ignore_corrupt_files=ignore_corrupt_files, **look).load(path).where(F.trim("value") != "")
+    observed = Observation()
+    value = F.try_parse_json("value")
+    lines = lines.observe(
+        observed, F.schema_of_variant_agg(value).alias("seen"), F.count_if(value.isNull()).alias("bad")
     )
-    return IngestResult(source=df, commit=commit, path=output_dir, format=format, spark=spark)
+    corrupt = CORRUPT_COLUMN if CORRUPT_COLUMN not in known.names else "strata_corrupt"
+    parsed = StructType([*known.fields, StructField(corrupt, StringType())])
+    rows = lines.select(F.from_json("value", parsed, {"columnNameOfCorruptRecord": corrupt}).alias("row"))
+    return rows.select(*[F.col("row").getField(name).alias(name) for name in known.names]), observed
+
+
+def _fits(observed: Observation, known: StructType) -> bool:
+    """Whether all lines were records of known columns. What was not observed does not fit."""
+    try:
+        found = observed.get
+    except Exception:  # the plan was folded away
+        return False
+    seen = found.get("seen") or ""
+    given = inferred(seen) if seen.startswith("OBJECT<") and not found.get("bad") else None
+    return given is not None and holds(known, given)

@@ -27,7 +27,7 @@ from strata.operators.partitioning import coalesce_to, global_sort, round_robin
 from strata.session import scratch_path
 from strata.sinks.files import export_split_json, write_json, write_parquet
 from strata.sources.files import read_parquet
-from strata.sources.json import read_json
+from strata.sources.json import read_json, unread_files
 from strata.table import (
     TableExistsError,
     VersionedTable,
@@ -335,13 +335,15 @@ def q31_bad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q32_skip_unreadable_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as JSON next to a file that claims gzip but is not: the
-    unreadable file is skipped, every order is read."""
+    """Orders as JSON next to a file that claims gzip but is not: every order is
+    read, and the unreadable file is listed as skipped."""
     root = scratch_path(spark, "q32")
     write_json(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"), f"{root}/good")
     HadoopFS(spark, root).write_text("bad/part-broken.json.gz", "this is not gzip data")
     lines = read_json(spark, root, recursive=True, ignore_corrupt_files=True)
-    return lines.select("o_orderkey", "o_orderstatus")
+    name = F.regexp_extract("path", "[^/]+$", 0).alias("skipped")
+    skipped = unread_files(spark, root, lines).select(name, F.col("length").alias("n_bytes"))
+    return lines.select("o_orderkey", "o_orderstatus").unionByName(skipped, allowMissingColumns=True)
 
 
 def q33_widen_type(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -357,6 +359,19 @@ def q33_widen_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     return before.unionByName(now)
 
 
+def q35_append_known_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON landed in two batches; the second has the table's columns, so it is
+    read once."""
+    src, dst = scratch_path(spark, "q35-json"), scratch_path(spark, "q35-table")
+    orders = orders_by_month(spark, sf_dir).select("o_orderkey", "o_totalprice", "year", "month")
+    late = F.coalesce(F.col("year") >= 1996, F.lit(False))
+    write_json(orders.where(~late), f"{src}/first")
+    write_json(orders.where(late), f"{src}/second")
+    ingest_json(spark, f"{src}/first", dst, partition_by=["year", "month"])
+    ingest_json(spark, f"{src}/second", dst, partition_by=["year", "month"], mode="append")
+    return read_table(spark, dst).select("o_orderkey", "o_totalprice", "year", "month")
+
+
 def q34_export_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders exported by month in order of date; each row with its place in
     its month over all files of it."""
@@ -412,6 +427,7 @@ QUERIES: dict[str, Query] = {
     "q32_skip_unreadable_files": q32_skip_unreadable_files,
     "q33_widen_type": q33_widen_type,
     "q34_export_order": q34_export_order,
+    "q35_append_known_columns": q35_append_known_columns,
 }
 
 _B = (
@@ -472,13 +488,17 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT id FROM (SELECT o_orderkey::BIGINT + 5 AS id FROM orders) r WHERE id % 2 = 1"
     ),
     "q30_distinct_guard": f"SELECT DISTINCT year FROM {_B} b",
-    "q32_skip_unreadable_files": "SELECT o_orderkey, o_orderstatus FROM orders",
+    "q32_skip_unreadable_files": (
+        "SELECT o_orderkey, o_orderstatus, NULL::VARCHAR AS skipped, NULL::BIGINT AS n_bytes FROM orders "
+        "UNION ALL SELECT NULL, NULL, 'part-broken.json.gz', 21"
+    ),
     "q33_widen_type": (
         "WITH whole AS (SELECT o_orderkey, floor(o_totalprice::DOUBLE) AS price FROM orders), "
         "prices AS (SELECT * FROM whole UNION ALL SELECT o_orderkey, o_totalprice::DOUBLE AS price FROM orders) "
         "SELECT 0 AS version, o_orderkey, price FROM whole UNION ALL SELECT 2 AS version, o_orderkey, "
         "CASE WHEN o_orderkey % 7 = 0 AND price = floor(price) THEN price + 0.5 ELSE price END AS price FROM prices"
     ),
+    "q35_append_known_columns": f"SELECT o_orderkey, o_totalprice, year, month FROM {_B} b",
     "q34_export_order": (
         "SELECT o_orderkey, year, month, row_number() OVER (PARTITION BY year, month "
         f"ORDER BY o_orderdate NULLS FIRST, o_orderkey) AS place FROM {_B} b"

@@ -8,6 +8,7 @@ from strata.sources.json import (
     json_lines_files,
     read_json,
     split_corrupt,
+    unread_files,
 )
 
 __all__ = [
@@ -20,4 +21,5 @@ __all__ = [
     "read_parquet",
     "rows",
     "split_corrupt",
+    "unread_files",
 ]

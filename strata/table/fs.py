@@ -19,10 +19,9 @@ class HadoopFS:
     def path(self, relative: str):
         return self._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{relative}")
 
-    def relative(self, uri: str) -> str:
-        """Path under the root of an encoded URI, as Spark reports files."""
-        decoded = self._jvm.org.apache.hadoop.fs.Path(self._jvm.java.net.URI(uri)).toString()
-        return decoded.removeprefix(self.root + "/")
+    def remove(self, relative: str) -> None:
+        """Remove a directory this writer made and no version names."""
+        self._fs.delete(self.path(relative), True)
 
     def list_names(self, relative: str) -> list[str]:
         p = self.path(relative)

@@ -95,6 +95,23 @@ def align(df: DataFrame, stored: T.StructType, merge_schema: bool) -> tuple[Data
     return df.select(*columns), merged
 
 
+def holds(stored: T.StructType, given: T.StructType) -> bool:
+    """Whether a table takes such rows as they are: all columns known, by their
+    exact names, and no type wider."""
+
+    def same_names(a: T.DataType, b: T.DataType) -> bool:
+        if isinstance(a, T.StructType) and isinstance(b, T.StructType):
+            known = {f.name: f.dataType for f in b.fields}
+            return all(f.name in known and same_names(f.dataType, known[f.name]) for f in a.fields)
+        return not isinstance(a, T.ArrayType) or not isinstance(b, T.ArrayType) or same_names(a.elementType, b.elementType)
+
+    try:
+        _fit_fields(lambda name: F.lit(None), nullable(given), nullable(stored), False, "")
+    except SchemaMismatchError:
+        return False
+    return same_names(given, stored)
+
+
 def resolve_partitions(schema: T.StructType, partition_by) -> list[str]:
     names = {f.name.lower(): f.name for f in schema.fields}
     unknown = [c for c in partition_by or [] if c.lower() not in names]

@@ -2,6 +2,8 @@ import json
 
 import pytest
 
+from pyspark.sql.types import StructType
+
 from conftest import write_lines
 from strata.functions import rename_columns
 from strata.job import main, parse_args
@@ -182,3 +184,93 @@ def test_ignore_on_an_existing_table_runs_no_job(spark, tmp_path, tmp_uri):
     ingest_json(spark, str(tmp_path / "missing"), out, mode="ignore")
     assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) == before
     spark.sparkContext.setJobGroup("", "")
+
+
+def _jobs(spark, run):
+    group = f"count-{id(run)}"
+    spark.sparkContext.setJobGroup(group, "")
+    try:
+        out = run()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return out, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def _append(spark, tmp_path, out, name, lines, **options):
+    write_lines(tmp_path / name / "part.json", [x if isinstance(x, str) else json.dumps(x) for x in lines])
+    return ingest_json(spark, str(tmp_path / name), out, mode="append", **options)
+
+
+def test_an_append_of_known_columns_reads_its_input_once(spark, tmp_path, tmp_uri):
+    out = tmp_uri("known")
+    _append(spark, tmp_path, out, "one", [{"a": 1, "x": 1.5, "s": "t", "o": {"n": 1}}, {"a": 2}])
+    result, jobs = _jobs(spark, lambda: _append(spark, tmp_path, out, "two", [{"o": {"n": 7}, "a": 3, "x": 2}, {"s": "u"}, " "]))
+    assert jobs == 1 and result.commit.version == 1 and result.commit.metrics["rows_written"] in (2, None)
+    got = sorted((r.a or 0, r.x, r.s, r.o and r.o.n) for r in result.table().collect())
+    assert got == [(0, None, "u", None), (1, 1.5, "t", 1), (2, None, None, None), (3, 2.0, None, 7)]
+
+
+@pytest.mark.parametrize(
+    "lines",
+    [
+        [{"a": 1, "new": 5}],  # a column more
+        [{"a": 1, "o": {"n": 1, "m": 2}}],  # within a struct
+        [{"a": 1.5}],  # a wider type
+        [{"A": 9}],  # other letter case: the same column
+        [[{"a": 5}, {"a": 6}]],  # rows in an array
+    ],
+)
+def test_an_append_that_does_not_fit_is_inferred(spark, tmp_path, tmp_uri, lines):
+    out = tmp_uri("unknown")
+    first = [{"a": 1, "x": 1.5, "s": "t", "o": {"n": 1}}]
+    commit = _append(spark, tmp_path, out, "one", first).commit
+    got = _append(spark, tmp_path, out, "two", lines, merge_schema=True)
+    assert got.commit.version == 1 and len(got.commit.parts) == 2
+    rows = [r.asDict(recursive=True) for r in got.table().collect()]
+    flat = [x for line in lines for x in (line if isinstance(line, list) else [line])]
+    assert len(rows) == 1 + len(flat)
+    for record in flat:
+        record = {k.lower(): v for k, v in record.items()}
+        assert any(all(row[k] == v for k, v in record.items()) for row in rows)
+    from strata.table.fs import HadoopFS
+
+    listed = HadoopFS(spark, out).list_names(commit.generation)
+    assert sorted(n for n in listed if "=" in n) == sorted(p.rsplit("/", 1)[1] for p in got.commit.parts)  # nothing is left over
+
+
+def test_bad_lines_and_unknown_columns_are_still_refused(spark, tmp_path, tmp_uri):
+    out = tmp_uri("refused")
+    _append(spark, tmp_path, out, "one", [{"a": 1}])
+    for i, lines in enumerate(([{"a": 2}, "{broken"], [{"a": 2, "new": 1}], [{"a": "text"}], [{"a": 2.5}])):
+        with pytest.raises(SchemaMismatchError):
+            _append(spark, tmp_path, out, f"bad{i}", lines)
+    assert table_commit(spark, out).version == 0
+    got = _append(spark, tmp_path, out, "merged", [{"a": 2}, "{broken"], merge_schema=True).table()
+    assert sorted((r.a or 0, r._corrupt_record) for r in got.collect()) == [(0, "{broken"), (1, None), (2, None)]
+    # the table has the column now
+    got = _append(spark, tmp_path, out, "again", [{"a": 3}, "{worse"]).table()
+    assert {r._corrupt_record for r in got.collect()} == {None, "{broken", "{worse"}
+
+
+def test_an_append_can_be_partitioned_stamped_and_dealt(spark, trip_dir, tmp_path, tmp_uri):
+    out = tmp_uri("stamped")
+    ingest_json(spark, str(trip_dir), out, partition_by=["year", "month"], ingest_timestamp="seen_at")
+    options = {"mode": "append", "ingest_timestamp": "seen_at", "repartition": 3}
+    schema = table_commit(spark, out).schema
+    given = StructType([f for f in schema.fields if f.name != "seen_at"])
+    _, least = _jobs(spark, lambda: ingest_json(spark, str(trip_dir), out, schema=given, **options))
+    result, jobs = _jobs(spark, lambda: ingest_json(spark, str(trip_dir), out, **options))
+    assert jobs == least and result.commit.version == 2  # no job to infer a schema
+    table = result.table()
+    assert table.count() == 60 and table.where("seen_at IS NULL").count() == 0
+    assert table.where("year = 2025 AND month = 6").count() == 33
+
+
+def test_skipped_files_of_an_ingest(spark, trip_dir, tmp_uri):
+    (trip_dir / "late.jsonl.gz").write_bytes(b"this is not gzip data")
+    for mode in ("overwrite", "append"):
+        result = ingest_json(spark, str(trip_dir), tmp_uri("skips"), mode=mode, ignore_corrupt_files=True)
+        assert [r.path.rsplit("/", 1)[1] for r in result.skipped_files.collect()] == ["late.jsonl.gz"]
+    assert result.table().count() == 40
+    (trip_dir / "late.jsonl.gz").unlink()
+    assert ingest_json(spark, str(trip_dir), tmp_uri("none")).skipped_files is None

@@ -8,12 +8,14 @@ from conftest import write_lines, write_records
 from strata.sources import (
     MultilineMismatchError,
     id_range,
+    unread_files,
     read_json,
     read_parquet,
     rows,
     split_corrupt,
 )
 from strata.sinks import write_parquet
+from strata.sources.json import inferred
 
 
 def test_two_row_json_and_alphabetical_columns(spark, tmp_path):
@@ -160,3 +162,62 @@ def test_multiline_reads_documents_with_whole_values_on_lines(spark, tmp_path):
     (tmp_path / "one").mkdir()
     (tmp_path / "one" / "row.json").write_text('\n{"a": 1}\n\n')
     assert read_json(spark, str(tmp_path / "one"), multiline=True).count() == 1
+
+
+def _jobs(spark, run):
+    """(result, number of Spark jobs it ran)."""
+    group = f"count-{id(run)}"
+    spark.sparkContext.setJobGroup(group, "")
+    try:
+        out = run()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return out, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_inferred_from_a_merged_schema():
+    seen = "OBJECT<`OBJECT<`: DECIMAL(3,1), `10.0`: DECIMAL(2,0), a: BIGINT, l: ARRAY<VOID>, o: OBJECT<n: VOID, t: BOOLEAN>>"
+    assert inferred(seen).simpleString() == "struct<OBJECT<:double,10.0:double,a:bigint,l:array<string>,o:struct<n:string,t:boolean>>"
+    assert inferred("ARRAY<OBJECT<a: DOUBLE>>").simpleString() == "struct<a:double>"
+    undecided = [None, "VOID", "VARIANT", "STRING", "ARRAY<BIGINT>", "OBJECT<>", "OBJECT<a: VARIANT>", "OBJECT<a: DECIMAL(30,0)>"]
+    assert [inferred(s) for s in [*undecided, "OBJECT<a: OBJECT<>>"]] == [None] * 9
+
+
+@pytest.mark.parametrize(
+    "docs",
+    [
+        [{"b": 1, "a": {"x": [1, 2.5]}, "s": "t"}, {"b": 2.5, "c": None, "s": "u"}],
+        [[{"k": 1}, {"k": 2, "flag": True}], [{"k": 3}]],
+        [{"k": 1}, [{"k": 2}]],  # shapes that the merged schema does not decide
+        [{"v": 1}, {"v": "text"}],
+        [{"v": {}}, {"v": {}, "w": 10**25}],
+    ],
+)
+def test_multiline_schema_is_sparks_own(spark, tmp_path, docs):
+    (tmp_path / "in").mkdir()
+    for i, doc in enumerate(docs):
+        (tmp_path / "in" / f"{i}.json").write_text(json.dumps(doc, indent=1))
+    own = read_json(spark, str(tmp_path / "in"), multiline=True, check_multiline=False)
+    got = read_json(spark, str(tmp_path / "in"), multiline=True)
+    assert got.schema == own.schema
+    assert sorted(map(str, got.collect())) == sorted(map(str, own.collect()))
+
+
+def test_multiline_documents_are_read_twice(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text(json.dumps([{"a": i} for i in range(5)], indent=1))
+    df, jobs = _jobs(spark, lambda: read_json(spark, str(tmp_path / "in"), multiline=True))
+    assert jobs <= 4  # sizes from the listing, and one pass; an aggregate is up to two jobs
+    rows, more = _jobs(spark, df.collect)
+    assert len(rows) == 5 and more == 1
+
+
+def test_skipped_files_are_listed(spark, tmp_path):
+    write_records(tmp_path / "in" / "a b.json", [{"a": 1}])
+    write_records(tmp_path / "in" / "sub" / "c.json", [{"a": 2}])
+    (tmp_path / "in" / "empty.json").write_text("")
+    (tmp_path / "in" / "broken.json.gz").write_bytes(b"this is not gzip data")
+    df = read_json(spark, str(tmp_path / "in"), ignore_corrupt_files=True)
+    skipped = unread_files(spark, str(tmp_path / "in"), df).collect()
+    assert [(r.path.rsplit("/", 1)[1], r.length) for r in skipped] == [("broken.json.gz", 21)]
+    assert unread_files(spark, str(tmp_path / "in"), df, glob="*.json").count() == 0

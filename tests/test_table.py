@@ -565,3 +565,23 @@ def test_widening_twice_and_columns_added_between(spark, tmp_uri):
     assert [tuple(r) for r in read_table(spark, part).collect()] == [(2, 2)]
     with pytest.raises(SchemaMismatchError, match="partition column"):
         write_table(spark.createDataFrame([(2, 2.5)], "k int, p double"), part, mode="append", merge_schema=True)
+
+
+def test_tables_on_a_file_system_that_is_not_local(spark, tmp_path):
+    """A mount table: its paths have another scheme, and no local path reaches them."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.lake.link./tables", f"file://{tmp_path}")
+    path = "viewfs://lake/tables/trips"
+    write_table(spark.range(40).select("id", (F.col("id") % 4).alias("p")), path, partition_by=["p"], mode="errorifexists")
+    write_table(spark.range(40, 44).select("id", F.lit(9).cast("long").alias("p")), path, mode="append")
+    with pytest.raises(TableExistsError):
+        write_table(spark.range(1), path, mode="errorifexists")
+    handle = VersionedTable.for_path(spark, path)
+    handle.update("p = 1 AND id > 20", {"id": "id + 1000"})
+    handle.delete("p = 2")
+    handle.delete("id % 2 = 0 AND p = 0")
+    want = [i + 1000 if i > 20 else i for i in range(1, 40, 4)] + [i for i in range(40) if i % 4 == 3] + list(range(40, 44))
+    assert ids(handle.to_df()) == sorted(want) and handle.version() == 4
+    assert handle.to_df(0).count() == 40
+    fs = HadoopFS(spark, path)
+    assert not fs.create_exclusive(commit_name(0), "{}") and fs.root == path

@@ -19,7 +19,9 @@ over the documents without a shuffle; neither side is ever collected whole.
 
 Defined cases: null and empty texts match nothing; an item of fewer than
 ``SHORT`` bytes after normalisation says too little, so it matches only the
-documents that equal it; repeated items count once; a repeated document gets
+documents that equal it; a very long text is searched in parts that overlap by
+an item and its edits; of several places the least distance counts; repeated
+items count once; a repeated document gets
 its rows again; null ids stay null; empty tables give no rows; other columns
 are ignored (``clean`` keeps them).
 """
@@ -40,12 +42,15 @@ RATE = 0.08
 #: The share of edits that the query and the pipeline look for: one inserted
 #: word of seven letters in an item of 54 bytes, three in one of 160.
 REWORDED = 0.15
-HITS, GRAMS = 3, (3, 4, 5)
+HITS, GRAMS = 3, (5, 4, 3)  # strings of five reject most, so they come first
 SHORT = 24
 #: Bytes of benchmark text in a block, and so in a task's tables.
 BLOCK_BYTES = 4_000_000
-#: Texts that are normalised and searched at once.
-STEP_ROWS = 256
+#: Texts that are normalised and searched at once: rows, and bytes of their text
+#: (a longer one is searched in parts of as many that overlap by an item).
+STEP_ROWS, STEP_BYTES = 256, 1 << 20
+#: Piece hits in memory at once.
+STEP_HITS = 1 << 20
 MATCHES = "doc_id long, item_id long, distance int, budget int, item_bytes int"
 
 _FILTER_BITS = 20
@@ -63,8 +68,8 @@ def normalized(column: pa.Array) -> tuple[bytes, np.ndarray]:
     blank = data == 32
     keep = np.ones(len(data), bool)
     keep[1:] = ~(blank[1:] & blank[:-1])
-    kept = np.concatenate([[0], np.cumsum(keep)])
-    return data[keep].tobytes(), kept[offsets]
+    kept = [np.count_nonzero(keep[a:b]) for a, b in zip(offsets, offsets[1:], strict=False)]
+    return data[keep].tobytes(), np.concatenate([[0], np.cumsum(kept, dtype=np.int64)])
 
 
 def myers(pattern_masks: dict[int, int], m: int, text: bytes) -> int:
@@ -97,8 +102,29 @@ def _words(data: bytes, width: int) -> np.ndarray:
     return out & np.uint64(2 ** (8 * width) - 1)
 
 
-def _grams(data: bytes, width: int) -> np.ndarray:
-    return (_words(data, width) * _SPREAD >> np.uint64(48)).astype(np.uint16)
+def _grams(words: np.ndarray, width: int) -> np.ndarray:
+    """Two bytes for the first ``width`` of each eight."""
+    return ((words & np.uint64(2 ** (8 * width) - 1)) * _SPREAD >> np.uint64(48)).astype(np.uint16)
+
+
+class _Width:
+    """Pieces of one length (eight bytes: that or longer), by their first bytes."""
+
+    def __init__(self, width: int, first: np.ndarray, piece: np.ndarray):
+        self.mask = np.uint64(2 ** (8 * width) - 1)
+        by = np.argsort(first, kind="stable")
+        self.piece = piece[by]
+        self.keys, self.first_of, self.count = np.unique(first[by], return_index=True, return_counts=True)
+        self.filter = np.zeros(1 << _FILTER_BITS, bool)
+        self.filter[self.keys * _SPREAD >> np.uint64(64 - _FILTER_BITS)] = True
+
+    def found(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(position, first of the pieces there, how many)."""
+        keys = words & self.mask
+        at = np.flatnonzero(self.filter[keys * _SPREAD >> np.uint64(64 - _FILTER_BITS)])
+        key = np.minimum(np.searchsorted(self.keys, keys[at]), len(self.keys) - 1)
+        there = self.keys[key] == keys[at]
+        return at[there], self.first_of[key[there]], self.count[key[there]]
 
 
 class ShortPieces:
@@ -106,39 +132,50 @@ class ShortPieces:
 
     def __init__(self, pieces: list[tuple[int, int, int, bytes]], texts: list[bytes], budgets: list[int]):
         sizes = np.array([min(8, len(p[3])) for p in pieces])
-        self.width = int(sizes.min())
         first = np.array([p[0] for p in pieces], np.uint64)
-        by = np.argsort(first & np.uint64(2 ** (8 * self.width) - 1), kind="stable")
-        self.first = first[by]
-        self.keys = self.first & np.uint64(2 ** (8 * self.width) - 1)
-        self.mask = np.array([2 ** (8 * int(n)) - 1 for n in sizes[by]], np.uint64)
-        self.item = np.array([p[1] for p in pieces])[by]
-        self.start = np.array([p[2] for p in pieces])[by]
-        self.keys, self.first_of, self.count = np.unique(self.keys, return_index=True, return_counts=True)
-        self.filter = np.zeros(1 << _FILTER_BITS, bool)
-        self.filter[self.keys * _SPREAD >> np.uint64(64 - _FILTER_BITS)] = True
+        self.item = np.array([p[1] for p in pieces])
+        self.start = np.array([p[2] for p in pieces])
+        self.widths = [_Width(int(w), first[sizes == w], np.flatnonzero(sizes == w)) for w in np.unique(sizes)]
         self.sizes, self.budgets = np.array([len(t) for t in texts]), np.array(budgets)
+        self.reach = int((self.sizes + 2 * self.budgets).max())
         self.least = [(self.sizes - g + 1 - g * self.budgets).tolist() for g in GRAMS]
-        self.grams = [[_grams(t, g)[: max(0, len(t) - g + 1)] for t in texts] for g in GRAMS]
+        self.grams = [[_grams(_words(t, 8), g)[: max(0, len(t) - g + 1)] for t in texts] for g in GRAMS]
         self.table = np.zeros(1 << 16, bool)
 
     def stretches(self, data: bytes, offsets: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
-        """(row, item, from, to) of what may hold an item."""
+        """(row, item, from, to) of what may hold an item. A stretch may come
+        twice where hits are taken in several steps."""
         words = _words(data, 8)
-        keys = words & np.uint64(2 ** (8 * self.width) - 1)
-        at = np.flatnonzero(self.filter[keys * _SPREAD >> np.uint64(64 - _FILTER_BITS)])
-        key = np.minimum(np.searchsorted(self.keys, keys[at]), len(self.keys) - 1)
-        there = self.keys[key] == keys[at]
-        at, a, n = at[there], self.first_of[key[there]], self.count[key[there]]
-        piece = np.repeat(a - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        at = np.repeat(at, n)
-        right = words[at] & self.mask[piece] == self.first[piece]
-        at, piece = at[right], piece[right]
+        for at, piece in self._hits(words):
+            yield from self._enough(words, offsets, at, piece)
+
+    def _hits(self, words: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(position, piece) of all hits, about ``STEP_HITS`` at once; the hits of
+        any stretch as long as an item and its edits are in one step."""
+        found = [w.found(words) for w in self.widths]
+        which = np.repeat(np.arange(len(found)), [len(f[0]) for f in found])
+        at, first, n = (np.concatenate([f[i] for f in found]) for i in range(3))
+        by = np.argsort(at, kind="stable")
+        which, at, first, n = which[by], at[by], first[by], n[by]
+        until = np.concatenate([[0], np.cumsum(n)])
+        a = 0
+        while a < len(at):
+            b = int(np.searchsorted(until, until[a] + STEP_HITS, "right")) - 1
+            b = max(b, int(np.searchsorted(at, at[a] + 2 * self.reach, "right")))
+            m, kind = n[a:b], which[a:b]
+            rank = np.repeat(first[a:b] - (np.cumsum(m) - m), m) + np.arange(m.sum())
+            kind, piece = np.repeat(kind, m), np.empty(len(rank), np.int64)
+            for k, width in enumerate(self.widths):
+                piece[kind == k] = width.piece[rank[kind == k]]
+            yield np.repeat(at[a:b], m), piece
+            a = len(at) if b >= len(at) else int(np.searchsorted(at, at[b] - self.reach))
+
+    def _enough(self, words: np.ndarray, offsets: np.ndarray, at: np.ndarray, piece: np.ndarray):
         row, item = np.searchsorted(offsets, at, side="right") - 1, self.item[piece]
         begin = at - self.start[piece]
         pair = row * len(self.sizes) + item
         most = int(self.sizes.max())
-        pair, begin = np.divmod(np.sort(pair * (len(data) + most) + begin + most), len(data) + most)
+        pair, begin = np.divmod(np.sort(pair * (len(words) + most) + begin + most), len(words) + most)
         begin -= most
         last = HITS - 1
         some = np.flatnonzero(
@@ -152,12 +189,12 @@ class ShortPieces:
         row, item = np.divmod(pair[first], len(self.sizes))
         low = np.maximum(offsets[row], low[first] - self.budgets[item])
         high = np.minimum(offsets[row + 1], high[final] + self.sizes[item] + self.budgets[item])
-        grams, table = [_grams(data, g) for g in GRAMS], self.table
+        every, table = _grams(words, GRAMS[0]), self.table
         for r, i, a, b in zip(row.tolist(), item.tolist(), low.tolist(), high.tolist(), strict=True):
-            for every, own, least in zip(grams, self.grams, self.least, strict=True):
-                here = every[a:b]
+            for k, g in enumerate(GRAMS):
+                here = every[a:b] if k == 0 else _grams(words[a:b], g)
                 table[here] = True
-                enough = np.count_nonzero(table[own[i]]) >= least[i]
+                enough = np.count_nonzero(table[self.grams[k][i]]) >= self.least[k][i]
                 table[here] = False
                 if not enough:
                     break
@@ -226,12 +263,27 @@ class PieceIndex:
 
     def search(self, column: pa.Array, step: int = STEP_ROWS) -> dict[tuple[int, int], int]:
         """(row, item) -> least distance, for all that are within the budget."""
-        best = {}
-        for at in range(0, len(column), step):
-            found = self.search_some(column.slice(at, step))
+        best, at = {}, 0
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False))
+        while at < len(column):
+            so_far = sizes[at - 1] if at else 0
+            end = max(at + 1, min(at + step, int(np.searchsorted(sizes, so_far + STEP_BYTES, "right"))))
+            found = self.search_some(column.slice(at, end - at))
             best.update({(at + row, item): distance for (row, item), distance in found.items()})
+            at = end
         return best
 
+    def parts(self, offsets: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """(start, offsets from there) of what is searched for short pieces at
+        once: all rows, or parts of a row by itself that is longer than a step."""
+        whole = int(offsets[-1])
+        if whole <= 2 * STEP_BYTES or len(offsets) > 2:
+            yield 0, offsets
+            return
+        size = max(STEP_BYTES, 4 * self.short.reach)
+        for a in range(0, whole, size):
+            yield a, np.array([0, min(whole - a, size + self.short.reach)])
+
     def search_some(self, column: pa.Array) -> dict[tuple[int, int], int]:
         data, offsets = normalized(column)
         best: dict[tuple[int, int], int] = {}
@@ -261,14 +313,15 @@ class PieceIndex:
             if distance <= min(budget, best.get((row, item), budget)):
                 best[row, item] = distance
         if self.short:
-            for row, item, low, high in self.short.stretches(data, offsets):
-                m, budget = len(self.texts[item]), self.budgets[item]
-                if best.get((row, item)) == 0:
-                    continue
-                part = data[low:high]
-                distance = 0 if self.texts[item] in part else myers(self.mask(item), m, part)
-                if distance <= min(budget, best.get((row, item), budget)):
-                    best[row, item] = distance
+            for a, places in self.parts(offsets):
+                for row, item, low, high in self.short.stretches(data[a : a + int(places[-1])], places):
+                    m, budget = len(self.texts[item]), self.budgets[item]
+                    if best.get((row, item)) == 0:
+                        continue
+                    part = data[a + low : a + high]
+                    distance = 0 if self.texts[item] in part else myers(self.mask(item), m, part)
+                    if distance <= min(budget, best.get((row, item), budget)):
+                        best[row, item] = distance
         return best
 
 

@@ -3,10 +3,14 @@
 Four base patterns (email, ip, card, phone) with their checks always count.
 Beside them, generators of high recall propose spans that may overlap: spelled
 out or spaced addresses, octets with commas, digit groups with other
-separators, numbers without a country code. Boosted trees score a proposal by
-its format and the words before it. They are fitted on all proposals of all
-documents: a proposal that a base span of its kind overlaps is a positive. The
-features leave out what the base patterns insist on (the at sign, the plus), so
+separators, numbers without a country code in any national grouping. Boosted
+trees score a proposal by its format and the words before it. They are fitted on
+proposals of all documents: one that a base span of its kind overlaps is a
+positive; a decoy is a negative, which is one that fails a check of its kind
+(Luhn, octets, the number of digits, a domain of letters), stands in a date or a
+span of another kind, or behind words such as "order" or "isbn". The others are
+neither, however many there are, so a source full of unconfirmed data does not
+turn the trees against it. Decoys are never accepted. The features leave out what the base patterns insist on (the at sign, the plus), so
 proposals that look like the confirmed ones in everything else score alike.
 Features are yes or no, so Spark counts proposals by feature pattern, at most
 ``2 ** len(FEATURES)`` rows whatever the input, and the trees are fitted on
@@ -49,7 +53,8 @@ PROPOSED = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?(?:@|\(at\)|\[at\]) ?[A-Za-z0-9-]++(?:(?:\.| ?(?:\(dot\)|\[dot\]) ?)[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9.,])[0-9]{1,3}(?:[.,] ?[0-9]{1,3}){3}(?![0-9])",
     "card": r"(?<![0-9])[0-9](?:[ ._-]?[0-9]){12,18}(?![0-9])",
-    "phone": r"(?<![0-9])(?:(?:\+|00)[0-9]{1,3}[ .-]?)?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-][0-9]{4}(?![0-9])",
+    "phone": r"(?<![0-9])(?:(?:\+|00)[0-9]{1,3}[ .-]?)?"
+    r"(?:\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-][0-9]{4}|(?:\([0-9]{1,5}\)[ ./-]?|[0-9]{2,5}[ ./-])[0-9]{2,8}(?:[ ./-][0-9]{2,8}){1,3})(?![0-9])",
 }
 #: What a text must hold for a pattern of the kind to be tried.
 NEEDED = {"email": r"@|\(at\)|\[at\]", "ip": "[0-9]", "card": "[0-9]", "phone": "[0-9]"}
@@ -90,6 +95,17 @@ CHECKS: dict[str, Callable[[Column], Column]] = {
     "phone": lambda m: _digit_count(m, 10, 15),
 }
 
+_NAMED = r"(?i)\b(?:order|invoice|ref|isbn|issn|version|build|sku|item|page|tracking|serial|article)\b(?:[^A-Za-z0-9]*(?:no|nr|number|id|code)\b)?[^A-Za-z0-9]*$"
+_DATED = r"^(?:(?:19|20)[0-9]{2}[./ -][01]?[0-9][./ -]|[0-3]?[0-9][./-][01]?[0-9][./-](?:19|20)[0-9]{2})"
+
+#: What a proposal of the kind is not (its match, the text before it).
+DECOYS: dict[str, Callable[[Column, Column], Column]] = {
+    "email": lambda m, before: ~m.rlike("[A-Za-z]{2,}$"),
+    "ip": lambda m, before: ~octets(m, "[.,]"),
+    "card": lambda m, before: ~(_digit_count(m, 14, 19) & luhn(digits(m))),
+    "phone": lambda m, before: ~_digit_count(m, 10, 15) | before.rlike("[A-Za-z0-9.,]$") | m.rlike(_DATED),
+}
+
 #: Yes or no features of a proposal (its match, the text before it).
 FEATURES: dict[str, Callable[[Column, Column, str], Column]] = {
     "email": lambda m, before, kind: F.lit(kind == "email"),
@@ -152,8 +168,8 @@ def base_spans(text: Column) -> Column:
 
 
 def proposals(text: Column, base: str) -> Column:
-    """Array of (start, kind, end, code, known): the features as bits, and
-    whether a base span of the kind overlaps."""
+    """Array of (start, kind, end, code, known, decoy): the features as bits,
+    whether a base span of the kind overlaps, and whether it is a decoy."""
 
     def proposed(number: int, kind: str) -> Column:
         def described(s: Column) -> Column:
@@ -162,12 +178,15 @@ def proposals(text: Column, base: str) -> Column:
                 for i, feature in enumerate(FEATURES.values())
             ]
             overlaps = F.exists(F.col(base), lambda b: (b.kind == number) & (b.start < s.end) & (b.end > s.start))
+            taken = F.exists(F.col(base), lambda b: (b.kind != number) & (b.start < s.end) & (b.end > s.start))
+            decoy = DECOYS[kind](s.match, s.before) | s.before.rlike(_NAMED) | taken
             return F.struct(
                 s.start.alias("start"),
                 s.kind.alias("kind"),
                 s.end.alias("end"),
                 sum(bits, F.lit(0)).alias("code"),
                 overlaps.alias("known"),
+                decoy.alias("decoy"),
             )
 
         return F.transform(matches(text, kind, PROPOSED[kind]), described)
@@ -176,10 +195,17 @@ def proposals(text: Column, base: str) -> Column:
     return F.concat(*each)
 
 
-def spans_found(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``base_spans`` and ``proposals``."""
+def spans_found(docs: DataFrame, base: str = "base_spans", proposed: str = "proposals") -> DataFrame:
+    """``docs`` with two columns more, which must not be theirs."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.withColumn("base_spans", base_spans(text)).withColumn("proposals", proposals(text, "base_spans"))
+    return docs.withColumn(base, base_spans(text)).withColumn(proposed, proposals(text, base))
+
+
+def _unused(docs: DataFrame, name: str) -> str:
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
 
 
 @dataclass
@@ -257,10 +283,12 @@ def fit(
     return model
 
 
-def fit_trees(found: DataFrame, **how) -> Trees:
-    """Count the proposals of ``found`` by kind and feature pattern and fit."""
+def fit_trees(found: DataFrame, proposed: str = "proposals", **how) -> Trees:
+    """Count the confirmed proposals and the decoys of ``found`` by kind and
+    feature pattern and fit."""
     counts = (
-        found.select(F.explode("proposals").alias("p"))
+        found.select(F.explode(proposed).alias("p"))
+        .where("p.known OR p.decoy")
         .groupBy("p.kind", "p.code")
         .agg(F.count("*").alias("n"), F.sum(F.col("p.known").cast("long")).alias("known"))
         .orderBy("kind", "code")
@@ -269,11 +297,11 @@ def fit_trees(found: DataFrame, **how) -> Trees:
     return fit([tuple(r) for r in counts], **how)
 
 
-def all_spans(trees: Trees) -> Column:
+def all_spans(trees: Trees, base: str = "base_spans", proposed: str = "proposals") -> Column:
     """Base spans and the accepted proposals that no base span of their kind
     overlaps, each once, by start, then kind."""
-    added = F.filter("proposals", lambda s: ~s.known & trees.accepts(s.kind, s.code))
-    return F.array_sort(F.array_distinct(F.concat("base_spans", _plain(added))))
+    added = F.filter(proposed, lambda s: ~s.known & ~s.decoy & trees.accepts(s.kind, s.code))
+    return F.array_sort(F.array_distinct(F.concat(F.col(base), _plain(added))))
 
 
 def digest(spans: Column) -> Column:
@@ -302,12 +330,26 @@ def find(spark: SparkSession, docs: DataFrame, **how) -> DataFrame:
 
 def redact(docs: DataFrame, trees: Trees) -> DataFrame:
     """``docs`` with every span of a text replaced by its kind in brackets;
-    spans that overlap become one."""
+    spans that overlap become one. All columns stay as they are otherwise."""
+    base, proposed = _unused(docs, "base_spans"), _unused(docs, "proposals")
+    return _replaced(spans_found(docs, base, proposed), docs.columns, trees, base, proposed)
+
+
+def redacted(spark: SparkSession, docs: DataFrame, **how) -> DataFrame:
+    """``redact`` with trees fitted on the documents themselves; their spans are
+    looked for once and written beside them."""
+    base, proposed = _unused(docs, "base_spans"), _unused(docs, "proposals")
+    found = materialize(spark, spans_found(docs, base, proposed), "pii-found")
+    return _replaced(found, docs.columns, fit_trees(found, proposed, **how), base, proposed)
+
+
+def _replaced(found: DataFrame, columns: list[str], trees: Trees, base: str, proposed: str) -> DataFrame:
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-    found = spans_found(docs).withColumn("spans_", all_spans(trees))
+    spans = _unused(found, "spans")
+    found = found.withColumn(spans, all_spans(trees, base, proposed))
     text = F.col("text")
     done = F.aggregate(
-        "spans_",
+        spans,
         F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
         lambda acc, s: F.when(
             s.start >= acc.at,
@@ -318,5 +360,5 @@ def redact(docs: DataFrame, trees: Trees) -> DataFrame:
         ).otherwise(F.struct(F.greatest(s.end, acc.at).alias("at"), acc.out.alias("out"))),
         lambda acc: F.concat(acc.out, F.substring(text, acc.at + 1, F.length(text))),
     )
-    replaced = F.when(F.size("spans_") > 0, done).otherwise(text)
-    return found.withColumn("text", replaced).select(*docs.columns)
+    replaced = F.when(F.size(spans) > 0, done).otherwise(text)
+    return found.withColumn("text", replaced).select(*["`" + c.replace("`", "``") + "`" for c in columns])

@@ -3,17 +3,20 @@
 Trusted positives (label 1) and unlabelled web text train a small network by
 the non-negative risk: ``prior * loss(positives as 1)`` plus the unlabelled
 texts' loss as 0, less the share of it that positives among them must have,
-which is kept from going below zero. Labels 0 are never used. The class prior
-is estimated first: of a plain positive-against-unlabelled scorer, the least
-ratio, over score thresholds, of the unlabelled share above to the positives'
-share above, each with its sampling error against it.
+which is kept from going below zero. Labels 0 are never used. The descent takes
+at most ``POSITIVES`` and ``UNLABELLED`` documents. The class prior is estimated
+first, from all documents: of a plain positive-against-unlabelled scorer, the
+least ratio, over score thresholds, of the share of all documents above to the
+positives' share above, each with its sampling error against it.
 
 Features are shares of byte classes, marks, repeated words and the like, of the
 whole text. Scores are shifted so that ``keep`` of the trusted positives reach
 ``LEAST``.
 
 Defined cases: null and empty texts have zero features and a score like any;
-training ignores null labels and ids; without positives every score is 0;
+training ignores null labels and ids, and takes the smallest text of rows that
+share an id; a text of any length is read whole, a batch of rows at a time;
+score ties mean equal features; without positives every score is 0;
 repeated rows are scored each; null ids stay null; an empty table gives an
 empty result; other columns are ignored.
 """
@@ -132,16 +135,32 @@ def _fresh(x: np.ndarray, rng: np.random.Generator) -> Scorer:
     return Scorer(x.mean(axis=0), x.std(axis=0) + 1e-3, weights)
 
 
-def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
-    """Share of positives among the unlabelled, from scores of both."""
-    cuts = np.quantile(positive, np.linspace(0.0, 0.8, 81))
+def prior_cuts(positive: np.ndarray) -> np.ndarray:
+    """Scores at which the shares above are compared."""
+    return np.quantile(positive, np.linspace(0.0, 0.8, 81))
+
+
+def estimate_prior(positive: np.ndarray, below: np.ndarray) -> float:
+    """Share of positives among the unlabelled, from the positives' scores and a
+    histogram of the others': how many are under the first of ``prior_cuts``,
+    from there to the second, and so on."""
+    cuts, n = prior_cuts(positive), int(below.sum())
     p = 1 - np.searchsorted(np.sort(positive), cuts) / len(positive)
-    u = 1 - np.searchsorted(np.sort(unlabelled), cuts) / len(unlabelled)
-    error = np.sqrt(u * (1 - u) / len(unlabelled)) + np.sqrt(p * (1 - p) / len(positive))
+    u = 1 - np.cumsum(below)[:-1] / n
+    error = np.sqrt(u * (1 - u) / n) + np.sqrt(p * (1 - p) / len(positive))
     return float(np.clip(((u + error) / np.maximum(p, 1e-6)).min(), 0.05, 0.98))
 
 
-def train(positive: np.ndarray, unlabelled: np.ndarray, *, keep: float = KEEP, seed: int = 10) -> Scorer:
+def counted(margins: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """How many are under the first cut, between it and the second, ..., from the last on."""
+    return np.bincount(np.searchsorted(cuts, margins, side="right"), minlength=len(cuts) + 1)
+
+
+def train(
+    positive: np.ndarray, unlabelled: np.ndarray, *, histogram=None, keep: float = KEEP, seed: int = 10
+) -> Scorer:
+    """``histogram(probe, cuts)`` counts the probe's scores of all documents
+    between cuts, for the class prior; without it ``unlabelled`` are all there are."""
     rng = np.random.default_rng(seed)
     both = np.vstack([positive, unlabelled])
 
@@ -159,7 +178,10 @@ def train(positive: np.ndarray, unlabelled: np.ndarray, *, keep: float = KEEP, s
 
     probe = _fresh(both, rng)
     _descend(probe, plain, STEPS // 2, rng)
-    prior = estimate_prior(probe.margin(positive), probe.margin(unlabelled))
+    known = probe.margin(positive)
+    cuts = prior_cuts(known)
+    below = histogram(probe, cuts) if histogram else counted(probe.margin(unlabelled), cuts)
+    prior = estimate_prior(known, below)
 
     def non_negative(model: Scorer, rng: np.random.Generator):
         p, u = batch(rng)
@@ -189,16 +211,30 @@ def fit(docs: DataFrame, labels: DataFrame, *, held_out: int = 2, folds: int = 4
     texts = docs.select(F.col("doc_id").cast("long"), "text")
     # POSITIVES ids at most: a size known beforehand.
     positive = map_features(texts.join(F.broadcast(chosen), "doc_id", "left_semi"))
-    others = texts.where("doc_id IS NOT NULL").select("doc_id", (-F.col("doc_id")).alias("other"))
-    others = first_by_hash(others, UNLABELLED, "other").select("doc_id")
-    unlabelled = map_features(texts.join(F.broadcast(others.distinct()), "doc_id", "left_semi"))
-    return train(positive, unlabelled) if len(positive) and len(unlabelled) else None
+    others = texts.where("doc_id IS NOT NULL").select("doc_id").distinct()
+    others = first_by_hash(others, UNLABELLED, F.lit("unlabelled"), "doc_id")
+    unlabelled = map_features(texts.join(F.broadcast(others), "doc_id", "left_semi"))
+
+    def histogram(probe: Scorer, cuts: np.ndarray) -> np.ndarray:
+        def run(batch: pa.RecordBatch) -> dict:
+            bins = counted(probe.margin(features(batch.column(0))), cuts)
+            return {"bin": np.arange(len(bins)), "n": bins}
+
+        every = map_rows(texts.select("text"), run, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n"))
+        out = np.zeros(len(cuts) + 1, np.int64)
+        for row in every.collect():
+            out[row.bin] = row.n
+        return out
+
+    return train(positive, unlabelled, histogram=histogram) if len(positive) and len(unlabelled) else None
 
 
 def map_features(texts: DataFrame) -> np.ndarray:
-    """Features only come to the driver: a few hundred bytes a row."""
+    """Features only come to the driver: a few hundred bytes an id. Of rows that
+    share an id the smallest text counts."""
+    one = texts.groupBy("doc_id").agg(F.min("text").alias("text"))
     rows = map_rows(
-        texts.select("doc_id", "text"),
+        one.select("doc_id", "text"),
         lambda batch: {"doc_id": batch.column(0), "x": list(features(batch.column(1)))},
         "doc_id long, x array<double>",
     )

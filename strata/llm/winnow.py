@@ -44,6 +44,7 @@ SPAN = GRAM + WINDOW - 1
 """Shortest passage that is sure to share a chosen hash."""
 ALL = 2**30  # more than an array holds here; larger lengths overflow in slice
 HASH_BITS = 0x7FFFFFFF00000000
+CELL = 256
 CHUNK_ROWS = 256
 FANOUT = 256
 
@@ -102,16 +103,19 @@ def chosen_offsets(text: Column) -> Column:
 
 
 def from_offsets(text: Column, offsets: Column) -> Column:
-    """Chosen (hash, position) numbers, by position."""
+    """Chosen (hash, position) numbers, by position. Runs are taken from short
+    cells of the text, since a part of a string is found by counting to it."""
+    cells = F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{1,{CELL + GRAM - 1}}})).{{1,{CELL}}}"), F.lit(1))
+    places = F.flatten(F.transform(offsets, lambda own, i: F.transform(own, lambda at: at.cast("int") + i * BLOCK)))
 
-    def numbers(block: Column, i: Column) -> Column:
+    def numbers(cell: Column) -> Column:
         def number(at: Column) -> Column:
-            run = F.substring(block, at.cast("int") + 1, F.lit(GRAM))
-            return F.xxhash64(run).bitwiseAND(F.lit(HASH_BITS)) - (at + i.cast("long") * BLOCK)
+            run = F.substring(F.get(cell, F.floor(at / CELL).cast("int")), at % CELL + 1, F.lit(GRAM))
+            return F.xxhash64(run).bitwiseAND(F.lit(HASH_BITS)) - at
 
-        return F.transform(offsets[i], number)
+        return F.transform(F.array_distinct(places), number)
 
-    return F.array_distinct(F.flatten(F.transform(_blocks(text), numbers)))
+    return _let(cells, numbers)
 
 
 def fingerprint(text: Column) -> Column:

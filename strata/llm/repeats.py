@@ -29,7 +29,9 @@ which combines before it shuffles, and joined back.
 Defined cases: null texts are empty; documents without an id neither remove nor
 lose anything; rows that repeat an id do not remove from each other (their id
 is not smaller) and lose the same; texts shorter than ``LENGTH`` stay; an empty
-table gives an empty result; other columns are ignored.
+table gives an empty result; other columns are ignored. A text of any length
+is read whole and is in memory in one piece; rows without an id are dealt by
+their texts.
 """
 
 from __future__ import annotations
@@ -277,6 +279,10 @@ def _texts(docs: DataFrame, parts: int) -> DataFrame:
             ids = batch.column(0).fill_null(0).to_numpy()
             data, offsets = text_bytes(batch.column(1))
             part = part_of(ids, parts)
+            lost = np.flatnonzero(~known)
+            if len(lost):  # they meet nothing, so any place will do, as long as it is not one for all
+                hashes = [_text_hash(data[offsets[i] : offsets[i + 1]].tobytes()) ^ int(i) for i in lost]
+                part[lost] = part_of(np.array(hashes, np.int64), parts)
             by = np.argsort(part, kind="stable")
             cuts = np.flatnonzero(np.concatenate([[True], np.diff(part[by]) != 0, [True]]))
             rows = []
@@ -573,12 +579,18 @@ def deduplicated(
 def cleaned(spark: SparkSession, docs: DataFrame, **bounds: int) -> DataFrame:
     """The rows of ``docs`` with what is left of each text, and ``spans``: start
     and size of what was removed from its UTF-8 bytes. Spans can begin or end
-    inside a character; the rest of such a one goes too. Null texts stay null."""
-    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
-    row = F.struct(F.col("text").isNull().alias("_none"), *others)
+    inside a character; the rest of such a one goes too. Null texts stay null.
+    Where the documents have a column ``spans``, the new one has underscores more."""
+    quoted = {c: "`" + c.replace("`", "``") + "`" for c in docs.columns}
+    taken, spans = {c.lower() for c in docs.columns}, "spans"
+    while spans in taken:
+        spans += "_"
+    others = F.struct(*[F.col(quoted[c]) for c in docs.columns if c != "text"])
+    row = F.struct(F.col("text").isNull().alias("none"), others.alias("row"))
     done = deduplicated(spark, docs, beside=row, **bounds)
-    text = F.when(~F.col("beside._none"), F.col("text")).alias("text")
-    return done.select(*(text if c == "text" else F.col(f"beside.`{c}`") for c in docs.columns), "spans")
+    text = F.when(~F.col("beside.none"), F.col("text")).alias("text")
+    kept = [text if c == "text" else F.col("beside.row").getField(c).alias(c) for c in docs.columns]
+    return done.select(*kept, F.col("spans").alias(spans))
 
 
 def removed(spark: SparkSession, docs: DataFrame, **bounds: int) -> DataFrame:

@@ -4,7 +4,8 @@ Suffixes are S or L as they are smaller or larger than the next one; an S
 suffix after an L is leftmost-smaller. Substrings between leftmost-smaller
 places are sorted by inducing, named, and sorted as a string of names, one name
 split into two digits where names are many, so that every level has few
-buckets. A last induction orders all suffixes. Inducing goes bucket by bucket:
+buckets; a string of fewer than ``INDUCED`` names ends the recursion and is
+sorted by doubling. A last induction orders all suffixes. Inducing goes bucket by bucket:
 what a bucket holds induces in one vector step, and again as long as it adds to
 itself, so time is linear with few steps.
 """
@@ -15,6 +16,9 @@ import numpy as np
 
 #: Names up to which a level is sorted as it is.
 FEW_NAMES = 512
+#: Length of a string of names from which on it is sorted by induction; steps of
+#: a shorter one would be too small to be worth a bucket each.
+INDUCED = 1 << 17
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
@@ -65,6 +69,8 @@ def _differ(t: np.ndarray, least: np.ndarray, order: np.ndarray) -> np.ndarray:
 def _by_names(names: np.ndarray) -> np.ndarray:
     """Order of the suffixes of a string of names that ends with its only 0."""
     most = int(names.max()) + 1
+    if len(names) < INDUCED:
+        return _by_doubling(names)
     if most <= FEW_NAMES:
         return _sorted(names)
     base = int(np.ceil(np.sqrt(most)))
@@ -75,6 +81,22 @@ def _by_names(names: np.ndarray) -> np.ndarray:
     return np.concatenate([np.array([len(names) - 1], np.int32), order[order & 1 == 0] >> 1])
 
 
+def _by_doubling(names: np.ndarray) -> np.ndarray:
+    """The same order, by ranks of 1, 2, 4, ... names until all differ."""
+    n, width = len(names), 1
+    rank = names.astype(np.int64)
+    while True:
+        key = rank * (n + 1)
+        key[:-width] += rank[width:] + 1
+        order = np.argsort(key)
+        sorted_ = key[order]
+        rank = np.empty(n, np.int64)
+        rank[order] = np.cumsum(np.concatenate([[0], sorted_[1:] != sorted_[:-1]]))
+        if rank[order[-1]] == n - 1:
+            return order.astype(np.int32)
+        width *= 2
+
+
 def _induce(t: np.ndarray, small: np.ndarray, least: np.ndarray) -> np.ndarray:
     """All suffixes from leftmost-smaller ones, which come in order of their
     first letter: L from the front, then S from the back."""

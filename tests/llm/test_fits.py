@@ -160,3 +160,43 @@ def test_steps_of_any_size_find_the_same(monkeypatch, rate):
         monkeypatch.setattr(decontaminate, "STEP_BYTES", size)
         monkeypatch.setattr(decontaminate, "STEP_HITS", hits)
         assert decontaminate.PieceIndex(items, rate).search(pa.array(texts)) == want
+
+
+# --- 5 -----------------------------------------------------------------------
+
+
+def test_rows_without_an_id_are_many_parts(spark):
+    from strata.llm import repeats
+
+    rows = spark.createDataFrame([(None, f"text number {i} of many" * 3) for i in range(400)], "doc_id long, text string")
+    parts = repeats._texts(rows.repartition(2), 16).groupBy("part").count().collect()
+    assert len(parts) == 16
+    same = spark.createDataFrame([(None, "the same text, over and over " * 3)] * 400, "doc_id long, text string")
+    assert len(repeats._texts(same.coalesce(1), 16).select("part").distinct().collect()) > 8
+    assert repeats.removed(spark, same).agg(F.sum("n_removed")).first()[0] == 0
+
+
+def test_cleaned_keeps_columns_of_any_name(spark):
+    from strata.llm import repeats
+
+    passage = "a passage of more than fifty bytes that two documents have in common"
+    rows = [(1, passage, "a", 1, 2.5), (2, "x " + passage + " y", "b", 2, None), (3, None, None, 3, 0.5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, spans string, _none int, `a.b` double")
+    got = repeats.cleaned(spark, docs)
+    assert got.columns == [*docs.columns, "spans_"]
+    out = {r.doc_id: r for r in got.collect()}
+    assert {i: tuple(r)[2:5] for i, r in out.items()} == {r[0]: r[2:] for r in rows}
+    assert out[2].text == "x  y" and [tuple(s) for s in out[2].spans_] == [(2, len(passage))] and out[3].text is None
+
+
+@pytest.mark.parametrize("induced", [0, 64, 1 << 17])
+def test_suffixes_are_in_order_wherever_the_recursion_ends(monkeypatch, induced):
+    from strata.llm import suffixes
+
+    monkeypatch.setattr(suffixes, "INDUCED", induced)
+    rng = np.random.default_rng(0)
+    for n, letters in ((0, 2), (1, 3), (2, 2), (10, 2), (300, 2), (3000, 3), (3000, 200)):
+        text = rng.integers(1, letters + 1, n).astype(np.int32)
+        text[n // 3 : n // 3 * 2] = text[: n // 3 * 2 - n // 3]  # a long repeat
+        raw = text.astype(">u2").tobytes()
+        assert suffixes.suffix_array(text).tolist() == sorted(range(n), key=lambda i: raw[2 * i :])

@@ -38,8 +38,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def pii_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is replaced by its kind; ``n_chars`` follows the text."""
     configure(spark)
-    found = pii.spans_found(docs.select("doc_id", "text")).select("proposals")
-    out = pii.redact(docs, pii.fit_trees(found))
+    out = pii.redacted(spark, docs)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 

@@ -22,7 +22,7 @@ def _scan_lists(text: str, key: str) -> list[str]:
 
 
 def partition_filters(df: DataFrame) -> list[str]:
-    return [s for s in _scan_lists(plan_text(df, "simple"), "PartitionFilters") if s]
+    return [s for s in _scan_lists(plan_text(df), "PartitionFilters") if s]
 
 
 def pushed_filters(df: DataFrame) -> list[str]:

@@ -18,8 +18,9 @@ The benchmark is read in blocks of bounded size, and each block is one pass
 over the documents without a shuffle; neither side is ever collected whole.
 
 Defined cases: null and empty texts match nothing; an item of fewer than
-``SHORT`` bytes after normalisation says too little, so it matches only the
-documents that equal it; a very long text is searched in parts that overlap by
+``SHORT`` bytes after normalisation has no edits: of eight bytes and ``SHORT_WORDS`` words or more
+it is found wherever it stands between word boundaries, and a shorter one, which
+says too little inside a text, in the documents that equal it; a very long text is searched in parts that overlap by
 an item and its edits; of several places the least distance counts; repeated
 items count once; a repeated document gets
 its rows again; null ids stay null; empty tables give no rows; other columns
@@ -43,7 +44,7 @@ RATE = 0.08
 #: word of seven letters in an item of 54 bytes, three in one of 160.
 REWORDED = 0.15
 HITS, GRAMS = 3, (5, 4, 3)  # strings of five reject most, so they come first
-SHORT = 24
+SHORT, SHORT_WORDS = 24, 3
 #: Bytes of benchmark text in a block, and so in a task's tables.
 BLOCK_BYTES = 4_000_000
 #: Texts that are normalised and searched at once: rows, and bytes of their text
@@ -207,6 +208,7 @@ class PieceIndex:
 
     def __init__(self, items: list[tuple[int | None, str]], rate: float = RATE):
         self.ids, self.texts, self.budgets, self.whole = [], [], [], {}
+        self.exact: set[int] = set()
         pieces, short = [], []
         for item_id, text in items:
             data, _ = normalized(pa.array([text]))
@@ -219,6 +221,9 @@ class PieceIndex:
             self.budgets.append(budget)
             if len(data) < SHORT:
                 self.whole.setdefault(data, []).append(at)
+                if len(data) >= 8 and data.count(b" ") >= SHORT_WORDS - 1:
+                    self.exact.add(at)
+                    pieces.append((int.from_bytes(data[:8], "little"), at, 0, data))
                 continue
             n, into = budget + 1, pieces
             if len(data) // n < 8:
@@ -300,6 +305,11 @@ class PieceIndex:
                 continue
             low, high = int(offsets[row]), int(offsets[row + 1])
             begin = at - start
+            if item in self.exact:
+                before, after = data[max(low, begin - 1) : begin], data[begin + m : min(high, begin + m + 1)]
+                if begin + m <= high and before in (b"", b" ") and after in (b"", b" "):
+                    best[row, item] = 0
+                continue
             if begin >= low and begin + m <= high and data.startswith(self.texts[item], begin):
                 best[row, item] = 0
                 continue

@@ -98,7 +98,8 @@ def test_pieces_find_every_item_within_the_budget(spark):
         for item, pattern in items[:5]:
             p, t = plain(pattern), plain(text)
             budget = int(0.08 * len(p))
-            d = (0 if p == t else 99) if len(p) < decontaminate.SHORT else _distance(p, t)
+            there = p == t or (p.count(b" ") >= 2 and b" " + p + b" " in b" " + t + b" ")
+            d = (0 if there else 99) if len(p) < decontaminate.SHORT else _distance(p, t)
             if d <= budget:
                 want[doc, item] = (d, budget)
     assert any(d for d, _ in want.values()) and (200, 0) in want

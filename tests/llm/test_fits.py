@@ -200,3 +200,11 @@ def test_suffixes_are_in_order_wherever_the_recursion_ends(monkeypatch, induced)
         text[n // 3 : n // 3 * 2] = text[: n // 3 * 2 - n // 3]  # a long repeat
         raw = text.astype(">u2").tobytes()
         assert suffixes.suffix_array(text).tolist() == sorted(range(n), key=lambda i: raw[2 * i :])
+
+
+def test_short_items_are_found_between_word_boundaries():
+    items = [(1, "Who wrote it?"), (2, "yes"), (3, "a b c"), (4, "over and out")]
+    texts = ["so who wrote -- it, then", "who wrote item", "awho wrote it", "yes", "oh yes", "a b c", "over and out", "Over and out!", None]
+    texts += ["x over and", "out"]  # not across documents
+    got = decontaminate.PieceIndex(items, 0.15).search(pa.array(texts))
+    assert got == {(0, 0): 0, (3, 1): 0, (5, 2): 0, (6, 3): 0, (7, 3): 0}
